@@ -24,7 +24,7 @@ def with_global_order(df: DataFrame, by: str, tie: Sequence[str]) -> DataFrame:
     """
     order = [F.col(by).desc(), *[F.col(t).asc() for t in tie]]
     spread = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    placed = cut_lineage(spread)
+    placed = cut_lineage(spread, "order")
 
     inside = Window.partitionBy("_part").orderBy(*order)
     by_value = Window.partitionBy("_part").orderBy(order[0])

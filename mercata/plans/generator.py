@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercata.functions.parsing import UNSIGNED_NUMBER
-from mercata.operators.sampling import hash_choice, with_sample_flag
+from mercata.operators.sampling import hash_choice, with_sample_flags
 from mercata.schemas import DYNAMIC_INPUTS, STATIC_INPUTS
+from mercata.session import cut_lineage
 from mercata.sources.batches import BATCH_PREFIX, write_csv
 
 DAY = "batch_day"
@@ -69,26 +70,26 @@ def children_of(child: DataFrame, parents: DataFrame) -> DataFrame:
     return child.join(parents.select("order_id", DAY).distinct(), "order_id")
 
 
-def _flagged(df: DataFrame, name: str, salt: str, rate: float, plan: Plan) -> DataFrame:
-    """Sample among the rows of faulty days only; rows of other days are not marked."""
-    marked = with_sample_flag(df, DAY, IDENTITY[name], salt, rate, "_drawn")
-    return marked.withColumn(f"_{salt}", F.col("_drawn") & _is(plan, "dirty", "mixed")).drop("_drawn")
+def _flagged(df: DataFrame, name: str, plan: Plan, **rates: float) -> DataFrame:
+    """Add a flag per fault; rows of days without faults are never marked."""
+    marked = with_sample_flags(df, DAY, IDENTITY[name], rates)
+    faulty = _is(plan, "dirty", "mixed")
+    return marked.withColumns({f"is_{fault}": F.col(f"is_{fault}") & faulty for fault in rates})
 
 
 def _break_orders(df: DataFrame, plan: Plan) -> DataFrame:
-    df = _flagged(df, "orders", "timestamp", plan.timestamp, plan)
-    df = _flagged(df, "orders", "status", plan.status, plan)
+    df = _flagged(df, "orders", plan, timestamp=plan.timestamp, status=plan.status)
     bought = F.col("order_purchase_timestamp")
     us_style = F.date_format(bought.try_cast("timestamp_ntz"), "MM/dd/yyyy HH:mm")
     loud = F.concat(F.lit("  "), F.upper("order_status"), F.lit(" "))
     return df.withColumn(
-        "order_purchase_timestamp", F.when(F.col("_timestamp"), F.coalesce(us_style, bought)).otherwise(bought)
-    ).withColumn("order_status", F.when(F.col("_status"), loud).otherwise(F.col("order_status")))
+        "order_purchase_timestamp", F.when(F.col("is_timestamp"), F.coalesce(us_style, bought)).otherwise(bought)
+    ).withColumn("order_status", F.when(F.col("is_status"), loud).otherwise(F.col("order_status")))
 
 
 def _break_items(df: DataFrame, plan: Plan) -> DataFrame:
-    df = _flagged(df, "order_items", "price", plan.price, plan)
-    kind = F.when(F.col("_price"), hash_choice((DAY, *IDENTITY["order_items"]), "price_kind", 3))
+    df = _flagged(df, "order_items", plan, price=plan.price)
+    kind = F.when(F.col("is_price"), hash_choice((DAY, *IDENTITY["order_items"]), "price_kind", 3))
     df = df.withColumn("_kind", kind)
     numeric = F.col("price").rlike(UNSIGNED_NUMBER)
     new_price = (
@@ -101,18 +102,18 @@ def _break_items(df: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _break_reviews(df: DataFrame, plan: Plan) -> DataFrame:
-    df = _flagged(df, "order_reviews", "review", plan.review, plan)
+    df = _flagged(df, "order_reviews", plan, review=plan.review)
     pick = hash_choice((DAY, *IDENTITY["order_reviews"]), "review_kind", len(BAD_SCORES) + 1)
     # The position past the last score gives null: the empty field.
     bad = F.get(F.array(*[F.lit(s) for s in BAD_SCORES]), pick)
-    return df.withColumn("review_score", F.when(F.col("_review"), bad).otherwise(F.col("review_score")))
+    return df.withColumn("review_score", F.when(F.col("is_review"), bad).otherwise(F.col("review_score")))
 
 
 def _break_payments(df: DataFrame, plan: Plan) -> DataFrame:
-    df = _flagged(df, "order_payments", "payment", plan.payment, plan)
+    df = _flagged(df, "order_payments", plan, payment=plan.payment)
     loud = F.concat(F.upper("payment_type"), F.lit(" "))
     return df.withColumn(
-        "payment_type", F.when(F.col("_payment"), loud).otherwise(F.col("payment_type"))
+        "payment_type", F.when(F.col("is_payment"), loud).otherwise(F.col("payment_type"))
     )
 
 
@@ -123,20 +124,24 @@ def daily_batches(source: dict[str, DataFrame], plan: Plan = Plan()) -> dict[str
     inside = F.col("order_day").between(F.lit(plan.first_day), F.lit(plan.last_day))
     today = dated.where(inside).withColumn(DAY, F.col("order_day")).drop("order_day")
 
-    sent_again = with_sample_flag(today, DAY, IDENTITY["orders"], "resend", plan.resend, "_again")
+    drawn = with_sample_flags(today, DAY, IDENTITY["orders"], {"resend": plan.resend})
     resent = (
-        sent_again.where("_again")
-        .drop("_again")
+        drawn.where("is_resend")
+        .drop("is_resend")
         .withColumn(DAY, F.date_add(DAY, 1))
         .where(_is(plan, "duplicate", "mixed") & (F.col(DAY) <= F.lit(plan.last_day)))
     )
-    orders = today.unionByName(resent)
+    # Written once: every child joins to the orders, and each sample reads its rows repeatedly.
+    orders = cut_lineage(today.unionByName(resent), "batch-orders")
+
+    def children(name: str) -> DataFrame:
+        return cut_lineage(children_of(source[name], orders), f"batch-{name}")
 
     broken = {
         "orders": _break_orders(orders, plan),
-        "order_items": _break_items(children_of(source["order_items"], orders), plan),
-        "order_payments": _break_payments(children_of(source["order_payments"], orders), plan),
-        "order_reviews": _break_reviews(children_of(source["order_reviews"], orders), plan),
+        "order_items": _break_items(children("order_items"), plan),
+        "order_payments": _break_payments(children("order_payments"), plan),
+        "order_reviews": _break_reviews(children("order_reviews"), plan),
     }
     return {name: df.select(*columns[name], DAY) for name, df in broken.items()}
 
@@ -155,13 +160,13 @@ def seed_batch(source: dict[str, DataFrame], plan: Plan = Plan()) -> dict[str, D
 
 
 def _break_categories(products: DataFrame, plan: Plan) -> DataFrame:
-    marked = with_sample_flag(
-        products.withColumn("_all", F.lit(SEED)), "_all", IDENTITY["products"], "category", plan.category, "_loud"
+    marked = with_sample_flags(
+        products.withColumn("_all", F.lit(SEED)), "_all", IDENTITY["products"], {"category": plan.category}
     )
     name = F.col("product_category_name")
     loud = F.concat(F.lit(" "), F.upper(name), F.lit("  "))
     return marked.withColumn(
-        "product_category_name", F.when(F.col("_loud") & (name != ""), loud).otherwise(name)
+        "product_category_name", F.when(F.col("is_category") & (name != ""), loud).otherwise(name)
     ).select(*products.columns)
 
 

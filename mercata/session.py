@@ -42,8 +42,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="mercata-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
@@ -52,11 +50,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read on from there.
+def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
+    """Write ``df`` as a table below the shared folder and read on from there.
 
-    The rows no longer depend on a re-run of the plan, so partition ids taken
-    before the cut stay true even when executors are lost afterwards.
+    The rows no longer depend on a re-run of the plan, so partition ids taken before
+    the cut stay true even when executors are lost afterwards, and several readers
+    share one computation while each still reads only the columns it needs.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote below the shared folder."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
