@@ -7,7 +7,7 @@ before it is joined.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercata.functions import labels
@@ -33,12 +33,22 @@ def build_dim_seller(stg_sellers: DataFrame) -> DataFrame:
     return conform(stg_sellers, "dim_seller")
 
 
+def _smallest_of_first_batch(column: str) -> Column:
+    """Smallest known value among the rows that came first; null if none of those has one."""
+    first = F.min(F.struct("ingested_at", F.col(column).isNull(), column))
+    return first[column].alias(column)
+
+
 def build_dim_customer(stg_orders: DataFrame, stg_items: DataFrame, stg_customers: DataFrame) -> DataFrame:
-    """One row per person over all their orders, canceled ones included."""
+    """One row per person over all their orders, canceled ones included.
+
+    City and state are those of the batch that first brought an order of the person;
+    later batches do not change them.
+    """
     spent = stg_items.groupBy("order_id").agg(F.sum(labels.item_revenue()).alias("_spent"))
     # One row per order, as customer_id and order_id are keys: counting rows counts orders.
     bought = (
-        stg_orders.select("order_id", "customer_id", "order_purchase_timestamp")
+        stg_orders.select("order_id", "customer_id", "order_purchase_timestamp", "ingested_at")
         .join(
             stg_customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state"),
             "customer_id",
@@ -47,8 +57,8 @@ def build_dim_customer(stg_orders: DataFrame, stg_items: DataFrame, stg_customer
     )
     return conform(
         bought.groupBy("customer_unique_id").agg(
-            F.min("customer_city").alias("customer_city"),
-            F.min("customer_state").alias("customer_state"),
+            _smallest_of_first_batch("customer_city"),
+            _smallest_of_first_batch("customer_state"),
             F.to_date(F.min("order_purchase_timestamp")).alias("first_order_date"),
             F.count(F.lit(1)).alias("total_orders"),
             F.coalesce(F.sum("_spent"), F.lit(0)).alias("total_spent"),

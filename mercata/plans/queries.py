@@ -25,12 +25,12 @@ from mercata.plans import (
 from mercata.plans.workspace import Workspace
 from mercata.session import scratch_path
 from mercata.sources import batches
+from mercata.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The test orders start in 1995.
 GROWTH_START = dt.date(1995, 1, 1)
-STREAM_TABLE = "orders"
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -124,6 +124,17 @@ def _snapshot_delta(w: Workspace) -> DataFrame:
     return audit.snapshot_delta(before, after)
 
 
+def _stream_stage_orders(w: Workspace) -> DataFrame:
+    """Orders staged by a stream: first the seed, then, on a second start, the daily batches."""
+    root = scratch_path(w.spark, "stream")
+    raw, staged, checkpoint = f"{root}/raw", f"{root}/staged", f"{root}/checkpoint"
+    in_seed = F.col("batch_id") == generator.SEED
+    for arriving in (in_seed, ~in_seed):
+        w["raw_orders"].where(arriving).write.mode("append").parquet(raw)
+        ingest.stage_order_stream(w.spark, raw, staged, checkpoint).awaitTermination()
+    return ingest.read_staged(w.spark, staged).drop("epoch")
+
+
 LAYERS = (
     "raw_orders",
     "raw_order_items",
@@ -199,6 +210,7 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "stage_category_translation": _table("stg_category_translation"),
     "rejected_rows": _rejected_rows,
     "load_audit": _table("load_audit", "duration_sec", "note"),
+    "stream_stage_orders": _stream_stage_orders,
     # mart
     "dim_product": _table("dim_product"),
     "dim_seller": _table("dim_seller"),

@@ -28,10 +28,11 @@ POLICIES = ("reference", "complete")
 
 @dataclass(frozen=True)
 class Staged:
-    """Outcome of staging one input."""
+    """Outcome of staging one input; both results read the judged rows."""
 
     clean: DataFrame
     rejects: DataFrame
+    judged: DataFrame
 
 
 class _Rules:
@@ -86,7 +87,7 @@ def _finish(
     unique = conform(keep_first(typed, spec.key, order), table)
     if existing is not None:
         unique = insert_if_absent(unique, existing, spec.key).select(*spec.columns)
-    return Staged(unique, _rejects(judged, raw, source_table))
+    return Staged(unique, _rejects(judged, raw, source_table), judged)
 
 
 def stage_orders(raw: DataFrame, existing: DataFrame | None = None, policy: str = "reference") -> Staged:

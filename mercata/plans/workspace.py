@@ -21,27 +21,27 @@ from mercata.sources import testdata
 
 # The test orders end on 2001-08-01: two months of daily batches follow the seed.
 TEST_PLAN = Plan(first_day=dt.date(2001, 6, 1), last_day=dt.date(2001, 8, 1))
-SEED_AT = dt.datetime(2001, 5, 31)
 
 
 class Workspace:
-    """Lazily derived tables of one folder."""
+    """Lazily derived tables of one source."""
 
     _open: dict[tuple[str, str], "Workspace"] = {}
 
-    def __init__(self, spark: SparkSession, sf_dir: str, plan: Plan = TEST_PLAN):
-        self.spark, self.sf_dir, self.plan = spark, sf_dir, plan
+    def __init__(self, spark: SparkSession, source: dict[str, DataFrame], plan: Plan = TEST_PLAN):
+        self.spark, self.source, self.plan = spark, source, plan
         self.root = scratch_path(spark, "workspace")
-        self.source = testdata.source_tables(spark, sf_dir)
+        self.seed_at = dt.datetime.combine(plan.first_day, dt.time()) - dt.timedelta(days=1)
         self._tables: dict[str, DataFrame] = {}
         self._batches: dict[str, DataFrame] | None = None
         self._seed: dict[str, DataFrame] | None = None
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Workspace":
+        """The workspace of a folder of test tables, shared by all queries of the application."""
         key = (spark.sparkContext.applicationId, sf_dir)
         if key not in cls._open:
-            cls._open[key] = cls(spark, sf_dir)
+            cls._open[key] = cls(spark, testdata.source_tables(spark, sf_dir))
         return cls._open[key]
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -77,15 +77,18 @@ class Workspace:
             F.explode(F.sequence(F.lit(self.plan.first_day), F.lit(self.plan.last_day))).alias(DAY)
         )
         seed = self.spark.range(1).select(
-            F.lit(SEED).alias("batch_id"), F.lit(SEED_AT).cast("timestamp").alias("run_time")
+            F.lit(SEED).alias("batch_id"), F.lit(self.seed_at).cast("timestamp").alias("run_time")
         )
         return seed.unionByName(
-            days.select(generator.batch_id_of(F.col(DAY)).alias("batch_id"), F.col(DAY).cast("timestamp").alias("run_time"))
+            days.select(
+                generator.batch_id_of(F.col(DAY)).alias("batch_id"),
+                F.col(DAY).cast("timestamp").alias("run_time"),
+            )
         )
 
     def _raw(self, name: str) -> DataFrame:
         seed = self.seed[name].withColumns(
-            {"batch_id": F.lit(SEED), "ingested_at": F.lit(SEED_AT).cast("timestamp")}
+            {"batch_id": F.lit(SEED), "ingested_at": F.lit(self.seed_at).cast("timestamp")}
         )
         if name in STATIC_INPUTS:
             return seed

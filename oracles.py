@@ -333,11 +333,14 @@ select product_id, p.product_category_name as category_pt,
 from stg_products p left join stg_translation t using (product_category_name)"""
 CTES["dim_seller"] = "select seller_id, seller_city, seller_state from stg_sellers"
 CTES["dim_customer"] = """
-select c.customer_unique_id, min(c.customer_city) as customer_city, min(c.customer_state) as customer_state,
-  cast(min(o.order_purchase_timestamp) as date) as first_order_date, count(distinct o.order_id) as total_orders,
-  coalesce(sum(i.pc + i.fc), 0) as spent
-from stg_customers c join stg_orders o using (customer_id) left join stg_items i on i.order_id = o.order_id
-group by c.customer_unique_id"""
+select customer_unique_id, min(customer_city) filter (where ingested_at = first_at) as customer_city,
+  min(customer_state) filter (where ingested_at = first_at) as customer_state,
+  cast(min(order_purchase_timestamp) as date) as first_order_date, count(distinct order_id) as total_orders,
+  coalesce(sum(spent), 0) as spent
+from (select c.customer_unique_id, c.customer_city, c.customer_state, o.order_purchase_timestamp, o.order_id,
+    o.ingested_at, min(o.ingested_at) over (partition by c.customer_unique_id) as first_at, i.pc + i.fc as spent
+  from stg_customers c join stg_orders o using (customer_id) left join stg_items i on i.order_id = o.order_id)
+group by customer_unique_id"""
 CTES["fi"] = f"""
 select i.order_id, i.order_item_id, i.product_id, i.seller_id, o.customer_id, c.customer_unique_id,
   o.order_purchase_timestamp, cast(o.order_purchase_timestamp as date) as order_purchase_date, i.pc, i.fc,
@@ -446,6 +449,7 @@ select order_id, customer_id, order_status, {when('order_purchase_timestamp')} a
   {when('order_delivered_customer_date')} as order_delivered_customer_date,
   {when('order_estimated_delivery_date')} as order_estimated_delivery_date, batch_id,
   {when('ingested_at')} as ingested_at from stg_orders"""
+SQL["stream_stage_orders"] = SQL["stage_orders"]
 SQL["stage_order_items"] = f"""
 select order_id, {big('order_item_id')} as order_item_id, product_id, seller_id,
   {when('shipping_limit_date')} as shipping_limit_date, {money('pc')} as price, {money('fc')} as freight_value, batch_id,
