@@ -7,6 +7,8 @@ first, which leaves at least 14 digits behind the point.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,12 @@ def pct(numerator: Column | str, denominator: Column | str, digits: int = 2) ->
     return F.round(scaled / F.nullif(_wide(denominator), F.lit(0).cast(WIDE)), digits)
 
 
-def sum_if(condition: Column, value: Column | str) -> Column:
-    value = F.col(value) if isinstance(value, str) else value
-    return F.sum(F.when(condition, value))
+def cents(amount: Column | str) -> Column:
+    """Money as whole cents: sums of long integers are exact and need half the room of wide decimals."""
+    amount = F.col(amount) if isinstance(amount, str) else amount
+    return (amount * 100).cast("bigint")
+
+
+def from_cents(total: Column) -> Column:
+    """Summed cents as money."""
+    return (total.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(WIDE)

@@ -34,21 +34,11 @@ def iso_timestamp(column: str) -> Column:
     return F.when(F.col(column).rlike(ISO_TIMESTAMP), F.col(column).try_cast("timestamp_ntz"))
 
 
-def money(column: str) -> Column:
-    """Non-negative decimal text as ``decimal(12,2)``, rounded half up, else null."""
-    return F.when(F.col(column).rlike(UNSIGNED_NUMBER), F.col(column).try_cast("decimal(12,2)"))
-
-
 def below_zero(column: str) -> Column:
     """True for a well-formed number under zero; ``-0`` is not under zero. Null stays null."""
     return F.col(column).rlike(SIGNED_NUMBER) & F.col(column).rlike(BELOW_ZERO)
 
 
-def counting_number(column: str, to: str = "smallint") -> Column:
-    """Digits only, cast to ``to``; null when the text has another shape or overflows."""
-    return F.when(F.col(column).rlike(UNSIGNED_INTEGER), F.col(column).try_cast(to))
-
-
 def rounded_number(column: str, to: str) -> Column:
     """Text such as ``225.0`` as a whole number, rounded half up as a numeric cast would."""
     number = F.round(F.col(column).try_cast("decimal(20,6)"), 0)

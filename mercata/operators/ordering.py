@@ -18,6 +18,8 @@ from mercata.session import cut_lineage
 def with_global_order(df: DataFrame, by: str, tie: Sequence[str]) -> DataFrame:
     """Add ``row_number``, ``rank`` and ``running_sum`` over ``by`` descending.
 
+    ``row_count`` and ``total_sum`` are those of the whole table.
+
     ``by`` must not be null and ``tie`` must make the order unique; ties in ``by``
     share a rank and are numbered by ``tie``. Because ``tie`` also takes part in the
     range split, a value shared by many rows is spread over several partitions.
@@ -43,8 +45,11 @@ def with_global_order(df: DataFrame, by: str, tie: Sequence[str]) -> DataFrame:
     )
     # One row per partition from here on.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy(F.lit(1))
     ends = ends.select(
         "*",
+        F.sum("_n").over(everything).alias("row_count"),
+        F.sum("_sum").over(everything).alias("total_sum"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rows_before"),
         F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_sum_before"),
     )
@@ -74,7 +79,7 @@ def with_global_order(df: DataFrame, by: str, tie: Sequence[str]) -> DataFrame:
         .select("_part", F.col("_start").alias("_first_rank"))
     )
     offsets = ends.join(starts, "_part").select(
-        "_part", "_rows_before", "_sum_before", "_first", "_first_rank"
+        "_part", "_rows_before", "_sum_before", "_first", "_first_rank", "row_count", "total_sum"
     )
     # Bounded by the number of shuffle partitions, hence the hint.
     joined = local.join(F.broadcast(offsets), "_part")
@@ -86,6 +91,8 @@ def with_global_order(df: DataFrame, by: str, tie: Sequence[str]) -> DataFrame:
         (F.col("_rows_before") + F.col("_row")).alias("row_number"),
         rank.cast("bigint").alias("rank"),
         (F.col("_sum_before") + F.col("_run")).alias("running_sum"),
+        "row_count",
+        "total_sum",
     )
 
 
@@ -95,15 +102,15 @@ def exact_percentile(df: DataFrame, column: str, p: float = 0.5, accuracy: int =
     A mergeable sketch first brackets the wanted rank to within ``2 / accuracy`` of
     all rows. Only the distinct values inside the bracket are then ordered, after
     their occurrences have been counted, so no task sees more than that share.
+    ``df`` is read twice, so it should be cheap to read.
     """
     value = F.col(column)
     rows = df.select(value.alias("_v")).where(value.isNotNull())
     slack = 2.0 / accuracy
     spots = F.array(F.lit(max(0.0, p - slack)), F.lit(min(1.0, p + slack)))
-    frame = rows.agg(F.percentile_approx("_v", spots, F.lit(accuracy)).alias("_b"), F.count("_v").alias("_n"))
-    low = frame.select(F.col("_b")[0]).scalar()
-    high = frame.select(F.col("_b")[1]).scalar()
-    total = frame.select("_n").scalar()
+    sketch = F.percentile_approx("_v", spots, F.lit(accuracy))
+    frame = rows.agg(F.struct(sketch.alias("b"), F.count("_v").alias("n"))).scalar()
+    low, high, total = frame["b"][0], frame["b"][1], frame["n"]
 
     counted = (
         rows.where(F.col("_v") <= high)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercata.functions import labels
-from mercata.functions.measures import pct, ratio, rounded_ratio
+from mercata.functions.measures import cents, from_cents, pct, ratio, rounded_ratio
 from mercata.operators import order_metrics as om
 
 # The shared filter dimensions of the reports.
@@ -38,10 +38,10 @@ def concentration_cuts(concentration: DataFrame) -> DataFrame:
 
 def totals(items: DataFrame) -> DataFrame:
     per_order = items.groupBy("order_id").agg(
-        F.sum("item_revenue").alias("_revenue"), F.count(F.lit(1)).alias("_rows")
+        F.sum(cents("item_revenue")).alias("_revenue"), F.count(F.lit(1)).alias("_rows")
     )
     return per_order.agg(
-        F.sum("_revenue").alias("revenue"),
+        from_cents(F.sum("_revenue")).alias("revenue"),
         F.count(F.lit(1)).alias("orders"),
         F.sum("_rows").alias("item_rows"),
     )
@@ -65,10 +65,11 @@ def top_categories(contribution: DataFrame, k: int = 5) -> DataFrame:
 
 
 def segment_share(items: DataFrame) -> DataFrame:
-    total = items.agg(F.sum("item_revenue")).scalar()
+    revenue = from_cents(F.sum(cents("item_revenue")))
+    total = items.agg(revenue).scalar()
     return (
         items.groupBy("price_segment")
-        .agg(F.count(F.lit(1)).alias("items_sold"), F.sum("item_revenue").alias("revenue"))
+        .agg(F.count(F.lit(1)).alias("items_sold"), revenue.alias("revenue"))
         .withColumn("pct_revenue", pct("revenue", total))
     )
 

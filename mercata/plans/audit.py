@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercata.functions.measures import cents, from_cents
 from mercata.schemas import DYNAMIC_INPUTS, conform
 from mercata.sources.batches import BATCH_PREFIX
 
@@ -81,7 +82,7 @@ def snapshot(audit: DataFrame, items: DataFrame, rejects: DataFrame) -> DataFram
     )
     facts = items.agg(
         F.count(F.lit(1)).alias("item_rows"),
-        F.coalesce(F.round(F.sum("item_revenue"), 0), F.lit(0)).cast("bigint").alias("revenue"),
+        F.coalesce(F.round(from_cents(F.sum(cents("item_revenue"))), 0), F.lit(0)).cast("bigint").alias("revenue"),
     )
     return batches.select(
         "batches",

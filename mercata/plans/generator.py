@@ -8,6 +8,7 @@ gives the same rows.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -117,7 +118,7 @@ def _break_payments(df: DataFrame, plan: Plan) -> DataFrame:
     )
 
 
-def daily_batches(source: dict[str, DataFrame], plan: Plan = Plan()) -> dict[str, DataFrame]:
+def daily_batches(source: Mapping[str, DataFrame], plan: Plan = Plan()) -> dict[str, DataFrame]:
     """The four dynamic inputs of every day, each row with its ``batch_day``."""
     columns = {name: source[name].columns for name in DYNAMIC_INPUTS}
     dated = order_day(source["orders"])
@@ -146,7 +147,7 @@ def daily_batches(source: dict[str, DataFrame], plan: Plan = Plan()) -> dict[str
     return {name: df.select(*columns[name], DAY) for name, df in broken.items()}
 
 
-def seed_batch(source: dict[str, DataFrame], plan: Plan = Plan()) -> dict[str, DataFrame]:
+def seed_batch(source: Mapping[str, DataFrame], plan: Plan = Plan()) -> dict[str, DataFrame]:
     """All eight inputs up to the day before the first batch."""
     orders = order_day(source["orders"]).where(F.col("order_day") < F.lit(plan.first_day)).drop("order_day")
     seed = {"orders": orders}
@@ -174,12 +175,12 @@ def batch_id_of(day: Column) -> Column:
     return F.concat(F.lit(BATCH_PREFIX), F.date_format(day, "yyyyMMdd"))
 
 
-def write_seed(source: dict[str, DataFrame], out: str, plan: Plan = Plan()) -> None:
+def write_seed(source: Mapping[str, DataFrame], out: str, plan: Plan = Plan()) -> None:
     for name, df in seed_batch(source, plan).items():
         write_csv(df, out, name)
 
 
-def write_day(source: dict[str, DataFrame], out: str, day: dt.date, plan: Plan = Plan()) -> str:
+def write_day(source: Mapping[str, DataFrame], out: str, day: dt.date, plan: Plan = Plan()) -> str:
     """Write one day's folder and return its batch id."""
     batch_id = f"{BATCH_PREFIX}{day:%Y%m%d}"
     # The day before is enough to draw the orders that are sent again.

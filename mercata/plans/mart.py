@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercata.functions import labels
+from mercata.functions.measures import cents, from_cents
 from mercata.schemas import conform
 
 
@@ -45,7 +46,7 @@ def build_dim_customer(stg_orders: DataFrame, stg_items: DataFrame, stg_customer
     City and state are those of the batch that first brought an order of the person;
     later batches do not change them.
     """
-    spent = stg_items.groupBy("order_id").agg(F.sum(labels.item_revenue()).alias("_spent"))
+    spent = stg_items.groupBy("order_id").agg(F.sum(cents(labels.item_revenue())).alias("_spent"))
     # One row per order, as customer_id and order_id are keys: counting rows counts orders.
     bought = (
         stg_orders.select("order_id", "customer_id", "order_purchase_timestamp", "ingested_at")
@@ -61,7 +62,7 @@ def build_dim_customer(stg_orders: DataFrame, stg_items: DataFrame, stg_customer
             _smallest_of_first_batch("customer_state"),
             F.to_date(F.min("order_purchase_timestamp")).alias("first_order_date"),
             F.count(F.lit(1)).alias("total_orders"),
-            F.coalesce(F.sum("_spent"), F.lit(0)).alias("total_spent"),
+            F.coalesce(from_cents(F.sum("_spent")), F.lit(0)).alias("total_spent"),
         ),
         "dim_customer",
     )
@@ -113,7 +114,7 @@ def payments_per_order(stg_payments: DataFrame) -> DataFrame:
     """
     largest = F.struct("payment_value", -F.col("payment_sequential").cast("int"))
     return stg_payments.groupBy("order_id", "batch_id").agg(
-        F.sum("payment_value").alias("payment_value"),
+        from_cents(F.sum(cents("payment_value"))).alias("payment_value"),
         F.max("payment_installments").alias("max_installments"),
         F.max_by("payment_type", largest).alias("payment_type_main"),
     )
@@ -127,7 +128,7 @@ def reviews_per_order(stg_reviews: DataFrame) -> DataFrame:
 
 def items_per_order(stg_items: DataFrame) -> DataFrame:
     return stg_items.groupBy("order_id", "batch_id").agg(
-        F.count(F.lit(1)).alias("item_count"), F.sum(labels.item_revenue()).alias("order_revenue")
+        F.count(F.lit(1)).alias("item_count"), from_cents(F.sum(cents(labels.item_revenue()))).alias("order_revenue")
     )
 
 

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercata.functions.measures import pct, rounded_ratio
-from mercata.functions.parsing import SIGNED_INTEGER
+from mercata.functions.parsing import SIGNED_NUMBER
 from mercata.plans.generator import order_day
 
 SAMPLE_LENGTH = 35
-ANY_NUMBER = r"\A-?\d+(\.\d+)?\z"
 
 
 def column_profile(table: DataFrame, name: str) -> DataFrame:
@@ -21,10 +20,11 @@ def column_profile(table: DataFrame, name: str) -> DataFrame:
     measures = []
     for c in table.columns:
         text = F.col(c).cast("string")
+        numeric = text.rlike(SIGNED_NUMBER)
         measures += [
             F.count(text).alias(f"{c}__filled"),
-            F.count_if(text.rlike(SIGNED_INTEGER)).alias(f"{c}__whole"),
-            F.count_if(text.rlike(ANY_NUMBER)).alias(f"{c}__numeric"),
+            F.count_if(numeric & ~text.contains(".")).alias(f"{c}__whole"),
+            F.count_if(numeric).alias(f"{c}__numeric"),
             F.min(text).alias(f"{c}__sample"),
         ]
     row = table.agg(F.count(F.lit(1)).alias("__rows"), *measures)

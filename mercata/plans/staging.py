@@ -36,87 +36,108 @@ class Staged:
 
 
 class _Rules:
-    """An ordered list of reject reasons; the first that holds is given."""
+    """Ordered reject reasons; the first that holds is given.
 
-    def __init__(self, policy: str):
+    Rows of the right shape are told apart first: only they are tested for values no
+    column could hold, and no other test is spent on them.
+    """
+
+    def __init__(self, policy: str, shaped: Column):
         if policy not in POLICIES:
             raise ValueError(f"policy must be one of {POLICIES}")
         self.complete = policy == "complete"
-        self.steps: list[tuple[Column, str]] = []
+        self.shaped = shaped
+        self.unfit: list[tuple[Column, str]] = []
+        self.broken: list[tuple[Column, str]] = []
 
     def add(self, condition: Column, reason: str, only_complete: bool = False) -> "_Rules":
         if self.complete or not only_complete:
-            self.steps.append((condition, reason))
+            self.broken.append((condition, reason))
         return self
 
-    def reason(self) -> Column:
-        chain = F
-        for condition, reason in self.steps:
-            chain = chain.when(condition, F.lit(reason))
-        return chain.otherwise(F.lit(None).cast("string"))
+    def add_unfit(self, condition: Column, reason: str) -> "_Rules":
+        self.unfit.append((condition, reason))
+        return self
 
+    @staticmethod
+    def _chain(steps: list[tuple[Column, str]]) -> Column:
+        reason = F.lit(None).cast("string")
+        for condition, name in reversed(steps):
+            reason = F.when(condition, F.lit(name)).otherwise(reason)
+        return reason
 
-def _rejects(judged: DataFrame, raw: DataFrame, source_table: str) -> DataFrame:
-    payload = F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})
-    return judged.where("_reason is not null").select(
-        "batch_id",
-        F.lit(f"raw.{source_table}").alias("source_table"),
-        F.col("_reason").alias("reject_reason"),
-        payload.alias("raw_payload"),
-        F.current_timestamp().alias("rejected_at"),
-    )
+    def judge(self, raw: DataFrame) -> DataFrame:
+        """Add the reason, if any, and whether the row can be loaded."""
+        reason = F.when(self.shaped, self._chain(self.unfit)).otherwise(self._chain(self.broken))
+        return raw.withColumn("_reason", reason).withColumn(
+            "_loadable", F.col("_reason").isNull() & self.shaped
+        )
 
 
 def _finish(
     judged: DataFrame,
     raw: DataFrame,
     parsed: dict[str, Column],
-    load_if: Column,
     table: str,
     source_table: str,
     existing: DataFrame | None,
 ) -> Staged:
-    """Split judged rows: rejects as they came, loadable ones parsed and made unique."""
+    """Split judged rows: rejects as they came, loadable ones made unique and then parsed."""
     spec = TABLES[table]
-    typed = judged.where(F.col("_reason").isNull() & load_if).select(
-        *[parsed.get(c, F.col(c)).alias(c) for c in spec.columns],
-        # The raw text settles which of several copies in one batch is kept.
-        *[F.col(c).alias(f"_raw_{c}") for c in raw.columns if c not in ("batch_id", "ingested_at")],
-    )
-    order = ["ingested_at", "batch_id", *[c for c in typed.columns if c.startswith("_raw_")]]
-    unique = conform(keep_first(typed, spec.key, order), table)
+    text = [c for c in raw.columns if c not in ("batch_id", "ingested_at")]
+    # The raw text settles which of several copies in one batch is kept.
+    order = ["ingested_at", "batch_id", *text]
+    loadable = judged.where("_loadable").select(*raw.columns)
+    first = keep_first(loadable, [parsed[k] for k in spec.key], order)
+    unique = conform(first.select([parsed.get(c, F.col(c)).alias(c) for c in spec.columns]), table)
     if existing is not None:
         unique = insert_if_absent(unique, existing, spec.key).select(*spec.columns)
-    return Staged(unique, _rejects(judged, raw, source_table), judged)
+    payload = F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})
+    rejects = judged.where("_reason is not null").select(
+        "batch_id",
+        F.lit(f"raw.{source_table}").alias("source_table"),
+        F.col("_reason").alias("reject_reason"),
+        payload.alias("raw_payload"),
+        F.current_timestamp().alias("rejected_at"),
+    )
+    return Staged(unique, rejects, judged)
+
+
+def _fits(column: str, kind: str) -> Column:
+    """Text that is known to be a plain number, as ``kind``; null when it does not fit."""
+    return F.col(column).try_cast(kind)
+
+
+MONEY = "decimal(12,2)"
 
 
 def stage_orders(raw: DataFrame, existing: DataFrame | None = None, policy: str = "reference") -> Staged:
-    shaped = F.col("order_purchase_timestamp").rlike(p.ISO_TIMESTAMP)
+    bought = F.col("order_purchase_timestamp")
+    dated = bought.rlike(p.ISO_TIMESTAMP)
+    shaped = ~p.is_blank("order_id") & ~p.is_blank("customer_id") & F.coalesce(dated, F.lit(False))
     rules = (
-        _Rules(policy)
+        _Rules(policy, shaped)
+        .add_unfit(bought.try_cast("timestamp_ntz").isNull(), "invalid_timestamp")
+        .add_unfit(F.col("order_status").isNull(), "missing_status")
         .add(p.is_blank("order_id"), "missing_order_id")
         .add(p.is_blank("customer_id"), "missing_customer_id")
-        .add(~shaped | (shaped & p.iso_timestamp("order_purchase_timestamp").isNull()), "invalid_timestamp")
-        .add(shaped.isNull(), "missing_timestamp", only_complete=True)
-        .add(shaped & F.col("order_status").isNull(), "missing_status")
+        .add(~dated, "invalid_timestamp")
+        .add(bought.isNull(), "missing_timestamp", only_complete=True)
+    )
+    optional = (
+        "order_approved_at",
+        "order_delivered_carrier_date",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
     )
     parsed = {
         "order_id": F.trim("order_id"),
         "customer_id": F.trim("customer_id"),
         "order_status": p.lower_trim("order_status"),
-        **{
-            c: p.iso_timestamp(c)
-            for c in (
-                "order_purchase_timestamp",
-                "order_approved_at",
-                "order_delivered_carrier_date",
-                "order_delivered_customer_date",
-                "order_estimated_delivery_date",
-            )
-        },
+        "order_purchase_timestamp": bought.try_cast("timestamp_ntz"),
+        **{c: p.iso_timestamp(c) for c in optional},
     }
-    judged = raw.withColumn("_reason", rules.reason())
-    return _finish(judged, raw, parsed, shaped, "stg_orders", "raw_orders", existing)
+    return _finish(rules.judge(raw), raw, parsed, "stg_orders", "raw_orders", existing)
 
 
 def _with_parent(raw: DataFrame, stg_orders: DataFrame) -> DataFrame:
@@ -133,15 +154,21 @@ def stage_order_items(
     raw: DataFrame, stg_orders: DataFrame, existing: DataFrame | None = None, policy: str = "reference"
 ) -> Staged:
     has_parent = F.col("_has_parent")
-    price, freight = F.col("price"), F.col("freight_value")
-    loadable = (
-        F.col("order_item_id").rlike(p.UNSIGNED_INTEGER)
+    number, price, freight = F.col("order_item_id"), F.col("price"), F.col("freight_value")
+    shaped = F.coalesce(
+        has_parent
+        & number.rlike(p.UNSIGNED_INTEGER)
         & price.rlike(p.UNSIGNED_NUMBER)
-        & freight.rlike(p.UNSIGNED_NUMBER)
-        & has_parent
+        & freight.rlike(p.UNSIGNED_NUMBER),
+        F.lit(False),
     )
     rules = (
-        _Rules(policy)
+        _Rules(policy, shaped)
+        .add_unfit(_fits("order_item_id", "smallint").isNull(), "invalid_order_item_id")
+        .add_unfit(_fits("price", MONEY).isNull(), "price_out_of_range")
+        .add_unfit(_fits("freight_value", MONEY).isNull(), "freight_out_of_range")
+        .add_unfit(F.col("product_id").isNull(), "missing_product_id")
+        .add_unfit(F.col("seller_id").isNull(), "missing_seller_id")
         .add(price.isNull(), "missing_price", only_complete=True)
         .add(~price.rlike(p.SIGNED_NUMBER), "price_not_numeric")
         .add(p.below_zero("price"), "negative_price")
@@ -149,27 +176,21 @@ def stage_order_items(
         .add(~freight.rlike(p.SIGNED_NUMBER), "freight_not_numeric")
         .add(p.below_zero("freight_value"), "negative_freight")
         .add(price.isNull() | ~has_parent, "orphan_row")
-        .add(loadable & p.counting_number("order_item_id").isNull(), "invalid_order_item_id")
-        .add(loadable & p.money("price").isNull(), "price_out_of_range")
-        .add(loadable & p.money("freight_value").isNull(), "freight_out_of_range")
-        .add(loadable & F.col("product_id").isNull(), "missing_product_id")
-        .add(loadable & F.col("seller_id").isNull(), "missing_seller_id")
-        .add(F.coalesce(~F.col("order_item_id").rlike(p.UNSIGNED_INTEGER), F.lit(True)),
-             "invalid_order_item_id", only_complete=True)
+        .add(number.isNull() | ~number.rlike(p.UNSIGNED_INTEGER), "invalid_order_item_id", only_complete=True)
         .add(~price.rlike(p.UNSIGNED_NUMBER), "price_not_numeric", only_complete=True)
         .add(~freight.rlike(p.UNSIGNED_NUMBER), "freight_not_numeric", only_complete=True)
     )
     parsed = {
         "order_id": F.trim("order_id"),
-        "order_item_id": p.counting_number("order_item_id"),
+        "order_item_id": _fits("order_item_id", "smallint"),
         "product_id": F.trim("product_id"),
         "seller_id": F.trim("seller_id"),
         "shipping_limit_date": p.iso_timestamp("shipping_limit_date"),
-        "price": p.money("price"),
-        "freight_value": p.money("freight_value"),
+        "price": _fits("price", MONEY),
+        "freight_value": _fits("freight_value", MONEY),
     }
-    judged = _with_parent(raw, stg_orders).withColumn("_reason", rules.reason())
-    return _finish(judged, raw, parsed, loadable, "stg_order_items", "raw_order_items", existing)
+    judged = rules.judge(_with_parent(raw, stg_orders))
+    return _finish(judged, raw, parsed, "stg_order_items", "raw_order_items", existing)
 
 
 def stage_order_payments(
@@ -177,32 +198,35 @@ def stage_order_payments(
 ) -> Staged:
     has_parent = F.col("_has_parent")
     value, number = F.col("payment_value"), F.col("payment_sequential")
-    loadable = number.rlike(p.UNSIGNED_INTEGER) & value.rlike(p.UNSIGNED_NUMBER) & has_parent
-    parts = F.col("payment_installments")
-    overflow = parts.rlike(p.UNSIGNED_INTEGER) & p.counting_number("payment_installments").isNull()
+    shaped = F.coalesce(
+        has_parent & number.rlike(p.UNSIGNED_INTEGER) & value.rlike(p.UNSIGNED_NUMBER), F.lit(False)
+    )
+    counted = F.col("payment_installments").rlike(p.UNSIGNED_INTEGER)
+    installments = F.when(counted, _fits("payment_installments", "smallint")).otherwise(F.lit(0))
     rules = (
-        _Rules(policy)
+        _Rules(policy, shaped)
+        .add_unfit(_fits("payment_sequential", "smallint").isNull(), "invalid_payment_sequential")
+        .add_unfit(_fits("payment_value", MONEY).isNull(), "payment_out_of_range")
+        .add_unfit(F.col("payment_type").isNull(), "missing_payment_type")
+        .add_unfit(installments.isNull(), "invalid_installments")
         .add(value.isNull(), "missing_payment", only_complete=True)
         .add(~value.rlike(p.SIGNED_NUMBER), "payment_not_numeric")
         .add(p.below_zero("payment_value"), "negative_payment")
         .add(value.isNull() | ~has_parent, "orphan_row")
-        .add(loadable & p.counting_number("payment_sequential").isNull(), "invalid_payment_sequential")
-        .add(loadable & p.money("payment_value").isNull(), "payment_out_of_range")
-        .add(loadable & F.col("payment_type").isNull(), "missing_payment_type")
-        .add(loadable & overflow, "invalid_installments")
-        .add(F.coalesce(~number.rlike(p.UNSIGNED_INTEGER), F.lit(True)),
-             "invalid_payment_sequential", only_complete=True)
+        .add(
+            number.isNull() | ~number.rlike(p.UNSIGNED_INTEGER), "invalid_payment_sequential", only_complete=True
+        )
         .add(~value.rlike(p.UNSIGNED_NUMBER), "payment_not_numeric", only_complete=True)
     )
     parsed = {
         "order_id": F.trim("order_id"),
-        "payment_sequential": p.counting_number("payment_sequential"),
+        "payment_sequential": _fits("payment_sequential", "smallint"),
         "payment_type": p.lower_trim("payment_type"),
-        "payment_installments": F.coalesce(p.counting_number("payment_installments"), F.lit(0)),
-        "payment_value": p.money("payment_value"),
+        "payment_installments": installments,
+        "payment_value": _fits("payment_value", MONEY),
     }
-    judged = _with_parent(raw, stg_orders).withColumn("_reason", rules.reason())
-    return _finish(judged, raw, parsed, loadable, "stg_order_payments", "raw_order_payments", existing)
+    judged = rules.judge(_with_parent(raw, stg_orders))
+    return _finish(judged, raw, parsed, "stg_order_payments", "raw_order_payments", existing)
 
 
 def stage_order_reviews(
@@ -210,29 +234,30 @@ def stage_order_reviews(
 ) -> Staged:
     has_parent = F.col("_has_parent")
     score = F.col("review_score")
-    whole = score.rlike(p.SIGNED_INTEGER)
     # Digits too many for a number are out of range as well.
-    in_range = F.coalesce(score.try_cast("int").between(1, 5), F.lit(False))
-    loadable = ~p.is_blank("review_id") & score.rlike(p.UNSIGNED_INTEGER) & in_range & has_parent
+    in_range = F.coalesce(_fits("review_score", "int").between(1, 5), F.lit(False))
+    shaped = F.coalesce(
+        has_parent & ~p.is_blank("review_id") & score.rlike(p.UNSIGNED_INTEGER) & in_range, F.lit(False)
+    )
     rules = (
-        _Rules(policy)
+        _Rules(policy, shaped)
         .add(score.isNull(), "missing_review_score", only_complete=True)
-        .add(~whole, "review_not_numeric")
-        .add(whole & ~in_range, "review_out_of_range")
+        .add(~score.rlike(p.SIGNED_INTEGER), "review_not_numeric")
+        .add(~in_range & score.isNotNull(), "review_out_of_range")
         .add(score.isNull() | ~has_parent, "orphan_row")
         .add(p.is_blank("review_id"), "missing_review_id", only_complete=True)
     )
     parsed = {
         "review_id": F.trim("review_id"),
         "order_id": F.trim("order_id"),
-        "review_score": score.try_cast("smallint"),
+        "review_score": _fits("review_score", "smallint"),
         "review_comment_title": p.blank_to_null("review_comment_title"),
         "review_comment_message": p.blank_to_null("review_comment_message"),
         "review_creation_date": p.iso_timestamp("review_creation_date"),
         "review_answer_timestamp": p.iso_timestamp("review_answer_timestamp"),
     }
-    judged = _with_parent(raw, stg_orders).withColumn("_reason", rules.reason())
-    return _finish(judged, raw, parsed, loadable, "stg_order_reviews", "raw_order_reviews", existing)
+    judged = rules.judge(_with_parent(raw, stg_orders))
+    return _finish(judged, raw, parsed, "stg_order_reviews", "raw_order_reviews", existing)
 
 
 def _first_by_key(df: DataFrame, table: str) -> DataFrame:

@@ -8,6 +8,7 @@ for; what depends on it reads the written form.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,19 +17,39 @@ from pyspark.sql import functions as F
 from mercata.plans import audit, generator, mart, staging
 from mercata.plans.generator import DAY, SEED, Plan
 from mercata.schemas import DYNAMIC_INPUTS, STATIC_INPUTS
-from mercata.session import scratch_path
+from mercata.session import cut_lineage, scratch_path
 from mercata.sources import testdata
 
 # The test orders end on 2001-08-01: two months of daily batches follow the seed.
 TEST_PLAN = Plan(first_day=dt.date(2001, 6, 1), last_day=dt.date(2001, 8, 1))
 
 
+class StoredSource(Mapping):
+    """The raw inputs of a folder of test tables; each is mapped and written on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._stored: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._stored:
+            mapped = testdata.SOURCES[name](self.spark, self.sf_dir)
+            self._stored[name] = cut_lineage(mapped, f"source-{name}")
+        return self._stored[name]
+
+    def __iter__(self):
+        return iter(testdata.SOURCES)
+
+    def __len__(self) -> int:
+        return len(testdata.SOURCES)
+
+
 class Workspace:
     """Lazily derived tables of one source."""
 
     _open: dict[tuple[str, str], "Workspace"] = {}
 
-    def __init__(self, spark: SparkSession, source: dict[str, DataFrame], plan: Plan = TEST_PLAN):
+    def __init__(self, spark: SparkSession, source: Mapping[str, DataFrame], plan: Plan = TEST_PLAN):
         self.spark, self.source, self.plan = spark, source, plan
         self.root = scratch_path(spark, "workspace")
         self.seed_at = dt.datetime.combine(plan.first_day, dt.time()) - dt.timedelta(days=1)
@@ -41,7 +62,7 @@ class Workspace:
         """The workspace of a folder of test tables, shared by all queries of the application."""
         key = (spark.sparkContext.applicationId, sf_dir)
         if key not in cls._open:
-            cls._open[key] = cls(spark, testdata.source_tables(spark, sf_dir))
+            cls._open[key] = cls(spark, StoredSource(spark, sf_dir))
         return cls._open[key]
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -17,6 +17,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Generated methods above 8,000 bytes are never compiled by the JVM; rows with many
+    # cleaning rules run faster operator by operator than in one method of that size.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
