@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from mercata import schemas
 
 # CSV dialect of the input files.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    # Padding is one of the faults to be cleaned later; the writer would drop it by default.
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 BATCH_PREFIX = "batch_"
 
 
