@@ -8,8 +8,9 @@ gives the same rows.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from mercata.functions.parsing import UNSIGNED_NUMBER
 from mercata.operators.sampling import hash_choice, with_sample_flags
 from mercata.schemas import DYNAMIC_INPUTS, STATIC_INPUTS
-from mercata.session import cut_lineage
+from mercata.session import cut_lineage, side_by_side
 from mercata.sources.batches import BATCH_PREFIX, write_csv
 
 DAY = "batch_day"
@@ -135,14 +136,17 @@ def daily_batches(source: Mapping[str, DataFrame], plan: Plan = Plan()) -> dict[
     # Written once: every child joins to the orders, and each sample reads its rows repeatedly.
     orders = cut_lineage(today.unionByName(resent), "batch-orders")
 
-    def children(name: str) -> DataFrame:
-        return cut_lineage(children_of(source[name], orders), f"batch-{name}")
+    def children(name: str) -> Callable[[], DataFrame]:
+        return lambda: cut_lineage(children_of(source[name], orders), f"batch-{name}")
 
+    items, payments, reviews = side_by_side(
+        orders.sparkSession, children("order_items"), children("order_payments"), children("order_reviews")
+    )
     broken = {
         "orders": _break_orders(orders, plan),
-        "order_items": _break_items(children("order_items"), plan),
-        "order_payments": _break_payments(children("order_payments"), plan),
-        "order_reviews": _break_reviews(children("order_reviews"), plan),
+        "order_items": _break_items(items, plan),
+        "order_payments": _break_payments(payments, plan),
+        "order_reviews": _break_reviews(reviews, plan),
     }
     return {name: df.select(*columns[name], DAY) for name, df in broken.items()}
 
@@ -176,8 +180,9 @@ def batch_id_of(day: Column) -> Column:
 
 
 def write_seed(source: Mapping[str, DataFrame], out: str, plan: Plan = Plan()) -> None:
-    for name, df in seed_batch(source, plan).items():
-        write_csv(df, out, name)
+    seed = seed_batch(source, plan)
+    writes = [partial(write_csv, df, out, name) for name, df in seed.items()]
+    side_by_side(seed["orders"].sparkSession, *writes)
 
 
 def write_day(source: Mapping[str, DataFrame], out: str, day: dt.date, plan: Plan = Plan()) -> str:
@@ -188,6 +193,7 @@ def write_day(source: Mapping[str, DataFrame], out: str, day: dt.date, plan: Pla
         F.col("order_day").between(F.lit(day - dt.timedelta(days=1)), F.lit(day))
     )
     near = {**source, "orders": wanted.drop("order_day")}
-    for name, df in daily_batches(near, plan).items():
-        write_csv(df.where(F.col(DAY) == F.lit(day)).drop(DAY), f"{out}/{batch_id}", name)
+    rows = {n: df.where(F.col(DAY) == F.lit(day)).drop(DAY) for n, df in daily_batches(near, plan).items()}
+    writes = [partial(write_csv, df, f"{out}/{batch_id}", name) for name, df in rows.items()]
+    side_by_side(wanted.sparkSession, *writes)
     return batch_id

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from mercata.operators.keyed import narrow_to_keys, upsert_columns
 from mercata.plans import audit, checks, mart, staging
 from mercata.plans.generator import SEED
 from mercata.schemas import DYNAMIC_INPUTS, STATIC_INPUTS
+from mercata.session import side_by_side
 from mercata.sources import batches
 from mercata.sources.warehouse import RAW_DYNAMIC, STAGING_DYNAMIC, Warehouse
 
@@ -34,20 +35,18 @@ CUSTOMER_UPDATES = ("first_order_date", "total_orders", "total_spent")
 
 
 def load_raw(wh: Warehouse, folder: str, batch_id: str, names: Iterable[str], ingested_at=None) -> None:
-    for name, df in batches.load_batch(wh.spark, folder, batch_id, tuple(names), ingested_at).items():
-        wh.replace_batch(name, df, batch_id)
+    loaded = batches.load_batch(wh.spark, folder, batch_id, tuple(names), ingested_at)
+    side_by_side(wh.spark, *[partial(wh.replace_batch, name, df, batch_id) for name, df in loaded.items()])
 
 
 def stage_static(wh: Warehouse) -> None:
-    for name in STATIC_INPUTS:
-        wh.replace(f"stg_{name}", staging.STATIC_STAGERS[name](wh.read(f"raw_{name}")))
+    staged = {n: staging.STATIC_STAGERS[n](wh.read(f"raw_{n}")) for n in STATIC_INPUTS}
+    side_by_side(wh.spark, *[partial(wh.replace, f"stg_{n}", df) for n, df in staged.items()])
 
 
 def stage_dynamic(wh: Warehouse, batch_id: str, policy: str = "reference") -> None:
     """Stage the four inputs of one batch against all other batches, orders first."""
-    rejects = []
-    held = []
-    for name in DYNAMIC_INPUTS:
+    def stage(name: str) -> staging.Staged:
         raw = wh.read_batch(f"raw_{name}", batch_id)
         existing = wh.read_others(f"stg_{name}", batch_id)
         if name == "orders":
@@ -57,12 +56,15 @@ def stage_dynamic(wh: Warehouse, batch_id: str, policy: str = "reference") -> No
             parents = narrow_to_keys(wh.read("stg_orders"), wanted, ["order_id"])
             staged = staging.CHILD_STAGERS[name](raw, parents, existing, policy)
         # Read for the clean rows and again for the rejects; as large as the batch.
-        held.append(staged.judged.persist())
+        staged.judged.persist()
         wh.replace_batch(f"stg_{name}", staged.clean, batch_id)
-        rejects.append(staged.rejects)
-    wh.replace_batch("rejected_rows", reduce(DataFrame.unionByName, rejects), batch_id)
-    for df in held:
-        df.unpersist()
+        return staged
+
+    first, *children = DYNAMIC_INPUTS
+    done = [stage(first), *side_by_side(wh.spark, *[partial(stage, name) for name in children])]
+    wh.replace_batch("rejected_rows", reduce(DataFrame.unionByName, [s.rejects for s in done]), batch_id)
+    for staged in done:
+        staged.judged.unpersist()
 
 
 def write_audit(wh: Warehouse, batch_id: str, started: float) -> None:
@@ -87,13 +89,10 @@ def build_static_dimensions(wh: Warehouse) -> None:
     """Products keep the sizes first loaded and follow later names; sellers follow all columns."""
     products = mart.build_dim_product(*wh.tables("stg_products", "stg_category_translation").values())
     sellers = mart.build_dim_seller(wh.read("stg_sellers"))
-    wh.replace(
-        "dim_product",
-        upsert_columns(wh.read("dim_product"), products, ["product_id"], ["category_pt", "category_en"]),
-    )
-    wh.replace(
-        "dim_seller",
-        upsert_columns(wh.read("dim_seller"), sellers, ["seller_id"], ["seller_city", "seller_state"]),
+    names = upsert_columns(wh.read("dim_product"), products, ["product_id"], ["category_pt", "category_en"])
+    places = upsert_columns(wh.read("dim_seller"), sellers, ["seller_id"], ["seller_city", "seller_state"])
+    side_by_side(
+        wh.spark, partial(wh.replace, "dim_product", names), partial(wh.replace, "dim_seller", places)
     )
 
 
@@ -101,10 +100,12 @@ def rebuild_mart(wh: Warehouse) -> None:
     """Build customers and facts from all of staging."""
     stg = wh.tables(*STAGING_DYNAMIC, "stg_customers")
     orders, items, payments, reviews, people = stg.values()
-    wh.replace("dim_customer", mart.build_dim_customer(orders, items, people))
-    wh.replace_all_batches(
-        "fct_order_items",
-        mart.build_fct_order_items(items, orders, people, wh.read("dim_product"), wh.read("dim_seller")),
+    customers = mart.build_dim_customer(orders, items, people)
+    facts = mart.build_fct_order_items(items, orders, people, wh.read("dim_product"), wh.read("dim_seller"))
+    side_by_side(
+        wh.spark,
+        partial(wh.replace, "dim_customer", customers),
+        partial(wh.replace_all_batches, "fct_order_items", facts),
     )
     wh.replace_all_batches(
         "fct_orders",
@@ -181,8 +182,7 @@ def update_orders(wh: Warehouse, batch_id: str) -> None:
 
 
 def update_mart(wh: Warehouse, batch_id: str) -> None:
-    update_customers(wh, batch_id)
-    update_items(wh, batch_id)
+    side_by_side(wh.spark, partial(update_customers, wh, batch_id), partial(update_items, wh, batch_id))
     update_orders(wh, batch_id)
 
 

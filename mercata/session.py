@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -70,3 +74,10 @@ def clear_scratch(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def side_by_side(spark: SparkSession, *work: Callable[[], Any]) -> list[Any]:
+    """Run independent actions at the same time, so the small ones do not wait for the large."""
+    bound = [inheritable_thread_target(spark)(w) for w in work]
+    with ThreadPoolExecutor(max_workers=len(bound)) as pool:
+        return [f.result() for f in [pool.submit(b) for b in bound]]
