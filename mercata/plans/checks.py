@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercata.operators.keyed import duplicate_keys
+from mercata.plans.audit import load_history
 from mercata.schemas import TABLES
 
 
@@ -68,3 +69,13 @@ def constraint_breaches(df: DataFrame, table: str) -> DataFrame:
     nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in spec.not_null]
     repeated = duplicate_keys(df, spec.key).agg(F.count(F.lit(1))).scalar()
     return df.agg(*nulls).select("*", repeated.alias("repeated_keys"))
+
+
+def evidence(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """What to look at after a run: loads, rows per table, repeated item keys, orphan items."""
+    return {
+        "load_audit": load_history(tables["load_audit"]),
+        "layer_counts": layer_counts(tables),
+        "repeated_keys": repeated_keys(tables["fct_order_items"], "fct_order_items"),
+        "orphan_items": orphan_count(tables["fct_order_items"], tables["stg_orders"]),
+    }

@@ -68,13 +68,12 @@ def build_dim_customer(stg_orders: DataFrame, stg_items: DataFrame, stg_customer
     )
 
 
-def _sold_orders(stg_orders: DataFrame, stg_customers: DataFrame, columns: list[str], *about: str) -> DataFrame:
-    """Orders that count as sales, with the person behind them."""
-    return (
-        stg_orders.where(labels.is_kept_status())
-        .select("order_id", "customer_id", "order_status", "order_purchase_timestamp", *columns)
-        .join(stg_customers.select("customer_id", "customer_unique_id", *about), "customer_id")
-    )
+def _sold_orders(stg_orders: DataFrame, people: DataFrame, *columns: str) -> DataFrame:
+    """Orders that count as sales, with what ``people`` tells of the customer_id behind them."""
+    sold = stg_orders.where(labels.is_kept_status())
+    return sold.select(
+        "order_id", "customer_id", "order_status", "order_purchase_timestamp", *columns
+    ).join(people, "customer_id")
 
 
 def build_fct_order_items(
@@ -89,7 +88,8 @@ def build_fct_order_items(
     The dimensions are not broadcast by hint: they grow with the catalog, and Spark
     broadcasts them by itself as long as they are small.
     """
-    sold = _sold_orders(stg_orders, stg_customers, [], "customer_state", "customer_city")
+    people = stg_customers.select("customer_id", "customer_unique_id", "customer_state", "customer_city")
+    sold = _sold_orders(stg_orders, people)
     facts = (
         stg_items.drop("ingested_at", "shipping_limit_date")
         .join(sold, "order_id")
@@ -153,20 +153,24 @@ def build_fct_orders(
     of the order's own batch count; the review score and the repeat flag follow every
     later batch.
     """
-    dates = ["order_delivered_customer_date", "order_estimated_delivery_date", "batch_id"]
+    # The flag joins the two ids of a customer, not the wide order rows.
+    people = (
+        stg_customers.select("customer_id", "customer_unique_id")
+        .join(repeat_people(dim_customer), "customer_unique_id", "left")
+        .withColumn("is_repeat_customer", F.coalesce("is_repeat_customer", F.lit(False)))
+    )
+    dates = ("order_delivered_customer_date", "order_estimated_delivery_date", "batch_id")
     facts = (
-        _sold_orders(stg_orders, stg_customers, dates)
+        _sold_orders(stg_orders, people, *dates)
         .join(items_per_order(stg_items), ["order_id", "batch_id"], "left")
         .join(payments_per_order(stg_payments), ["order_id", "batch_id"], "left")
         .join(reviews_per_order(stg_reviews), "order_id", "left")
-        .join(repeat_people(dim_customer), "customer_unique_id", "left")
         .withColumn("order_purchase_date", F.to_date("order_purchase_timestamp"))
         .withColumn("delivery_days", labels.delivery_days())
         .withColumn("delay_days", labels.delay_days())
         .withColumn("is_late", labels.is_late())
         .withColumn("item_count", F.coalesce("item_count", F.lit(0)))
         .withColumn("order_revenue", F.coalesce("order_revenue", F.lit(0)))
-        .withColumn("is_repeat_customer", F.coalesce("is_repeat_customer", F.lit(False)))
         .withColumn("loaded_at", F.current_timestamp())
     )
     return conform(facts, "fct_orders")

@@ -15,6 +15,7 @@ from mercata.plans import (
     checks,
     delivery,
     generator,
+    jobs,
     mart,
     overview,
     product,
@@ -135,6 +136,22 @@ def _stream_stage_orders(w: Workspace) -> DataFrame:
     return ingest.read_staged(w.spark, staged).drop("epoch")
 
 
+def _run_seed(w: Workspace) -> DataFrame:
+    """The item fact after a seed run from CSV files."""
+    root, warehouse = w.seeded()
+    seed = warehouse.read("fct_order_items").where(F.col("batch_id") == generator.SEED)
+    return seed.drop("loaded_at")
+
+
+def _run_next_batch(w: Workspace) -> DataFrame:
+    """The item fact after the seed and the run of the first daily batch."""
+    root, warehouse = w.seeded()
+    if len(warehouse.batch_ids("load_audit")) == 1:
+        generator.write_day(w.source, root, w.plan.first_day, w.plan)
+        jobs.run_next_batch(warehouse, root)
+    return warehouse.read("fct_order_items").drop("loaded_at")
+
+
 LAYERS = (
     "raw_orders",
     "raw_order_items",
@@ -219,6 +236,9 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "fct_orders": _table(ORDERS, "loaded_at"),
     "upsert_dim_customer": _upsert_dim_customer,
     "insert_if_absent": _insert_if_absent,
+    # runs over a warehouse
+    "run_seed": _run_seed,
+    "run_next_batch": _run_next_batch,
     # checks
     "column_checks": _on(checks.column_checks, ITEMS),
     "repeated_item_keys": _source(lambda i: checks.repeated_keys(i, "stg_order_items", limit=None), "order_items"),

@@ -14,11 +14,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercata.plans import audit, generator, mart, staging
+from mercata.plans import audit, generator, jobs, mart, staging
 from mercata.plans.generator import DAY, SEED, Plan
 from mercata.schemas import DYNAMIC_INPUTS, STATIC_INPUTS
 from mercata.session import cut_lineage, scratch_path
 from mercata.sources import testdata
+from mercata.sources.warehouse import Warehouse
 
 # The test orders end on 2001-08-01: two months of daily batches follow the seed.
 TEST_PLAN = Plan(first_day=dt.date(2001, 6, 1), last_day=dt.date(2001, 8, 1))
@@ -52,10 +53,11 @@ class Workspace:
     def __init__(self, spark: SparkSession, source: Mapping[str, DataFrame], plan: Plan = TEST_PLAN):
         self.spark, self.source, self.plan = spark, source, plan
         self.root = scratch_path(spark, "workspace")
-        self.seed_at = dt.datetime.combine(plan.first_day, dt.time()) - dt.timedelta(days=1)
+        self.seed_at = plan.first_day - dt.timedelta(days=1)
         self._tables: dict[str, DataFrame] = {}
         self._batches: dict[str, DataFrame] | None = None
         self._seed: dict[str, DataFrame] | None = None
+        self._seeded: tuple[str, Warehouse] | None = None
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Workspace":
@@ -72,6 +74,17 @@ class Workspace:
             self._tables[name] = self.spark.read.parquet(path)
         return self._tables[name]
 
+    def seeded(self) -> tuple[str, Warehouse]:
+        """A warehouse after a seed run from CSV files, and the folder its batches come from."""
+        if self._seeded is None:
+            root = f"{self.root}/runs"
+            generator.write_seed(self.source, f"{root}/seed", self.plan)
+            warehouse = Warehouse(self.spark, f"{self.root}/warehouse")
+            warehouse.create()
+            jobs.run_seed(warehouse, f"{root}/seed")
+            self._seeded = root, warehouse
+        return self._seeded
+
     def some(self, *names: str) -> list[DataFrame]:
         return [self[n] for n in names]
 

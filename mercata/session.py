@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.util import inheritable_thread_target
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_local_dirs: dict[str, str] = {}
 
 # Everything else is left to the cluster's own settings: executors, memory and
 # the number of shuffle partitions depend on where the job runs.
@@ -48,7 +49,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="mercata-")
+        application = context.applicationId
+        if application not in _local_dirs:
+            _local_dirs[application] = tempfile.mkdtemp(prefix="mercata-")
+        named = _local_dirs[application]
     return named.rstrip("/")
 
 

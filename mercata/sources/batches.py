@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,16 +55,25 @@ def scan_csv(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true", nullValue="").csv(path)
 
 
-def stamp(df: DataFrame, batch_id: str, ingested_at=None) -> DataFrame:
-    """Add the batch id and one load time shared by all rows of the run."""
-    loaded = F.current_timestamp() if ingested_at is None else F.lit(ingested_at).cast("timestamp")
-    return df.withColumn("batch_id", F.lit(batch_id)).withColumn("ingested_at", loaded)
+def stamp(df: DataFrame, batch_id: str, ingested_at: dt.datetime) -> DataFrame:
+    """Add the batch id and the load time."""
+    return df.withColumn("batch_id", F.lit(batch_id)).withColumn(
+        "ingested_at", F.lit(ingested_at).cast("timestamp")
+    )
 
 
 def load_batch(
-    spark: SparkSession, folder: str, batch_id: str, names=tuple(schemas.INPUT_DDL), ingested_at=None
+    spark: SparkSession,
+    folder: str,
+    batch_id: str,
+    names: Iterable[str] = tuple(schemas.INPUT_DDL),
+    ingested_at: dt.datetime | None = None,
 ) -> dict[str, DataFrame]:
-    """All inputs of a batch as raw tables, keyed ``raw_<input>``."""
+    """All inputs of a batch as raw tables, keyed ``raw_<input>``.
+
+    They share one load time: a child counts as an orphan if its order came later.
+    """
+    ingested_at = ingested_at or dt.datetime.now(dt.timezone.utc)
     return {f"raw_{n}": stamp(scan_csv(spark, folder, n), batch_id, ingested_at) for n in names}
 
 

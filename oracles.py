@@ -485,6 +485,8 @@ SQL["dim_customer"] = f"""
 select customer_unique_id, customer_city, customer_state, {day('first_order_date')} as first_order_date, total_orders,
   {money('spent')} as total_spent from dim_customer"""
 SQL["fct_order_items"] = f"{_item_columns('fi')}, batch_id from (select * replace ({big('order_item_id')} as order_item_id) from fi)"
+SQL["run_seed"] = SQL["fct_order_items"] + " where batch_id = 'seed'"
+SQL["run_next_batch"] = SQL["fct_order_items"] + " where batch_id in ('seed', 'batch_20010601')"
 SQL["fct_orders"] = f"""
 select order_id, customer_id, customer_unique_id, order_status, {when('order_purchase_timestamp')} as
   order_purchase_timestamp, {day('order_purchase_date')} as order_purchase_date,

@@ -58,7 +58,7 @@ def differences(con, sql: str, df) -> list[str]:
 
 def main() -> int:
     import __spark_entry__ as entry
-    from mercata.session import build_session
+    from mercata.session import build_session, clear_scratch
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session(
@@ -86,6 +86,7 @@ def main() -> int:
         for p in problems:
             print("   ", p)
     print(f"{bad} of {len(sql)} differ")
+    clear_scratch(spark)
     return bad
 
 

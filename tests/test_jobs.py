@@ -109,6 +109,14 @@ def test_declared_keys_and_not_nulls_hold(loaded):
         assert set(row) == {0}, (table, row)
 
 
+def test_evidence(loaded):
+    names = ("raw_orders", "stg_orders", "fct_order_items", "load_audit")
+    shown = checks.evidence(loaded.tables(*names))
+    assert shown["load_audit"].count() == 20 and shown["repeated_keys"].isEmpty()
+    assert shown["orphan_items"].first().orphans == 0
+    assert {r.table_name for r in shown["layer_counts"].collect()} == set(names)
+
+
 def test_next_batch_and_status(spark, loaded, folders):
     root, ids = folders
     available = batches.available_batches(spark, root)

@@ -20,6 +20,9 @@ def test_batches_are_loaded_as_they_appear(spark, tmp_path):
 
     ingest.ingest_batches(wh, root, checkpoint).awaitTermination()
     assert set(wh.batch_ids("load_audit")) == {"seed", first}
+    # All files of a batch share one load time, so no child of these clean batches is an orphan.
+    assert wh.read("rejected_rows").isEmpty()
+    assert wh.read("load_audit").agg({"rows_dup": "max"}).first()[0] == 0
     rows = wh.read("fct_orders").count()
 
     second = generator.write_day(source, root, days[1], small.PLAN)
