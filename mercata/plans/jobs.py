@@ -17,7 +17,7 @@ from mercata.operators.keyed import narrow_to_keys, upsert_columns
 from mercata.plans import audit, checks, mart, staging
 from mercata.plans.generator import SEED
 from mercata.schemas import DYNAMIC_INPUTS, STATIC_INPUTS
-from mercata.session import side_by_side
+from mercata.session import cut_lineage, side_by_side
 from mercata.sources import batches
 from mercata.sources.warehouse import RAW_DYNAMIC, STAGING_DYNAMIC, Warehouse
 
@@ -162,7 +162,9 @@ def update_orders(wh: Warehouse, batch_id: str) -> None:
     keys = ["order_id", "batch_id"]
     reviewed = narrow_to_keys(earlier, wh.read_batch("stg_order_reviews", batch_id), ["order_id"])
     repeated = narrow_to_keys(earlier.where("not is_repeat_customer"), people_of, ["customer_unique_id"])
-    changed = reviewed.select(*keys).unionByName(repeated.select(*keys)).distinct()
+    changed = cut_lineage(
+        reviewed.select(*keys).unionByName(repeated.select(*keys)).distinct(), "changed-orders"
+    )
     own = wh.read_batch("stg_orders", batch_id).select(*keys)
 
     orders = narrow_to_keys(wh.read("stg_orders"), changed.unionByName(own), ["order_id"])
@@ -174,7 +176,9 @@ def update_orders(wh: Warehouse, batch_id: str) -> None:
     known = narrow_to_keys(wh.read("dim_customer"), people, ["customer_unique_id"])
     fresh = mart.build_fct_orders(orders, people, *children, known)
 
-    rewritten = narrow_to_keys(earlier, changed.select("batch_id"), ["batch_id"])
+    # At most one name per batch; as literals they keep all other folders from being read.
+    folders = [r.batch_id for r in changed.select("batch_id").distinct().collect()]
+    rewritten = earlier.where(F.col("batch_id").isin(folders))
     merged = upsert_columns(rewritten, fresh, ["order_id"], ORDER_UPDATES)
     # An order no longer staged in this batch must not outlive a repeated run.
     wh.drop_batches("fct_orders", [batch_id])
