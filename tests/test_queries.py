@@ -5,9 +5,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+import oracles
 from compare import differences, open_oracle
+from mercata.plans.queries import all_queries
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), oracles.all_statements()
 
 
 @pytest.fixture(scope="module")
