@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from mercata.llm import quality_rules
+from mercata.llm import bpe, quality_rules
 
 QUERIES = {
+    "op1_bpe": bpe.query,
     "op3_quality_rules": quality_rules.query,
 }
 
