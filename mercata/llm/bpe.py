@@ -234,8 +234,10 @@ class Encoder:
             yield ragged(self.flat, starts, self.bounds[codes + 1] - starts)
 
 
-#: One encoder for each vocabulary and Python worker.
-encoder = lru_cache(maxsize=2)(Encoder)
+@lru_cache(maxsize=2)
+def encoder(path: str, pattern: str) -> Encoder:
+    """One for each vocabulary and Python worker."""
+    return Encoder(path, pattern)
 
 
 def encoded(df: DataFrame, id_col: str, text_col: str, path: str, pattern: str) -> DataFrame:
