@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,6 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from mercata.llm.common import ragged, read_table
+from mercata.llm.pieces import PieceTable
 
 VOCABULARY = "byte_bpe_50k.json"
 KNOWN_PIECES = 600_000
@@ -153,23 +153,16 @@ class Vocabulary:
         return raw.decode("utf-8", "replace").encode()
 
 
-class Encoder:
-    """Texts to ids; keeps the ids of the pieces that it has seen, up to ``KNOWN_PIECES``."""
+class Encoder(PieceTable):
+    """Texts to ids."""
 
     def __init__(self, path: str, pattern: str):
+        super().__init__(np.int32, KNOWN_PIECES)
         self.words = Vocabulary(path)
         self.pattern = regex.compile(pattern)
         self.marks = regex.compile("|".join(map(regex.escape, self.words.special)) or r"(?!)")
-        self.forget()
 
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.empty(1 << 20, np.int32)
-        self.used = 0
-        self.bounds = np.zeros(1 << 16, np.int64)
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
+    def pieces(self, text: str) -> list[str]:
         """The text cut before each blank or line end that stands alone between other characters."""
         if SPACES.search(text) is None and "\0" not in text:
             return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
@@ -189,10 +182,11 @@ class Encoder:
         """Encode the words that are new among the pieces, then put the pieces together from words."""
         split = [(p, self.words_of(p)) for p in new]
         words = sorted({w for _, ws in split for w in ws if w not in self.known and isinstance(w, str)}, key=str.encode)
-        for word, ids in zip(words, self.words.encode_words([w.encode() for w in words]), strict=True):
-            self.keep(word, ids)
+        rows = self.words.encode_words([w.encode() for w in words])
+        self.keep(words, np.array([i for r in rows for i in r], np.int32), np.array([*map(len, rows)], np.int64))
+        mixed, rows = [], []
         for piece, ws in split:
-            if len(ws) != 1 or piece not in self.known:
+            if piece not in self.known:
                 row: list[int] = []
                 for w in ws:
                     if isinstance(w, int):
@@ -200,38 +194,9 @@ class Encoder:
                     else:
                         code = self.known[w]
                         row += self.flat[self.bounds[code] : self.bounds[code + 1]].tolist()
-                self.keep(piece, row)
-
-    def keep(self, piece: str, ids: list[int]) -> None:
-        end, code = self.used + len(ids), len(self.known)
-        if end > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(max(end, len(self.flat)), np.int32)])
-        if code + 2 > len(self.bounds):
-            self.bounds = np.concatenate([self.bounds, np.zeros(len(self.bounds), np.int64)])
-        self.flat[self.used : end] = ids
-        self.bounds[code + 1] = self.used = end
-        self.known[piece] = code
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text, in blocks of about a million characters."""
-        block: list[list[str]] = []
-        size = 0
-        for i, text in enumerate(texts):
-            block.append(self.pieces(text))
-            size += len(text)
-            if size > 1 << 20 or i == len(texts) - 1:
-                yield from self._block(block)
-                block, size = [], 0
-
-    def _block(self, block: list[list[str]]) -> Iterator[np.ndarray]:
-        if len(self.known) > KNOWN_PIECES:
-            self.forget()
-        if new := {p for pieces in block for p in pieces} - self.known.keys():
-            self.learn(list(new))
-        for pieces in block:
-            codes = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-            starts = self.bounds[codes]
-            yield ragged(self.flat, starts, self.bounds[codes + 1] - starts)
+                mixed.append(piece)
+                rows.append(row)
+        self.keep(mixed, np.array([i for r in rows for i in r], np.int32), np.array([*map(len, rows)], np.int64))
 
 
 @lru_cache(maxsize=2)

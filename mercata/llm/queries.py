@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from mercata.llm import bpe, quality_rules
+from mercata.llm import bpe, packing, quality_rules
 
 QUERIES = {
     "op1_bpe": bpe.query,
     "op3_quality_rules": quality_rules.query,
+    "op10_packing": packing.query,
 }
 
 ORACLE_SQL = {
