@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from mercata.llm import bpe, packing, quality_rules
+from mercata.llm import bpe, packing, quality_rules, token_files
 
 QUERIES = {
     "op1_bpe": bpe.query,
     "op3_quality_rules": quality_rules.query,
+    "op4_token_files": token_files.query,
     "op10_packing": packing.query,
 }
 
