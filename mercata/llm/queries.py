@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from mercata.llm import bpe, packing, quality_rules, token_files
+from mercata.llm import bpe, packing, quality_rules, token_files, warc
 
 QUERIES = {
     "op1_bpe": bpe.query,
     "op3_quality_rules": quality_rules.query,
     "op4_token_files": token_files.query,
+    "op6_warc": warc.query,
     "op10_packing": packing.query,
 }
 
 ORACLE_SQL = {
     "op3_quality_rules": quality_rules.ORACLE,
+    "op6_warc": warc.ORACLE,
 }
