@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from mercata.llm import bpe, packing, quality_rules, token_files, warc
+from mercata.llm import bpe, language_id, packing, quality_rules, token_files, warc
 
 QUERIES = {
     "op1_bpe": bpe.query,
     "op3_quality_rules": quality_rules.query,
     "op4_token_files": token_files.query,
     "op6_warc": warc.query,
+    "op8_language_id": language_id.query,
     "op10_packing": packing.query,
 }
 
