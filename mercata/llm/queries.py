@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from mercata.llm import bpe, language_id, packing, quality_rules, token_files, warc
+from mercata.llm import bpe, language_id, packing, quality_rules, simhash, token_files, warc
 
 QUERIES = {
     "op1_bpe": bpe.query,
+    "op2_simhash": simhash.query,
     "op3_quality_rules": quality_rules.query,
     "op4_token_files": token_files.query,
     "op6_warc": warc.query,
