@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mercata.llm import bpe, language_id, packing, quality_rules, simhash, token_files, warc
+from mercata.llm import bpe, language_id, packing, quality_rules, simhash, suffix_dedup, token_files, warc
 
 QUERIES = {
     "op1_bpe": bpe.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality_rules": quality_rules.query,
     "op4_token_files": token_files.query,
     "op6_warc": warc.query,
+    "op7_suffix_dedup": suffix_dedup.query,
     "op8_language_id": language_id.query,
     "op10_packing": packing.query,
 }
