@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from mercata.llm import bpe, language_id, packing, quality_rules, simhash, suffix_dedup, token_files, warc
+from mercata.llm import bpe, language_id, neighbours, packing, quality_rules, simhash, suffix_dedup, token_files, warc
 
 QUERIES = {
     "op1_bpe": bpe.query,
     "op2_simhash": simhash.query,
     "op3_quality_rules": quality_rules.query,
     "op4_token_files": token_files.query,
+    "op5_neighbours": neighbours.query,
     "op6_warc": warc.query,
     "op7_suffix_dedup": suffix_dedup.query,
     "op8_language_id": language_id.query,
