@@ -173,8 +173,9 @@ def payload_of(block: bytes, digest: str) -> bytes:
     return payload
 
 
-def raw_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives under ``path``."""
+def raw_records(spark: SparkSession, path: str, *, settle: bool = False) -> DataFrame:
+    """One row per record of the archives under ``path``. With ``settle`` a response in one record is
+    checked against its digest on the spot and keeps its payload's size instead of its block."""
 
     def run(batches):
         names = ["origin", "number", "total", "id", "type", "refers_to", "digest", "bytes", "block"]
@@ -184,6 +185,8 @@ def raw_records(spark: SparkSession, path: str) -> DataFrame:
                 out: list[list] = [[] for _ in names]
                 for h, block in parsed(archive.as_py()):
                     number, total, size = (h.get(k) for k in ("warc-segment-number", "warc-segment-total-length", "x-payload-length"))
+                    if settle and number is None and h["warc-type"] == "response":
+                        size, block = len(payload_of(block, h["warc-payload-digest"].removeprefix("sha256:"))), None
                     row = (
                         h.get("warc-segment-origin-id", h["warc-record-id"]).strip("<>"),
                         number and int(number),
@@ -192,7 +195,7 @@ def raw_records(spark: SparkSession, path: str) -> DataFrame:
                         h["warc-type"],
                         h["warc-refers-to"].strip("<>").removeprefix("urn:page:") if "warc-refers-to" in h else None,
                         h.get("warc-payload-digest", "").removeprefix("sha256:") or None,
-                        size and int(size),
+                        size if size is None else int(size),
                         block,
                     )
                     for column, value in zip(out, row, strict=True):
@@ -215,7 +218,7 @@ def read_archives(spark: SparkSession, path: str, *, with_payload: bool = True)
             for parts in batch.column(0).to_pylist():
                 first, payload = parts[0], None
                 size = first["bytes"]
-                if first["type"] == "response":
+                if first["type"] == "response" and first["block"] is not None:
                     payload = payload_of(joined(parts), first["digest"])
                     size = len(payload)
                 row = (first["id"], size, first["digest"], first["type"], first["refers_to"], payload)
@@ -225,7 +228,7 @@ def read_archives(spark: SparkSession, path: str, *, with_payload: bool = True)
             yield pa.RecordBatch.from_arrays(columns[: 5 + with_payload], names[: 5 + with_payload])
 
     part = F.struct(F.coalesce("number", F.lit(1)).alias("number"), "total", "id", "type", "refers_to", "digest", "bytes", "block")
-    groups = raw_records(spark, path).groupBy("origin").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    groups = raw_records(spark, path, settle=not with_payload).groupBy("origin").agg(F.sort_array(F.collect_list(part)).alias("parts"))
     schema = "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string"
     return groups.select("parts").mapInArrow(run, schema + ", payload binary" * with_payload)
 
