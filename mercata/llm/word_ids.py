@@ -18,7 +18,7 @@ from mercata.llm.pieces import PieceTable
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-KNOWN_PIECES = 800_000
+KNOWN_PIECES = 1_200_000
 CALL = 64
 POINTS = ".,;:!?"
 
@@ -38,6 +38,13 @@ class WordIds(PieceTable):
         self.points = {"": []} | {p: self._ids(p).tolist() for p in POINTS}
 
     def pieces(self, text: str) -> list[str]:
+        # The vocabulary is lower case; Python's lower case is the library's for these letters.
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            pass
+        else:
+            text = text.lower()
         return text.replace("\n", " ").split(" ")
 
     def _ids(self, text: str) -> np.ndarray:
