@@ -17,7 +17,7 @@ import numpy as np
 
 BITS = 20
 LOW = np.uint64(1 << 31)
-LANES, EVERY = 512, 256
+LANES, EVERY = 1024, 256
 MAGIC = b"RTOK"
 HEAD = struct.Struct("<4sHHIIIII")  # magic, version, bits, lanes, steps between checkpoints, tokens, words, table checksum
 

@@ -1,6 +1,6 @@
 """Token ids in compressed files that can be read in parallel.
 
-Documents are encoded once and written as an intermediate table; a count of every id over all
+Documents are encoded once and written as an intermediate table with counts of the ids; their sum over all
 documents gives the shared frequency table. The documents are then put in ascending order of id by
 a range shuffle of the ids (not the texts), cut into blocks at document ends, and each block is
 coded on its own. A file set is a folder with
@@ -35,7 +35,9 @@ SYMBOLS = 1 << 16
 
 
 def tokenised(df: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
-    """id, n_tokens and the ids (16 bits each, zstd) of every row; a null text has the end id alone."""
+    """id, n (tokens) and the ids (16 bits each, zstd) of every row; a null text has the end id alone.
+    The first row of each batch also has how often each id occurs in the batch (``counts``)."""
+    kinds = pa.list_(pa.struct([("symbol", pa.int32()), ("n", pa.int64())]))
 
     def run(batches):
         words = word_ids(path)
@@ -43,13 +45,21 @@ def tokenised(df: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame
         for batch in batches:
             rows = list(words.with_end([t or "" for t in batch.column(1).to_pylist()]))
             packed = [pack.compress(r.astype("<u2").tobytes()) for r in rows]
+            if not rows:
+                continue
+            n = np.bincount(np.concatenate(rows), minlength=SYMBOLS)
+            seen = np.flatnonzero(n)
+            pairs = pa.StructArray.from_arrays([pa.array(seen, pa.int32()), pa.array(n[seen], pa.int64())], ["symbol", "n"])
+            ends = pa.array([0, *[len(seen)] * len(rows)], pa.int32())
+            counts = pa.ListArray.from_arrays(ends, pairs, mask=pa.array([i > 0 for i in range(len(rows))])).cast(kinds)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([*map(len, rows)], pa.int64()), pa.array(packed, pa.binary())], ["id", "n", "ids"]
+                [batch.column(0), pa.array([*map(len, rows)], pa.int64()), pa.array(packed, pa.binary()), counts],
+                ["id", "n", "ids", "counts"],
             )
 
     kind = dict(df.dtypes)[id_col]
     return df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, n long, ids binary"
+        run, f"id {kind}, n long, ids binary, counts array<struct<symbol: int, n: long>>"
     )
 
 
@@ -59,18 +69,20 @@ def _unpacked(column: pa.Array) -> list[np.ndarray]:
 
 
 def frequencies(tokens: DataFrame) -> np.ndarray:
-    """How often each id occurs. Tasks send their own counts; the result is bounded by the vocabulary."""
+    """How often each id occurs, from the counts that ``tokenised`` keeps; bounded by the vocabulary."""
 
     def run(batches):
         counts = np.zeros(SYMBOLS, np.int64)
         for batch in batches:
-            if batch.num_rows:
-                counts += np.bincount(np.concatenate(_unpacked(batch.column(0))), minlength=SYMBOLS)
+            for part in batch.column(0):
+                symbols, n = (part.values.field(i).to_numpy() for i in range(2))
+                counts[symbols] += n
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen], pa.int64())], ["symbol", "n"])
 
     total = np.zeros(SYMBOLS, np.int64)
-    sums = tokens.select("ids").mapInArrow(run, "symbol int, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
+    kept = tokens.select("counts").where("counts IS NOT NULL")
+    sums = kept.mapInArrow(run, "symbol int, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
     for row in sums.collect():
         total[row["symbol"]] = row["n"]
     return total
@@ -124,7 +136,7 @@ def write_tokens(tokens: DataFrame, path: str) -> None:
 
     # Range limits also on the content, so that many rows of one id do not meet in one task.
     order = [F.col("id").asc_nulls_first(), F.col("n"), F.xxhash64("ids"), F.col("ids")]
-    ordered = tokens.repartitionByRange(partitions(tokens), *order[:3]).sortWithinPartitions(*order)
+    ordered = tokens.drop("counts").repartitionByRange(partitions(tokens), *order[:3]).sortWithinPartitions(*order)
     schema = f"file long, block long, first_token long, n_tokens long, ids array<{id_kind}>, lengths array<long>, payload binary"
     ordered.select("id", "ids").mapInArrow(run, schema).write.option("compression", "none").parquet(f"{path}/blocks")
 
