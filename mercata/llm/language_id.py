@@ -24,7 +24,7 @@ from mercata.llm.common import read_table
 from mercata.session import cut_lineage
 
 BYTE_CLASSES = 128
-TABLE_BYTES = 48 << 20
+TABLE_BYTES = 32 << 20
 UNIT = 1024  # code lengths are whole numbers of 1/1024 bit, so sums do not depend on their order
 PART = 4 << 20  # bytes handled at a time
 UNKNOWN = "und"
@@ -81,11 +81,11 @@ class Model:
     """Code lengths per context, following byte and language; see ``trained``."""
 
     def __init__(self, langs: list[str], classes: np.ndarray, shorter: np.ndarray, longer: dict):
-        """``shorter``: counts (language, class, class, class); ``longer``: contexts (sorted) and
-        counts (language, context, class)."""
+        """``shorter``: counts (language, class, class, class); ``longer``: contexts (sorted), and for
+        each language the rows, classes and counts of what followed them."""
         self.langs, self.classes, self.size = langs, classes, shorter.shape[1]
         a, n_langs = self.size, len(langs)
-        contexts, counts = longer["contexts"], longer["counts"]
+        contexts, followers = longer["contexts"], longer["followers"]
         table = np.empty((a * a + len(contexts), a, n_langs), np.uint16)
         for i in range(n_langs):
             chance = np.full(a, 1 / a)
@@ -93,8 +93,14 @@ class Model:
                 if order.ndim == 2 and len(order) == a * a:
                     chance = np.tile(chance, (a, 1))  # the context of one byte is the last byte
                 chance = blended(order.astype(float), chance)
-            lower = np.concatenate([chance, blended(counts[i].astype(float), chance[contexts % (a * a)])])
-            table[:, :, i] = np.minimum(np.round(-np.log2(lower) * UNIT), 65535)
+            table[: a * a, :, i] = coded_lengths(chance)
+            for first in range(0, len(contexts), a * a):  # as many contexts at a time as of two bytes
+                part = contexts[first : first + a * a]
+                counts = np.zeros((len(part), a))
+                at, follower, n = followers[i]
+                own = (at >= first) & (at < first + len(part))
+                counts[at[own] - first, follower[own]] = n[own]
+                table[a * a + first : a * a + first + len(part), :, i] = coded_lengths(blended(counts, chance[part % (a * a)]))
         self.table = table.reshape(-1, n_langs)
         self.row = np.tile(np.arange(a * a, dtype=np.int32), a)
         self.row[contexts] = a * a + np.arange(len(contexts), dtype=np.int32)
@@ -126,6 +132,10 @@ class Model:
         return best, score, bits
 
 
+def coded_lengths(chances: np.ndarray) -> np.ndarray:
+    return np.minimum(np.round(-np.log2(chances) * UNIT), 65535).astype(np.uint16)
+
+
 def blended(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
     """Chances of each follower: its share where it was seen, else the escape and the chance below."""
     total, seen = counts.sum(-1, keepdims=True), (counts > 0).sum(-1, keepdims=True)
@@ -145,7 +155,7 @@ def trained(texts: DataFrame) -> Model:
         classes[r["byte"]] = k + 1
     a, n_langs = len(top) + 1, len(langs)
     if not langs:
-        return Model([], classes, np.zeros((0, 1, 1, 1)), {"contexts": np.empty(0, np.int64), "counts": np.zeros((0, 0, 1))})
+        return Model([], classes, np.zeros((0, 1, 1, 1)), {"contexts": np.empty(0, np.int64), "followers": []})
     lookup = F.array(*[F.lit(int(c)) for c in classes])
     place = [F.get(lookup, F.shiftright("gram", s).bitwiseAND(255).cast("int")).cast("long") for s in (24, 16, 8, 0)]
     code = ((place[0] * a + place[1]) * a + place[2]) * a + place[3]
@@ -154,10 +164,12 @@ def trained(texts: DataFrame) -> Model:
     def numbers(rows: DataFrame, *columns: str) -> list[np.ndarray]:
         got = rows.toArrow()
         index = {lang: i for i, lang in enumerate(langs)}
-        lang = np.array([index[x] for x in got.column("lang").to_pylist()], np.int64)
+        coded = got.column("lang").combine_chunks().dictionary_encode()
+        names = np.array([index[x] for x in coded.dictionary.to_pylist()], np.int64)
+        lang = names[coded.indices.to_numpy()] if len(coded) else names
         return [lang, *[got.column(c).to_numpy() for c in columns]]
 
-    shorter = np.zeros((n_langs, a, a, a), np.int64)
+    shorter = np.zeros((n_langs, a, a, a), np.float32)
     by_two = coded.groupBy("lang", (F.col("gram") % a**3).alias("gram")).agg(F.sum("n").alias("n"))
     lang, gram, n = numbers(by_two, "gram", "n")
     shorter.reshape(n_langs, -1)[lang, gram] = n
@@ -174,9 +186,8 @@ def trained(texts: DataFrame) -> Model:
     own = coded.withColumn("context", F.floor(F.col("gram") / a).cast("long")).join(chosen, "context", "left_semi")
     lang, gram, n = numbers(own, "gram", "n")
     known, at = np.unique(gram // a, return_inverse=True)
-    counts = np.zeros((n_langs, len(known), a), np.int64)
-    counts[lang, at, gram % a] = n
-    return Model(langs, classes, shorter, {"contexts": known, "counts": counts})
+    followers = [(at[lang == i], (gram % a)[lang == i], n[lang == i]) for i in range(n_langs)]
+    return Model(langs, classes, shorter, {"contexts": known, "followers": followers})
 
 
 def training_rows(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
