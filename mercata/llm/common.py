@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+from mercata.session import scratch_path
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,3 +32,14 @@ def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+
+
+def bucketed(df: DataFrame, column: str, label: str) -> DataFrame:
+    """``df`` written below the shared folder in buckets of ``column``, without a shuffle.
+
+    A join on the column reads the buckets in place and shuffles the other side alone.
+    """
+    name = f"{label}_{uuid.uuid4().hex[:12]}"
+    path = scratch_path(df.sparkSession, label)
+    df.write.bucketBy(partitions(df), column).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)

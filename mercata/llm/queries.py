@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mercata.llm import bpe, language_id, neighbours, packing, quality_rules, simhash, suffix_dedup, token_files, warc
+from mercata.llm import bpe, kneser_ney, language_id, neighbours, packing, quality_rules, simhash, suffix_dedup, token_files, warc
 
 QUERIES = {
     "op1_bpe": bpe.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_warc": warc.query,
     "op7_suffix_dedup": suffix_dedup.query,
     "op8_language_id": language_id.query,
+    "op9_kneser_ney": kneser_ney.query,
     "op10_packing": packing.query,
 }
 

@@ -4,53 +4,57 @@ A byte goes if a string of ``LENGTH`` bytes over it also starts earlier. Two equ
 the same anchor inside themselves (of their 32-byte grams the one with the least hash), so texts
 are compared only around anchors that occur more than once:
 
-1. every text lists its anchors, each with the run of strings that chose it;
-2. anchors are counted with map-side sums, and those that occur once go;
-3. the pieces of text around the others are shuffled by anchor and sorted as a collection: all
-   pieces are aligned at their anchors, and one symbol of every piece is inserted each round, from
-   the last column to the first. A round reads one column in sequence, which in the order of
-   the suffixes is that column's part of the Burrows-Wheeler transform, and updates the order and the
-   common prefixes of neighbours. Equal strings stand in the same column, so the columns' parts need not
-   be merged, and a round costs one pass over the pieces instead of over the whole collection.
-   Neighbours with a common prefix of ``LENGTH`` are equal strings; all but the first go;
-4. each text is joined to its removed runs and cut.
-
-An anchor that occurs over ``HOT`` times is split into its single strings, which are shuffled by
-their own hash; copies within a batch of texts are settled there, so a passage in a third of all texts
-arrives once per batch. Texts move once: both joins read the same shuffle.
-
-The columns of a batch stay in memory, bounded by ``BATCH`` pieces or one anchor's; nothing is put
-in a machine's own folders.
+1. texts are packed, straight from the scan, into blocks in a table bucketed by block; later joins with
+   blocks read it in place, so texts are never shuffled;
+2. every block lists its anchors, each with the run of strings that chose it; anchors are counted
+   with map-side sums, and those that occur once go;
+3. the pieces of text around the others are dealt to shards by anchor, one packed row per block
+   and shard, and each shard is sorted as a collection: all pieces are aligned at their anchors, and one
+   symbol of every piece is inserted each round, from the last column to the first. A round reads
+   one column in sequence, which in the order of the suffixes is that column's part of the
+   Burrows-Wheeler transform, and updates the order and the common prefixes of neighbours. Equal
+   strings stand in the same column, so the columns' parts need not be merged, and a round costs one
+   pass over the pieces instead of over the whole collection. Neighbours with a common prefix of
+   ``LENGTH`` are equal strings; all but the first go;
+4. the runs of strings that go are gathered by block, and each text is cut.
+
+An anchor that occurs over ``HOT`` times is split into its single strings, which are dealt out by
+their own hash (128 bits decide within a block): copies within a block are settled there, so a passage
+in a third of all texts arrives once per block. The number of shards follows the number of repeated
+anchors, so a shard holds about ``SHARD`` pieces at any size. The columns of a shard stay in memory;
+nothing is put in a machine's own folders.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercata.llm.common import fresh, partitions, ragged, read_table
+from mercata.llm.common import bucketed, fresh, partitions, ragged, read_table
+from mercata.session import cut_lineage
 
 LENGTH = 100
 GRAM = 32
 WINDOW = LENGTH - GRAM + 1  # grams in a string
-HOT = 512
-BATCH = 16_384
+HOT = 4096
+SHARD = 32_768
+BLOCK = 16 << 20
 PART = 1 << 22
 PLACE = np.uint64((1 << 24) - 1)
 FIRST_ID = -(1 << 63)  # stands for a missing id
 WIDTH = LENGTH + WINDOW - 1  # columns around an anchor
 
 
-def hashed(data: np.ndarray, length: int) -> np.ndarray:
+def hashed(data: np.ndarray, length: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
     """A 64-bit hash of each substring of ``length`` bytes, put together from halves."""
     with np.errstate(over="ignore"):
-        base = np.uint64(0x9E3779B97F4A7C15)
+        base = np.uint64(base)
         power, size = base, 1  # of base, for strings of size bytes
         of_size = data.astype(np.uint64) + np.uint64(1)
         out, done, n = None, 0, len(data) - length + 1
@@ -96,115 +100,201 @@ def anchors(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[
     return row, windows[first] - starts[row], place[first] - starts[row], n, grams[place[first]]
 
 
-def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Texts in parts of about ``PART`` bytes: the data, then per segment its text's index, its
-    place in the text, its start in the data, and its length. A long text's segments overlap."""
-    held: list[bytes] = []
-    meta: list[tuple[int, int]] = []
-    size = 0
-    for i, text in enumerate(texts):
-        for base in range(0, len(text) - LENGTH + 1, PART):
-            held.append(text[base : base + PART + LENGTH - 1])
-            meta.append((i, base))
-            size += len(held[-1])
-            if size >= PART:
-                yield _segment(held, meta)
-                held, meta, size = [], [], 0
-    if held:
-        yield _segment(held, meta)
-
-
-def _segment(held, meta):
-    lengths = np.array([*map(len, held)], np.int64)
-    rows, bases = np.array(meta, np.int64).T
-    return np.frombuffer(b"".join(held), np.uint8), rows, bases, np.cumsum(lengths) - lengths, lengths
-
+def packed(df: DataFrame, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
+    """A table bucketed by ``block``: per text its id, the hash of its text, its length and the columns
+    ``keep``, and all texts behind one another, compressed."""
+    body = F.coalesce(df[text_col].cast("string"), F.lit("")).cast("binary")
+    texts = df.select(
+        F.coalesce(df[id_col].cast("long"), F.lit(FIRST_ID)).alias("rid"),
+        F.xxhash64(body).alias("th"),
+        body.alias("body"),
+        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]).alias("row"),
+    )
+    row_kind = texts.schema["row"].dataType.simpleString()
 
-def listed_anchors(texts: DataFrame) -> DataFrame:
-    """h (the anchor's hash), rid, th and ``loc``: the run's start, anchor and strings in one number."""
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=3)
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            bodies = batch.column(2).to_pylist()
+            first = size = 0
+            for i, b in enumerate(bodies):
+                size += len(b)
+                if size >= BLOCK or i == len(bodies) - 1:
+                    ends = pa.array([0, i + 1 - first], pa.int32())
+                    lengths = pa.array([*map(len, bodies[first : i + 1])], pa.int64())
+                    lists = [c.slice(first, i + 1 - first) for c in (batch.column(0), batch.column(1), batch.column(3))]
+                    columns = [pa.ListArray.from_arrays(ends, c) for c in (*lists, lengths)]
+                    blob = pack.compress(b"".join(bodies[first : i + 1]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block], pa.int64()), *columns, pa.array([blob], pa.binary())],
+                        ["block", "rids", "ths", "rows", "lengths", "texts"],
+                    )
+                    block, first, size = block + 1, i + 1, 0
+
+    schema = f"block long, rids array<long>, ths array<long>, rows array<{row_kind}>, lengths array<long>, texts binary"
+    return bucketed(texts.mapInArrow(run, schema), "block", "dedup_blocks")
+
+
+def _texts(lengths, blob) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's bytes, and the starts and lengths of its texts."""
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob.as_py()), np.uint8)
+    sizes = lengths.values.to_numpy()
+    return data, np.cumsum(sizes) - sizes, sizes
+
+
+def stretches(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Parts of a block of about ``PART`` bytes: where it starts, and its texts' starts in it and
+    lengths. A text above that is cut into parts that overlap by a string."""
+    first = 0
+    while first < len(sizes):
+        last, size = first, 0
+        while last < len(sizes) and (last == first or size + sizes[last] <= PART):
+            size += sizes[last]
+            last += 1
+        if size <= PART:
+            yield int(starts[first]), starts[first:last] - starts[first], sizes[first:last]
+        else:
+            for base in range(0, int(size) - LENGTH + 1, PART):
+                part = min(PART + LENGTH - 1, int(size) - base)
+                yield int(starts[first]) + base, np.zeros(1, np.int64), np.array([part])
+        first = last
+
+
+def listed_anchors(blocks: DataFrame) -> DataFrame:
+    """h (the anchor's hash), block and ``place``: the run's start in the block, the anchor and the
+    number of strings, in one number."""
 
     def run(batches):
         for batch in batches:
-            rid, th = (batch.column(i).to_numpy() for i in range(2))
-            for data, rows, bases, starts, lengths in segments(batch.column(2).to_pylist()):
-                at, start, place, n, h = anchors(data, starts, lengths)
-                loc = (start + bases[at]) << 16 | (place - start) << 8 | n
-                columns = [h.view(np.int64), rid[rows[at]], th[rows[at]], loc]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "rid", "th", "loc"])
+            for block, lengths, blob in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                data, starts, sizes = _texts(lengths, blob)
+                for base, own, part in stretches(starts, sizes):
+                    at, start, anchor, n, h = anchors(data[base : base + int(own[-1] + part[-1])], own, part)
+                    place = (base + own[at] + start) << 16 | (anchor - start) << 8 | n
+                    columns = [h.view(np.int64), np.full(len(h), block), place]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "block", "place"])
+
+    return blocks.select("block", "lengths", "texts").mapInArrow(run, "h long, block long, place long")
+
+
+class Pieces:
+    """Pieces of text and where they are from: text of the block, start in it, lead, strings."""
+
+    FIELDS = (("doc", np.int32), ("start", np.int64), ("lead", np.uint8), ("n", np.uint8))
+
+    def __init__(self, doc, start, lead, n, data):
+        self.doc, self.start, self.lead, self.n, self.data = doc, start, lead, n, data
+
+    def pack(self, rids: np.ndarray, ths: np.ndarray) -> bytes:
+        """With the id and hash of each text that has a piece."""
+        docs, ref = np.unique(self.doc, return_inverse=True)
+        parts = [np.array([len(docs), len(ref)], np.int64), docs.astype(np.int32), rids[docs], ths[docs]]
+        parts += [ref.astype(np.int32), self.start.astype(np.int64), self.lead.astype(np.uint8), self.n.astype(np.uint8), self.data]
+        return zstandard.ZstdCompressor(level=3).compress(b"".join(p.tobytes() for p in parts))
+
+    @staticmethod
+    def unpack(blob: bytes) -> tuple:
+        """doc, rid, th, start, lead and n of each piece, and the bytes."""
+        raw = zstandard.ZstdDecompressor().decompress(blob)
+        d, m = np.frombuffer(raw, np.int64, 2)
+        at, out = 16, []
+        for kind, count in ((np.int32, d), (np.int64, d), (np.int64, d), (np.int32, m), (np.int64, m), (np.uint8, m), (np.uint8, m)):
+            out.append(np.frombuffer(raw, kind, count, at))
+            at += out[-1].nbytes
+        docs, rids, ths, ref, start, lead, n = out
+        return docs[ref], rids[ref], ths[ref], start, lead.astype(np.int64), n.astype(np.int64), np.frombuffer(raw, np.uint8, offset=at)
+
+
+def pack_runs(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
+    """Runs of strings that go: text of the block, first string and end of the strings."""
+    parts = (doc.astype(np.int32), start.astype(np.int64), (end - start).astype(np.int32))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(p.tobytes() for p in parts))
+
+
+def unpack_runs(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    m = len(raw) // 16
+    start = np.frombuffer(raw, np.int64, m, 4 * m)
+    return np.frombuffer(raw, np.int32, m), start, start + np.frombuffer(raw, np.int32, m, 12 * m)
+
+
+def single_strings(data, pos, n, doc, order, start) -> tuple[np.ndarray, ...]:
+    """The strings of hot runs: positions and hashes of those to send on, and positions of those
+    that the block itself has earlier. ``order`` ranks texts, ``start`` is a text's place in the block."""
+    sizes = n + LENGTH - 1
+    joined = ragged(data, pos, sizes)
+    at = ragged(np.arange(len(joined)), np.cumsum(sizes) - sizes, n)
+    where = ragged(np.arange(int(pos.max(initial=0)) + WINDOW + 1), pos, n)
+    whose = np.repeat(doc, n)
+    hashes = [hashed(joined, LENGTH, base)[at] for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+    by = np.lexsort((where - start[whose], order[whose], hashes[1], hashes[0]))
+    new = np.ones(len(by), bool)
+    new[1:] = (hashes[0][by][1:] != hashes[0][by][:-1]) | (hashes[1][by][1:] != hashes[1][by][:-1])
+    first = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
+    # A repeated row's own string is no earlier one.
+    same = (order[whose[by]] == order[whose[first]]) & (where[by] - start[whose[by]] == where[first] - start[whose[first]])
+    sent, told = by[same], by[~same]
+    return where[sent], whose[sent], hashes[0][sent], where[told], whose[told]
+
+
+def pieces(blocks: DataFrame, shards: int) -> DataFrame:
+    """Blocks with their repeated anchors (``anchors``: place, shard, hot) to packed pieces by shard,
+    and ``told``, packed runs that the block settled itself."""
 
-    return texts.select("rid", "th", "body").mapInArrow(run, "h long, rid long, th long, loc long")
+    def run(batches):
+        for batch in batches:
+            for block, rids, ths, lengths, blob, own in zip(batch.column(0).to_pylist(), *batch.columns[1:], strict=True):
+                data, starts, sizes = _texts(lengths, blob)
+                rids, ths = rids.values.to_numpy(), ths.values.to_numpy()
+                place, shard = (own.values.field(i).to_numpy() for i in range(2))
+                hot = own.values.field(2).to_numpy(zero_copy_only=False)
+                pos, lead, n = place >> 16, place >> 8 & 255, place & 255
+                doc = np.searchsorted(starts, pos, "right") - 1
+                sent = [pos[~hot]], [doc[~hot]], [lead[~hot]], [n[~hot]], [shard[~hot]]
+                if hot.any():
+                    by = np.lexsort((ths, rids))
+                    order = np.empty(len(by), np.int64)
+                    order[by] = np.cumsum(np.append(False, (rids[by][1:] != rids[by][:-1]) | (ths[by][1:] != ths[by][:-1])))
+                    first, whose, h, told, told_doc = single_strings(data, pos[hot], n[hot], doc[hot], order, starts)
+                    extra = first, whose, np.zeros(len(first)), np.ones(len(first)), (h % np.uint64(shards)).astype(np.int64)
+                    for column, more in zip(sent, extra, strict=True):
+                        column.append(more)
+                    by = np.argsort(told, kind="stable")
+                    told, told_doc = told[by], told_doc[by]
+                    heads = np.flatnonzero(np.append(True, (told[1:] != told[:-1] + 1) | (told_doc[1:] != told_doc[:-1]))) if len(told) else told
+                    ends = np.append(heads[1:], len(told)) - 1 if len(told) else told
+                    at = told_doc[heads]
+                    runs = pack_runs(at, told[heads] - starts[at], told[ends] + 1 - starts[at])
+                    yield _shard_batch([block % shards], [block], [None], [runs])
+                pos, doc, lead, n, shard = (np.concatenate(c).astype(np.int64) for c in sent)
+                by = np.lexsort((pos, shard))
+                heads = np.flatnonzero(np.append(True, shard[by][1:] != shard[by][:-1])) if len(by) else by
+                blobs = []
+                for rows in np.split(by, heads[1:]) if len(by) else []:
+                    text = ragged(data, pos[rows], n[rows] + LENGTH - 1)
+                    blobs.append(Pieces(doc[rows], pos[rows] - starts[doc[rows]], lead[rows], n[rows], text).pack(rids, ths))
+                yield _shard_batch(shard[by][heads].tolist(), [block] * len(blobs), blobs, [None] * len(blobs))
+
+    return blocks.select("block", "rids", "ths", "lengths", "texts", "anchors").mapInArrow(
+        run, "shard long, block long, pieces binary, told binary"
+    )
 
 
-def pieces(texts: DataFrame) -> DataFrame:
-    """Texts with their repeated anchors (``runs``: h, loc, hot) to pieces around the anchors.
+def _shard_batch(shard, block, blobs, told) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    columns = [pa.array(c, k) for c, k in zip((shard, block, blobs, told), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, ["shard", "block", "pieces", "told"])
 
-    Columns: key, rid, th, start, lead (bytes before the anchor), n (strings) and the piece. Strings
-    of hot anchors that a batch has before have no piece; their rows spread over all keys.
-    """
-    names = ["key", "rid", "th", "start", "lead", "n", "piece"]
 
-    def run(batches):
-        for batch in batches:
-            rid, th = (batch.column(i).to_numpy() for i in range(2))
-            bodies, runs = batch.column(2).to_pylist(), batch.column(3)
-            flat, offsets = runs.flatten(), np.diff(runs.offsets.to_numpy())
-            row = np.repeat(np.arange(len(bodies)), offsets)
-            h, loc = flat.field("h").to_numpy(), flat.field("loc").to_numpy()
-            hot = flat.field("hot").to_numpy(zero_copy_only=False)
-            start, lead, n = loc >> 16, loc >> 8 & 255, loc & 255
-            for i in range(0, len(row), 1 << 16):
-                cold = i + np.flatnonzero(~hot[i : i + (1 << 16)])
-                ends = start[cold] + n[cold] + LENGTH - 1
-                cut = [bodies[r][s:e] for r, s, e in zip(row[cold].tolist(), start[cold].tolist(), ends.tolist(), strict=True)]
-                at = row[cold]
-                yield _piece_batch(names, h[cold], rid[at], th[at], start[cold], lead[cold], n[cold], cut)
-            warm = np.flatnonzero(hot)
-            at, start = np.repeat(row[warm], n[warm]), ragged(np.arange(WINDOW), np.zeros(len(warm), np.int64), n[warm]) + np.repeat(start[warm], n[warm])
-            yield from _strings(names, bodies, rid, th, at, start)
-
-    schema = "key long, rid long, th long, start long, lead int, n int, piece binary"
-    return texts.select("rid", "th", "body", "runs", "row").mapInArrow(run, schema)
-
-
-def _piece_batch(names, key, rid, th, start, lead, n, cut) -> pa.RecordBatch:
-    numbers = [pa.array(c, pa.int64()) for c in (key, rid, th, start)] + [pa.array(c, pa.int32()) for c in (lead, n)]
-    return pa.RecordBatch.from_arrays([*numbers, pa.array(cut, pa.binary())], names)
-
-
-def _strings(names, bodies, rid, th, row, start) -> Iterator[pa.RecordBatch]:
-    """Single strings; of equal ones in this batch the first alone is sent on as a piece."""
-    order = np.lexsort((start, th[row], rid[row]))
-    seen: set[bytes] = set()
-    for i in range(0, len(order), 1 << 16):
-        part = order[i : i + (1 << 16)]
-        cut: list[bytes | None] = []
-        for r, s in zip(row[part].tolist(), start[part].tolist(), strict=True):
-            string = bodies[r][s : s + LENGTH]
-            cut.append(None if string in seen else string)
-            seen.add(string)
-        key = np.array([hash_of(c) if c else s * 2654435761 + i for c, s in zip(cut, start[part].tolist(), strict=True)], np.int64)
-        # A repeated row's own string is no earlier one.
-        for k in range(1, len(part)):
-            a, b = part[k - 1], part[k]
-            if cut[k] is None and row[a] != row[b] and start[a] == start[b] and (rid[row[a]], th[row[a]]) == (rid[row[b]], th[row[b]]):
-                cut[k] = bodies[row[b]][start[b] : start[b] + LENGTH]
-                key[k] = hash_of(cut[k])
-        yield _piece_batch(names, key, rid[row[part]], th[row[part]], start[part], np.zeros(len(part)), np.ones(len(part)), cut)
-
-
-def hash_of(string: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little", signed=True)
-
-
-def repeated(lead: np.ndarray, n: np.ndarray, cut: list[bytes], rank: np.ndarray) -> np.ndarray:
+def repeated(lead: np.ndarray, n: np.ndarray, data: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Which of the strings of each piece also start earlier, as a table (piece, string).
 
+    A piece has ``n`` strings and ``lead`` bytes before its anchor; ``data`` has the pieces' bytes.
     ``rank`` orders the pieces by where their anchors stand; equal ranks are the same place.
     """
-    m = len(cut)
+    m, sizes = len(n), n + LENGTH - 1
     columns = np.zeros((WIDTH, m), np.uint8)  # 0 where a piece has no byte; no UTF-8 text has byte 255
-    sizes = np.fromiter(map(len, cut), np.int64, m)
-    data = np.frombuffer(b"".join(cut), np.uint8)
     piece = np.repeat(np.arange(m), sizes)
     within = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     columns[within + (WINDOW - 1 - lead)[piece], piece] = data + 1
@@ -232,90 +322,85 @@ def repeated(lead: np.ndarray, n: np.ndarray, cut: list[bytes], rank: np.ndarray
     return out
 
 
+def settled(block: np.ndarray, blobs: list[bytes]) -> tuple[list[int], list[bytes]]:
+    """Packed pieces of one shard to packed runs, by block."""
+    parts = [Pieces.unpack(b) for b in blobs]
+    doc, rid, th, start, lead, n, data = (np.concatenate(c) for c in zip(*parts, strict=True))
+    block = np.repeat(block, [len(p[0]) for p in parts])
+    anchor = start + lead
+    order = np.lexsort((anchor, th, rid))
+    a, b = order[:-1], order[1:]
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(np.append(0, (rid[a] != rid[b]) | (th[a] != th[b]) | (anchor[a] != anchor[b])))
+    late = np.pad(repeated(lead, n, data, rank), ((0, 0), (1, 1)))
+    at, first = np.nonzero(late[:, 1:] & ~late[:, :-1])
+    _, last = np.nonzero(late[:, :-1] & ~late[:, 1:])
+    by = np.argsort(block[at], kind="stable")
+    at, first, last = at[by], first[by], last[by]
+    heads = np.flatnonzero(np.append(True, block[at][1:] != block[at][:-1])) if len(at) else at
+    runs = [pack_runs(doc[at[r]], start[at[r]] + first[r], start[at[r]] + last[r]) for r in np.split(np.arange(len(at)), heads[1:])] if len(at) else []
+    return block[at][heads].tolist(), runs
+
+
 def removed_runs(rows: DataFrame) -> DataFrame:
-    """Pieces to runs (rid, th, start, end) of strings that also start earlier."""
-
-    def settle(batch: pa.RecordBatch | pa.Table):
-        rid, th, start, lead, n = (batch.column(i).to_numpy().astype(np.int64) for i in range(1, 6))
-        cut = batch.column(6).to_pylist()
-        place = start + lead
-        order = np.lexsort((place, th, rid))
-        new = np.zeros(len(order), np.int64)
-        if len(order):
-            a, b = order[:-1], order[1:]
-            new[1:] = (rid[a] != rid[b]) | (th[a] != th[b]) | (place[a] != place[b])
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.cumsum(new)
-        late = np.pad(repeated(lead, n, cut, rank), ((0, 0), (1, 1)))
-        at, first = np.nonzero(late[:, 1:] & ~late[:, :-1])
-        _, last = np.nonzero(late[:, :-1] & ~late[:, 1:])
-        return rid[at], th[at], start[at] + first, start[at] + last
+    """Packed pieces by shard to packed runs (block, runs)."""
 
     def run(batches):
-        names = ["rid", "th", "start", "end"]
-        for batch in _whole_keys(batches):
-            known = pc.is_null(batch.column(6))
-            told = batch.filter(known)
-            rid, th, start = (told.column(i).to_numpy() for i in (1, 2, 3))
-            sorted_ = settle(batch.filter(pc.invert(known))) if told.num_rows < batch.num_rows else [rid[:0]] * 4
-            columns = [np.concatenate([a, b]) for a, b in zip((rid, th, start, start + 1), sorted_, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
-
-    spread = rows.repartition(partitions(rows), "key").sortWithinPartitions("key")
-    return spread.mapInArrow(run, "rid long, th long, start long, end long")
-
-
-def _whole_keys(batches) -> Iterator[pa.Table]:
-    """Tables of about ``BATCH`` rows in which no key is cut; the rows come in order of key."""
-    held: list[pa.RecordBatch] = []
-    size = 0
+        for block, blobs, told in _whole_shards(batches):
+            blocks, runs = settled(block, blobs) if blobs else ([], [])
+            blocks, runs = blocks + [b for b, _ in told], runs + [r for _, r in told]
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(runs, pa.binary())], ["block", "runs"])
+
+    spread = rows.repartition(partitions(rows), "shard").sortWithinPartitions("shard")
+    return spread.mapInArrow(run, "block long, runs binary")
+
+
+def _whole_shards(batches) -> Iterator[tuple[np.ndarray, list[bytes], list[tuple[int, bytes]]]]:
+    """The rows of each shard; they come in order of shard."""
+    blocks: list[int] = []
+    blobs: list[bytes] = []
+    told: list[tuple[int, bytes]] = []
+    current = None
     for batch in batches:
-        for i in range(0, batch.num_rows, BATCH):
-            part = batch.slice(i, BATCH)
-            keys = part.column(0).to_numpy()
-            if size + part.num_rows >= BATCH and held:
-                last = held[-1].column(0)[-1].as_py()
-                split = int(np.searchsorted(keys, last, "right"))
-                if split < len(keys):
-                    held.append(part.slice(0, split))
-                    yield pa.Table.from_batches(held)
-                    held, size, part = [], 0, part.slice(split)
-            held.append(part)
-            size += part.num_rows
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def cut_texts(texts: DataFrame) -> DataFrame:
-    """Texts with their removed runs (``spans``: start, end; null for none) to the columns row,
-    n_bytes, n_removed, n_spans and ``kept`` (the bytes that stay)."""
-    row_kind = texts.schema["row"].dataType.simpleString()
+        for shard, block, blob, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if shard != current and (blobs or told):
+                yield np.array(blocks, np.int64), blobs, told
+                blocks, blobs, told = [], [], []
+            current = shard
+            if blob is None:
+                told.append((block, runs))
+            else:
+                blocks.append(block)
+                blobs.append(blob)
+    if blobs or told:
+        yield np.array(blocks, np.int64), blobs, told
+
+
+def cut_texts(blocks: DataFrame) -> DataFrame:
+    """Blocks with their packed runs (``found``, null for none) to the columns row, n_bytes, n_removed,
+    n_spans and ``kept`` (the bytes that stay) of each text."""
+    row_kind = blocks.schema["rows"].dataType.elementType.simpleString()
 
     def run(batches):
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for body, spans in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                removed, count, kept = _cut(body, spans)
-                for column, value in zip(out, (len(body), removed, count, kept), strict=True):
-                    column.append(value)
-            numbers = [pa.array(c, pa.int64()) for c in out[:3]]
-            columns = [batch.column(2), *numbers, pa.array(out[3], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "n_bytes", "n_removed", "n_spans", "kept"])
+            for rows, lengths, blob, found in zip(*batch.columns, strict=True):
+                data, starts, sizes = _texts(lengths, blob)
+                steps = np.zeros(len(data) + 1, np.int32)
+                for runs in found.as_py() or []:
+                    doc, first, end = unpack_runs(runs)
+                    np.add.at(steps, starts[doc] + first, 1)
+                    np.add.at(steps, starts[doc] + end - 1 + LENGTH, -1)
+                gone = np.cumsum(steps[:-1]) > 0
+                heads = gone & ~np.append(False, gone[:-1])[: len(gone)]
+                heads[starts[sizes > 0]] = gone[starts[sizes > 0]]  # a run does not go on from another text
+                removed, spans = (np.diff(np.append(0, np.cumsum(x))[np.append(starts, len(data))]) for x in (gone, heads))
+                kept = [data[s : s + k] if not r else data[s : s + k][~gone[s : s + k]] for s, k, r in zip(starts, sizes, removed, strict=True)]
+                numbers = [pa.array(c, pa.int64()) for c in (sizes, removed, spans)]
+                columns = [rows.values, *numbers, pa.array([k.tobytes() for k in kept], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
     schema = f"row {row_kind}, n_bytes long, n_removed long, n_spans long, kept binary"
-    return texts.select("body", "spans", "row").mapInArrow(run, schema)
-
-
-def _cut(body: bytes, spans) -> tuple[int, int, bytes]:
-    if not spans.is_valid or not len(spans.values):
-        return 0, 0, body
-    start, end = (spans.values.field(i).to_numpy() for i in range(2))
-    steps = np.zeros(len(body) + 1, np.int64)
-    np.add.at(steps, start, 1)
-    np.add.at(steps, end - 1 + LENGTH, -1)
-    gone = np.cumsum(steps[:-1]) > 0
-    count = int((gone & ~np.concatenate([[False], gone[:-1]])).sum())
-    return int(gone.sum()), count, np.frombuffer(body, np.uint8)[~gone].tobytes()
+    return blocks.select("rows", "lengths", "texts", "found").mapInArrow(run, schema)
 
 
 def without_repeats(df: DataFrame, id_col: str, text_col: str, keep: list[str] | None = None) -> DataFrame:
@@ -327,26 +412,17 @@ def without_repeats(df: DataFrame, id_col: str, text_col: str, keep: list[str] |
     """
     columns = df.columns if keep is None else keep
     out = fresh(df, "deduplicated")
-    body = F.coalesce(df[text_col].cast("string"), F.lit("")).cast("binary")
-    texts = df.select(
-        F.coalesce(df[id_col].cast("long"), F.lit(FIRST_ID)).alias("rid"),
-        F.xxhash64(body).alias("th"),
-        body.alias("body"),
-        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]).alias("row"),
-    )
-    listed = listed_anchors(texts)
-    often = listed.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    runs = (
-        listed.join(often, "h")
-        .groupBy("rid", "th")
-        .agg(F.collect_set(F.struct("h", "loc", (F.col("c") > HOT).alias("hot"))).alias("runs"))
-    )
-    spans = (
-        removed_runs(pieces(texts.join(runs, ["rid", "th"])))
-        .groupBy("rid", "th")
-        .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    )
-    done = cut_texts(texts.join(spans, ["rid", "th"], "left"))
+    blocks = packed(df, id_col, text_col, columns)
+    listed = listed_anchors(blocks)
+    often = cut_lineage(listed.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "anchors")
+    total = often.agg(F.sum("c")).first()[0] or 0
+    shards = max(4 * partitions(df), -(-total // SHARD))
+    own = F.struct("place", F.pmod("h", F.lit(shards)).alias("shard"), (F.col("c") > HOT).alias("hot"))
+    repeats = listed.join(often, "h").select("block", own.alias("anchor"))
+    repeats = repeats.groupBy("block").agg(F.collect_list("anchor").alias("anchors"))
+    found = removed_runs(pieces(blocks.join(repeats, "block"), shards))
+    found = found.groupBy("block").agg(F.collect_list("runs").alias("found"))
+    done = cut_texts(blocks.join(found, "block", "left"))
     made = F.struct("n_bytes", "n_removed", "n_spans", "kept").alias(out)
     return done.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)], made)
 
