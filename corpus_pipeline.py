@@ -1,11 +1,83 @@
-"""A corpus pipeline: documents in, packed token sequences out."""
+"""A corpus pipeline: documents in, packed token sequences out.
 
-STAGES = []
+Each stage gets all that the one before it kept, written as Parquet and read again. All but the last
+return the columns of documents. An empty table stays empty through all stages.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mercata.llm import language_id, packing, quality_rules, simhash, suffix_dedup
+from mercata.llm.common import fresh, read_table
+from mercata.llm.word_ids import VOCABULARY
+from mercata.session import cut_lineage
+
+LEAST_SCORE = 0.5  # of the predicted language
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules keep and whose host is not rejected; a null text goes."""
+    rows = quality_rules.judged(docs)
+    return rows.where(F.col(rows.columns[-1])["kept"]).select(*docs.columns)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with letters whose language is at least as likely as all others together.
+
+    The model is trained on the documents of this stage. Without any to train on, all stay.
+    """
+    model = language_id.trained(language_id.training_rows(docs, "doc_id", "text", "lang"))
+    if not model.langs:
+        return docs
+    out = fresh(docs, "language")
+    rows = language_id.with_language(docs, "text", model, out)
+    kept = (F.col(out)["lang_pred"] != language_id.UNKNOWN) & (F.col(out)["score"] >= LEAST_SCORE)
+    return rows.where(kept).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one with the smallest id."""
+    return simhash.deduplicated(docs, "doc_id", "text", words=5).select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that occurred before, with their new length; a text without words left goes.
+
+    A character that is cut in two goes as a whole.
+    """
+    rows = suffix_dedup.without_repeats(docs, "doc_id", "text")
+    cut = F.col(rows.columns[-1])
+    whole = F.expr(f"replace(make_valid_utf8(cast(`{rows.columns[-1]}`.kept AS string)), '\ufffd', '')")
+    rows = rows.withColumn("text", F.when(cut["n_removed"] == 0, F.col("text")).otherwise(whole))
+    rows = rows.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return rows.where(F.col("text").rlike(r"\S")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, as op10 returns them."""
+    path = str(public_tokenizers.path(VOCABULARY))
+    return packing.packed_documents(docs, "doc_id", "text", path).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("language ID", language),
+    ("near duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("packing", packed),
+]
+
+# Fingerprints, code lengths, suffixes and token ids are beyond SQL: see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = cut_lineage(docs, f"stage-{i + 1}")
     return docs

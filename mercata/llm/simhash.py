@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercata.llm.common import partitions, read_table
+from mercata.llm.common import fresh, partitions, read_table
 from mercata.llm.components import star_forest
 from mercata.session import cut_lineage
 
@@ -180,6 +180,21 @@ def components(df: DataFrame, id_col: str, text_col: str, *, words: int = 5, hal
     return rows.join(labels, "fp").select("id", "fp", "component_id")
 
 
+def deduplicated(df: DataFrame, id_col: str, text_col: str, *, words: int = 5, half: int = 2) -> DataFrame:
+    """The rows of ``df``, one for each component: the one with the smallest id.
+
+    Rows without an id come after all others; of repeated rows one stays. The rows are written once with a
+    running number, which stands for the row from then on.
+    """
+    number = fresh(df, "row_number")
+    rows = cut_lineage(df.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    key = F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), F.col(number).alias("number"))
+    keyed = rows.select(key.alias("key"), F.col(text_col).alias("text"))
+    grouped = components(keyed, "key", "text", words=words, half=half)
+    gone = grouped.where("id <> component_id").select(F.col("id.number").alias(number))
+    return rows.join(gone, number, "left_anti").drop(number)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     rows = components(read_table(spark, sf_dir, "documents"), "doc_id", "text", words=4)
     return rows.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
