@@ -53,7 +53,7 @@ def is_cross_state(buyer: str = "customer_state", seller: str = "seller_state")
 
 
 def item_revenue(price: str = "price", freight: str = "freight_value") -> Column:
-    return (F.col(price) + F.col(freight)).cast("decimal(12,2)")
+    return (F.col(price) + F.col(freight)).cast("decimal(14,2)")
 
 
 def freight_ratio(price: str = "price", freight: str = "freight_value") -> Column:
@@ -64,7 +64,7 @@ def freight_ratio(price: str = "price", freight: str = "freight_value") -> Colum
 
 
 def volume_cm3() -> Column:
-    side = [F.col(f"product_{s}_cm").cast("int") for s in ("length", "height", "width")]
+    side = [F.col(f"product_{s}_cm").cast("bigint") for s in ("length", "height", "width")]
     return side[0] * side[1] * side[2]
 
 
@@ -75,12 +75,12 @@ def _when_delivered(value: Column) -> Column:
 
 def delivery_days() -> Column:
     days = F.datediff("order_delivered_customer_date", "order_purchase_timestamp")
-    return _when_delivered(days).cast("smallint")
+    return _when_delivered(days)
 
 
 def delay_days() -> Column:
     days = F.datediff("order_delivered_customer_date", "order_estimated_delivery_date")
-    return _when_delivered(days).cast("smallint")
+    return _when_delivered(days)
 
 
 def is_late() -> Column:
@@ -148,5 +148,7 @@ def top_label(rank: str, name: str, top: int = 15) -> Column:
 
 
 def top_sort_label(rank: str, name: str, top: int = 15) -> Column:
-    numbered = F.concat(F.lpad(F.col(rank).cast("string"), 2, "0"), F.lit(". "), F.col(name))
-    return F.when(F.col(rank) <= top, numbered).otherwise("99. Others")
+    """Sorts as text in the order of ranks: they are padded to the width of ``top``, two digits at least."""
+    width = max(2, len(str(top)))
+    numbered = F.concat(F.lpad(F.col(rank).cast("string"), width, "0"), F.lit(". "), F.col(name))
+    return F.when(F.col(rank) <= top, numbered).otherwise("9" * width + ". Others")

@@ -68,6 +68,6 @@ def with_sample_flags(df: DataFrame, group: str, keys: Sequence[str], rates: Map
 
 
 def hash_choice(keys: Sequence[str], salt: str, options: int) -> Column:
-    """A repeatable whole number in ``0 .. options - 1`` for each row."""
+    """A repeatable whole number in ``0 .. options - 1`` for each row, each equally likely."""
     digest = F.md5(F.concat_ws("|", F.lit(salt), *[F.col(k) for k in keys]))
-    return F.ascii(F.substring(digest, 1, 1)) % options
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % options).cast("int")

@@ -128,7 +128,9 @@ def review_weight_bias(detail: DataFrame, orders: DataFrame) -> DataFrame:
         by_order.select("_so").scalar().alias("_so"),
         by_order.select("_no").scalar().alias("_no"),
     )
-    gap = ratio(F.col("_s") * F.col("_no") - F.col("_so") * F.col("_n"), F.col("_so") * F.col("_n"))
+    # Products of two sums outgrow long integers.
+    s, n, so, no = (F.col(c).cast("decimal(18,0)") for c in ("_s", "_n", "_so", "_no"))
+    gap = (s * no - so * n).cast("double") / F.nullif((so * n).cast("double"), F.lit(0.0))
     return both.select(
         F.round(ratio("_s", "_n"), 4).alias("avg_by_item"),
         F.round(ratio("_so", "_no"), 4).alias("avg_by_order"),

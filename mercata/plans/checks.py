@@ -43,8 +43,8 @@ def require_clean(items: DataFrame) -> None:
         raise CheckFailed(f"checks failed: {', '.join(failed)}")
 
 
-def repeated_keys(df: DataFrame, table: str, limit: int | None = 10) -> DataFrame:
-    """Keys of ``table`` that occur more than once, most frequent first."""
+def repeated_keys(df: DataFrame, table: str, limit: int | None = None) -> DataFrame:
+    """Keys of ``table`` that occur more than once, most frequent first; ``limit`` is for a printout."""
     found = duplicate_keys(df, TABLES[table].key).orderBy(F.desc("n"), *TABLES[table].key)
     return found if limit is None else found.limit(limit)
 

@@ -6,6 +6,7 @@ it is the list of finished batches, so a run that broke off is picked up again.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from collections.abc import Iterable
 from functools import partial, reduce
@@ -22,23 +23,21 @@ from mercata.sources import batches
 from mercata.sources.warehouse import RAW_DYNAMIC, STAGING_DYNAMIC, Warehouse
 
 DIMENSIONS = ("dim_product", "dim_customer", "dim_seller")
-ORDER_UPDATES = (
-    "order_status",
-    "order_delivered_customer_date",
-    "delivery_days",
-    "delay_days",
-    "is_late",
-    "review_score",
-    "is_repeat_customer",
-)
-CUSTOMER_UPDATES = ("first_order_date", "total_orders", "total_spent")
-
 
 def load_raw(wh: Warehouse, folder: str, batch_id: str, names: Iterable[str], ingested_at=None) -> None:
+    """Raw tables of one batch. A batch that is loaded again keeps the time it was first loaded."""
+    ingested_at = ingested_at or _first_loaded(wh, batch_id)
     loaded = batches.load_batch(wh.spark, folder, batch_id, tuple(names), ingested_at)
     side_by_side(wh.spark, *[partial(wh.replace_batch, name, df, batch_id) for name, df in loaded.items()])
 
 
+def _first_loaded(wh: Warehouse, batch_id: str) -> dt.datetime | None:
+    known = [n for n in RAW_DYNAMIC if batch_id in wh.batch_ids(n)]
+    times = [wh.read_batch(n, batch_id).agg(F.unix_micros(F.min("ingested_at"))).first()[0] for n in known]
+    times = [t for t in times if t is not None]
+    return dt.datetime.fromtimestamp(min(times) / 1e6, dt.timezone.utc) if times else None
+
+
 def stage_static(wh: Warehouse) -> None:
     staged = {n: staging.STATIC_STAGERS[n](wh.read(f"raw_{n}")) for n in STATIC_INPUTS}
     side_by_side(wh.spark, *[partial(wh.replace, f"stg_{n}", df) for n, df in staged.items()])
@@ -107,10 +106,12 @@ def rebuild_mart(wh: Warehouse) -> None:
         partial(wh.replace, "dim_customer", customers),
         partial(wh.replace_all_batches, "fct_order_items", facts),
     )
+    wh.clear("customer_changes")  # the whole history is in the table now
     wh.replace_all_batches(
         "fct_orders",
         mart.build_fct_orders(orders, people, items, payments, reviews, wh.read("dim_customer")),
     )
+    wh.clear("order_changes")
 
 
 def _touched_people(wh: Warehouse, batch_id: str) -> DataFrame:
@@ -133,10 +134,11 @@ def update_customers(wh: Warehouse, batch_id: str) -> None:
     orders = narrow_to_keys(wh.read("stg_orders"), people, ["customer_id"])
     items = narrow_to_keys(wh.read("stg_order_items"), orders, ["order_id"])
     fresh = mart.build_dim_customer(orders, items, people)
-    wh.replace(
-        "dim_customer",
-        upsert_columns(wh.read("dim_customer"), fresh, ["customer_unique_id"], CUSTOMER_UPDATES),
-    )
+    wh.replace_batch("customer_changes", _stamped(fresh, batch_id), batch_id)
+
+
+def _stamped(changes: DataFrame, batch_id: str) -> DataFrame:
+    return changes.withColumns({"batch_id": F.lit(batch_id), "changed_at": F.current_timestamp()})
 
 
 def update_items(wh: Warehouse, batch_id: str) -> None:
@@ -149,22 +151,21 @@ def update_items(wh: Warehouse, batch_id: str) -> None:
 
 
 def update_orders(wh: Warehouse, batch_id: str) -> None:
-    """Add the orders of a batch, and refresh earlier ones it changes.
+    """Add the orders of a batch, and note what it changes in earlier ones.
 
     An earlier order changes when the batch brings a review for it, or when its buyer
-    has just become a repeat customer. Only batches that hold such an order are
-    rewritten; order values first loaded stay.
+    has just become a repeat customer. Its new values go to the batch's own folder of
+    changes, so no earlier folder is written, and a run that breaks off loses nothing.
     """
     people_of = narrow_to_keys(
         mart.repeat_people(wh.read("dim_customer")), _touched_people(wh, batch_id), ["customer_unique_id"]
     )
-    earlier = wh.read_others("fct_orders", batch_id)
+    # What an earlier run of this batch changed is found anew.
+    earlier = wh.read("fct_orders", without=batch_id).where(F.col("batch_id") != batch_id)
     keys = ["order_id", "batch_id"]
     reviewed = narrow_to_keys(earlier, wh.read_batch("stg_order_reviews", batch_id), ["order_id"])
     repeated = narrow_to_keys(earlier.where("not is_repeat_customer"), people_of, ["customer_unique_id"])
-    changed = cut_lineage(
-        reviewed.select(*keys).unionByName(repeated.select(*keys)).distinct(), "changed-orders"
-    )
+    changed = reviewed.select(*keys).unionByName(repeated.select(*keys)).distinct()
     own = wh.read_batch("stg_orders", batch_id).select(*keys)
 
     orders = narrow_to_keys(wh.read("stg_orders"), changed.unionByName(own), ["order_id"])
@@ -174,15 +175,10 @@ def update_orders(wh: Warehouse, batch_id: str) -> None:
         for n in ("order_items", "order_payments", "order_reviews")
     ]
     known = narrow_to_keys(wh.read("dim_customer"), people, ["customer_unique_id"])
-    fresh = mart.build_fct_orders(orders, people, *children, known)
-
-    # At most one name per batch; as literals they keep all other folders from being read.
-    folders = [r.batch_id for r in changed.select("batch_id").distinct().collect()]
-    rewritten = earlier.where(F.col("batch_id").isin(folders))
-    merged = upsert_columns(rewritten, fresh, ["order_id"], ORDER_UPDATES)
-    # An order no longer staged in this batch must not outlive a repeated run.
-    wh.drop_batches("fct_orders", [batch_id])
-    wh.replace_batches_of("fct_orders", merged)
+    fresh = cut_lineage(mart.build_fct_orders(orders, people, *children, known), "fresh-orders")
+    own = F.col("batch_id") == batch_id
+    wh.replace_batch("order_changes", _stamped(fresh.where(~own), batch_id), batch_id)
+    wh.replace_batch("fct_orders", fresh.where(own), batch_id)
 
 
 def update_mart(wh: Warehouse, batch_id: str) -> None:
@@ -238,7 +234,7 @@ def reset_dynamic(wh: Warehouse, orders_too: bool = False, audit_too: bool = Fal
     drop both to load them again.
     """
     names = [*RAW_DYNAMIC, *STAGING_DYNAMIC, "fct_order_items", "rejected_rows"]
-    names += ["fct_orders"] * orders_too + ["load_audit"] * audit_too
+    names += ["fct_orders", "order_changes"] * orders_too + ["load_audit"] * audit_too
     for name in names:
         wh.clear(name)
 

@@ -24,6 +24,7 @@ from mercata.plans import (
     seller,
 )
 from mercata.plans.workspace import Workspace
+from mercata.schemas import MALFORMED
 from mercata.session import scratch_path
 from mercata.sources import batches
 from mercata.streaming import ingest
@@ -74,13 +75,13 @@ def _csv_batch_scan(w: Workspace) -> DataFrame:
     folder = scratch_path(w.spark, "csv")
     batches.write_csv(w.source["order_reviews"], folder, "order_reviews")
     return batches.load_batch(w.spark, folder, generator.SEED, ["order_reviews"])["raw_order_reviews"].drop(
-        "ingested_at"
+        "ingested_at", MALFORMED
     )
 
 
 def _batch_status(w: Workspace) -> DataFrame:
     folders = w.batches().where(F.col("batch_id").startswith(batches.BATCH_PREFIX))
-    return batches.batch_status(folders, w["load_audit"].where("rows_in > 0"))
+    return batches.batch_status(folders, w["load_audit"])
 
 
 def _rejected_rows(w: Workspace) -> DataFrame:

@@ -14,6 +14,7 @@ under both.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from mercata.functions import labels, parsing as p
 from mercata.operators.keyed import insert_if_absent, keep_first
-from mercata.schemas import TABLES, conform
+from mercata.schemas import MALFORMED, TABLES, conform
 
 POLICIES = ("reference", "complete")
 
@@ -69,6 +70,8 @@ class _Rules:
     def judge(self, raw: DataFrame) -> DataFrame:
         """Add the reason, if any, and whether the row can be loaded."""
         reason = F.when(self.shaped, self._chain(self.unfit)).otherwise(self._chain(self.broken))
+        if MALFORMED in raw.columns:
+            reason = F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed_line")).otherwise(reason)
         return raw.withColumn("_reason", reason).withColumn(
             "_loadable", F.col("_reason").isNull() & self.shaped
         )
@@ -84,7 +87,8 @@ def _finish(
 ) -> Staged:
     """Split judged rows: rejects as they came, loadable ones made unique and then parsed."""
     spec = TABLES[table]
-    text = [c for c in raw.columns if c not in ("batch_id", "ingested_at")]
+    sent = [c for c in raw.columns if c != MALFORMED]
+    text = [c for c in sent if c not in ("batch_id", "ingested_at")]
     # The raw text settles which of several copies in one batch is kept.
     order = ["ingested_at", "batch_id", *text]
     loadable = judged.where("_loadable").select(*raw.columns)
@@ -92,7 +96,10 @@ def _finish(
     unique = conform(first.select([parsed.get(c, F.col(c)).alias(c) for c in spec.columns]), table)
     if existing is not None:
         unique = insert_if_absent(unique, existing, spec.key).select(*spec.columns)
-    payload = F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})
+    payload = F.to_json(F.struct(*sent), {"ignoreNullFields": "false"})
+    if MALFORMED in raw.columns:
+        line = F.to_json(F.struct(F.col(MALFORMED).alias("line"), "batch_id", "ingested_at"))
+        payload = F.when(F.col(MALFORMED).isNotNull(), line).otherwise(payload)
     rejects = judged.where("_reason is not null").select(
         "batch_id",
         F.lit(f"raw.{source_table}").alias("source_table"),
@@ -326,11 +333,16 @@ def stage_products(raw: DataFrame) -> DataFrame:
     )
 
 
+def _well_formed(stage: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """Lines of a static file that have too many or too few fields stay in the raw table."""
+    return lambda raw: stage(raw.where(F.col(MALFORMED).isNull()) if MALFORMED in raw.columns else raw)
+
+
 STATIC_STAGERS = {
-    "products": stage_products,
-    "customers": stage_customers,
-    "sellers": stage_sellers,
-    "category_translation": stage_category_translation,
+    "products": _well_formed(stage_products),
+    "customers": _well_formed(stage_customers),
+    "sellers": _well_formed(stage_sellers),
+    "category_translation": _well_formed(stage_category_translation),
 }
 CHILD_STAGERS = {
     "order_items": stage_order_items,

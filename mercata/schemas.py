@@ -51,13 +51,16 @@ INPUT_COLUMNS = {
     "category_translation": "product_category_name product_category_name_english",
 }
 
+# The whole line, where it has more or fewer fields than the file has columns.
+MALFORMED = "malformed"
+
 DYNAMIC_INPUTS = ("orders", "order_items", "order_payments", "order_reviews")
 STATIC_INPUTS = ("products", "customers", "sellers", "category_translation")
 
 INPUT_DDL = {name: _text(cols) for name, cols in INPUT_COLUMNS.items()}
 
 RAW = {
-    f"raw_{name}": Table("raw", f"{_text(cols)}, {STAMP}", by_batch=True)
+    f"raw_{name}": Table("raw", f"{_text(cols)}, {MALFORMED} string, {STAMP}", by_batch=True)
     for name, cols in INPUT_COLUMNS.items()
 }
 
@@ -130,7 +133,7 @@ MART = {
     "dim_product": Table(
         "mart",
         "product_id string, category_pt string, category_en string, product_weight_g int, "
-        "product_volume_cm3 int, photos_qty smallint",
+        "product_volume_cm3 bigint, photos_qty smallint",
         key=("product_id",),
         not_null=("product_id", "category_pt", "category_en"),
     ),
@@ -152,7 +155,7 @@ MART = {
         "order_id string, order_item_id smallint, product_id string, seller_id string, "
         "customer_id string, customer_unique_id string, order_purchase_timestamp timestamp_ntz, "
         "order_purchase_date date, price decimal(12,2), freight_value decimal(12,2), "
-        "item_revenue decimal(12,2), order_status string, category_pt string, category_en string, "
+        "item_revenue decimal(14,2), order_status string, category_pt string, category_en string, "
         "customer_state string, customer_city string, seller_state string, seller_city string, "
         "price_segment string, is_cross_state boolean, freight_ratio decimal(6,4), "
         "batch_id string, loaded_at timestamp",
@@ -169,14 +172,42 @@ MART = {
         "order_id string, customer_id string, customer_unique_id string, order_status string, "
         "order_purchase_timestamp timestamp_ntz, order_purchase_date date, "
         "order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz, "
-        "delivery_days smallint, delay_days smallint, is_late boolean, item_count bigint, "
-        "order_revenue decimal(12,2), payment_value decimal(12,2), payment_type_main string, "
+        "delivery_days int, delay_days int, is_late boolean, item_count bigint, "
+        "order_revenue decimal(18,2), payment_value decimal(18,2), payment_type_main string, "
         "max_installments smallint, review_score smallint, is_repeat_customer boolean, "
         "batch_id string, loaded_at timestamp",
         key=("order_id",),
         not_null=("order_id", "customer_id", "customer_unique_id", "order_status", "is_repeat_customer"),
         by_batch=True,
     ),
+    # What later batches changed, one folder per batch; read together with the table above it.
+    "order_changes": Table(
+        "mart",
+        "order_id string, order_status string, order_delivered_customer_date timestamp_ntz, "
+        "delivery_days int, delay_days int, is_late boolean, review_score smallint, "
+        "is_repeat_customer boolean, batch_id string, changed_at timestamp",
+        key=("order_id",),
+        by_batch=True,
+    ),
+    "customer_changes": Table(
+        "mart",
+        "customer_unique_id string, customer_city string, customer_state string, first_order_date date, "
+        "total_orders bigint, total_spent decimal(18,2), batch_id string, changed_at timestamp",
+        key=("customer_unique_id",),
+        by_batch=True,
+    ),
+}
+
+# Table: the table of its changes and the columns that these take over.
+CHANGES = {
+    "fct_orders": (
+        "order_changes",
+        (
+            "order_status", "order_delivered_customer_date", "delivery_days", "delay_days", "is_late",
+            "review_score", "is_repeat_customer",
+        ),
+    ),
+    "dim_customer": ("customer_changes", ("first_order_date", "total_orders", "total_spent")),
 }
 
 OPS = {

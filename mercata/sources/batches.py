@@ -45,14 +45,16 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
 def scan_csv(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One input of a batch as text columns; an absent file gives no rows.
 
+    A line with more or fewer fields than columns comes whole in the last column as well.
     Quoted fields may hold commas and line breaks. Such files cannot be split, so the
     writer below keeps one part file per task and parallelism comes from their number.
     """
-    schema = schemas.INPUT_DDL[name]
+    schema = f"{schemas.INPUT_DDL[name]}, {schemas.MALFORMED} string"
     path = f"{folder}/{name}.csv"
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true", nullValue="").csv(path)
+    told = {"columnNameOfCorruptRecord": schemas.MALFORMED}
+    return spark.read.schema(schema).options(**CSV_OPTIONS, **told, multiLine="true", nullValue="").csv(path)
 
 
 def stamp(df: DataFrame, batch_id: str, ingested_at: dt.datetime) -> DataFrame:

@@ -30,16 +30,8 @@ def _stamp(expression: str) -> Column:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table.
-
-    Orders and their lines come as one file that cannot be split. With fewer splits than
-    cores the rows are spread out first; folders of many files are read as they are.
-    """
-    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in ("orders", "lineitem") and table.rdd.getNumPartitions() < cores:
-        table = table.repartition(cores)
-    return table
+    """One test table, split as its files are."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,10 @@
 Tables split by batch keep each batch in its own folder; loading a batch again replaces
 that folder, so a retry leaves no second copy. Other tables are written whole to a new
 version folder, and the highest version that was finished is the current one.
+
+Later batches change some rows of the order fact and of the customers. What they change lies
+in tables of its own, one folder per batch, and is put over the rows on reading; a batch
+therefore writes as much as it brings, and never what earlier batches wrote.
 """
 
 from __future__ import annotations
@@ -12,8 +16,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercata.schemas import DYNAMIC_INPUTS, TABLES, conform
-from mercata.session import cut_lineage
+from mercata.operators.keyed import with_changes
+from mercata.schemas import CHANGES, DYNAMIC_INPUTS, TABLES, conform
 from mercata.sources.batches import list_folders, path_exists
 
 VERSION = "v="
@@ -38,8 +42,23 @@ class Warehouse:
         found = [f"{folder}/{v}" for v in list_folders(self.spark, folder) if v.startswith(VERSION)]
         return [v for v in found if path_exists(self.spark, f"{v}/_SUCCESS")]
 
-    def read(self, name: str) -> DataFrame:
-        """The current rows of a table; a table never written has none."""
+    def read(self, name: str, without: str | None = None) -> DataFrame:
+        """The current rows of a table; a table never written has none.
+
+        ``without`` leaves out what one batch changed in rows of others.
+        """
+        rows = self._stored(name)
+        changes, update = CHANGES.get(name, (None, ()))
+        if changes is None or not self.batch_ids(changes):
+            return rows
+        written = "loaded_at" if "loaded_at" in rows.columns else None
+        changed = self._stored(changes)
+        if without is not None:
+            changed = changed.where(F.col("batch_id") != without)
+        merged = with_changes(rows, changed, TABLES[name].key, update, written)
+        return merged.select(*TABLES[name].columns)
+
+    def _stored(self, name: str) -> DataFrame:
         spec = TABLES[name]
         if spec.by_batch:
             source = self.path(name) if self.batch_ids(name) else None
@@ -76,19 +95,6 @@ class Warehouse:
         rows = conform(df, name).drop("batch_id")
         rows.write.mode("overwrite").parquet(f"{self.path(name)}/batch_id={batch_id}")
 
-    def replace_batches_of(self, name: str, df: DataFrame) -> None:
-        """Replace every batch that ``df`` holds rows of; the others stay.
-
-        ``df`` may be built from the table itself, so it is written elsewhere first.
-        """
-        rows = cut_lineage(conform(df, name), name)
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(self.path(name))
-        )
-
     def replace_all_batches(self, name: str, df: DataFrame) -> None:
         """Replace a batch-wise table as a whole, by rows that were not read from it."""
         (

