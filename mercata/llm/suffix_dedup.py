@@ -44,8 +44,8 @@ GRAM = 32
 WINDOW = LENGTH - GRAM + 1  # grams in a string
 HOT = 4096
 SHARD = 32_768
-BLOCK = 16 << 20
-PART = 1 << 22
+BLOCK = 8 << 20
+PART = 1 << 20
 PLACE = np.uint64((1 << 24) - 1)
 FIRST_ID = -(1 << 63)  # stands for a missing id
 WIDTH = LENGTH + WINDOW - 1  # columns around an anchor
@@ -376,6 +376,12 @@ def _whole_shards(batches) -> Iterator[tuple[np.ndarray, list[bytes], list[tuple
         yield np.array(blocks, np.int64), blobs, told
 
 
+def covered(first: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
+    """Which bytes of a text lie in a string that starts in one of the runs."""
+    steps = np.bincount(first, minlength=size + 1) - np.bincount(end - 1 + LENGTH, minlength=size + 1)
+    return np.cumsum(steps[:size]) > 0
+
+
 def cut_texts(blocks: DataFrame) -> DataFrame:
     """Blocks with their packed runs (``found``, null for none) to the columns row, n_bytes, n_removed,
     n_spans and ``kept`` (the bytes that stay) of each text."""
@@ -385,18 +391,19 @@ def cut_texts(blocks: DataFrame) -> DataFrame:
         for batch in batches:
             for rows, lengths, blob, found in zip(*batch.columns, strict=True):
                 data, starts, sizes = _texts(lengths, blob)
-                steps = np.zeros(len(data) + 1, np.int32)
-                for runs in found.as_py() or []:
-                    doc, first, end = unpack_runs(runs)
-                    np.add.at(steps, starts[doc] + first, 1)
-                    np.add.at(steps, starts[doc] + end - 1 + LENGTH, -1)
-                gone = np.cumsum(steps[:-1]) > 0
-                heads = gone & ~np.append(False, gone[:-1])[: len(gone)]
-                heads[starts[sizes > 0]] = gone[starts[sizes > 0]]  # a run does not go on from another text
-                removed, spans = (np.diff(np.append(0, np.cumsum(x))[np.append(starts, len(data))]) for x in (gone, heads))
-                kept = [data[s : s + k] if not r else data[s : s + k][~gone[s : s + k]] for s, k, r in zip(starts, sizes, removed, strict=True)]
+                runs = [unpack_runs(r) for r in found.as_py() or []] or [(np.empty(0, np.int64),) * 3]
+                doc, first, end = (np.concatenate(c) for c in zip(*runs, strict=True))
+                by = np.argsort(doc, kind="stable")
+                bounds = np.searchsorted(doc[by], np.arange(len(sizes) + 1))
+                removed, spans, kept = [], [], []
+                for k, (start, size) in enumerate(zip(starts.tolist(), sizes.tolist(), strict=True)):
+                    own, text = by[bounds[k] : bounds[k + 1]], data[start : start + size]
+                    gone = covered(first[own], end[own], size) if len(own) else np.zeros(size, bool)
+                    removed.append(int(gone.sum()))
+                    spans.append(int((gone[1:] & ~gone[:-1]).sum()) + int(gone[:1].sum()))
+                    kept.append((text[~gone] if removed[-1] else text).tobytes())
                 numbers = [pa.array(c, pa.int64()) for c in (sizes, removed, spans)]
-                columns = [rows.values, *numbers, pa.array([k.tobytes() for k in kept], pa.binary())]
+                columns = [rows.values, *numbers, pa.array(kept, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
     schema = f"row {row_kind}, n_bytes long, n_removed long, n_spans long, kept binary"
