@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 
 from mercata.plans import delivery, overview, product, quality, seller
+from mercata.sources.warehouse import Warehouse
 
 # View: its builder and the tables it reads, in the builder's order.
 VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
@@ -47,12 +48,20 @@ def view(tables: Mapping[str, DataFrame], name: str, limit: int | None = None, *
     return df if limit is None else df.limit(limit)
 
 
-def register_views(tables: Mapping[str, DataFrame], **options: dict) -> None:
+def register_views(source: Warehouse | Mapping[str, DataFrame], **options: dict) -> None:
     """Make tables and views available to ``spark.sql``; ``options`` are per view.
 
-    Views are plans, read anew by every query. The concentration curve orders all
-    sellers when it is registered and keeps that order until it is registered again.
+    Views of a warehouse follow it: after each run in this session they show what was loaded.
+    Views of single tables stay plans over these tables. The concentration curve puts all
+    sellers in order when views are registered or follow a run; the others do no work then.
     """
+    if isinstance(source, Warehouse):
+        source.watch("views", lambda wh: _register(wh.tables(*BASE_TABLES), options))
+    else:
+        _register(source, options)
+
+
+def _register(tables: Mapping[str, DataFrame], options: Mapping[str, dict]) -> None:
     for name in BASE_TABLES:
         if name in tables:
             tables[name].createOrReplaceTempView(name)

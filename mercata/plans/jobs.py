@@ -198,6 +198,7 @@ def run_seed(wh: Warehouse, folder: str, policy: str = "reference", ingested_at=
     build_static_dimensions(wh)
     rebuild_mart(wh)
     write_audit(wh, SEED, started)
+    wh.changed()
 
 
 def run_batch(wh: Warehouse, folder: str, batch_id: str, policy: str = "reference", ingested_at=None) -> None:
@@ -209,6 +210,7 @@ def run_batch(wh: Warehouse, folder: str, batch_id: str, policy: str = "referenc
     update_mart(wh, batch_id)
     checks.require_clean(wh.read_batch("fct_order_items", batch_id))
     write_audit(wh, batch_id, started)
+    wh.changed()
 
 
 def run_next_batch(wh: Warehouse, root: str, policy: str = "reference") -> str | None:
@@ -225,6 +227,7 @@ def rollback(wh: Warehouse, batch_ids: Iterable[str]) -> None:
     for name in (*RAW_DYNAMIC, *STAGING_DYNAMIC, "rejected_rows", "load_audit"):
         wh.drop_batches(name, batch_ids)
     rebuild_mart(wh)
+    wh.changed()
 
 
 def reset_dynamic(wh: Warehouse, orders_too: bool = False, audit_too: bool = False) -> None:
@@ -237,6 +240,7 @@ def reset_dynamic(wh: Warehouse, orders_too: bool = False, audit_too: bool = Fal
     names += ["fct_orders", "order_changes"] * orders_too + ["load_audit"] * audit_too
     for name in names:
         wh.clear(name)
+    wh.changed()
 
 
 def export_audit(wh: Warehouse, folder: str) -> None:

@@ -11,7 +11,7 @@ therefore writes as much as it brings, and never what earlier batches wrote.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,17 @@ KEPT_VERSIONS = 2
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._watchers: dict[str, Callable[[Warehouse], None]] = {}
+
+    def watch(self, name: str, told: Callable[[Warehouse], None]) -> None:
+        """Call ``told`` now and after every run that changed tables; one watcher per name."""
+        self._watchers[name] = told
+        told(self)
+
+    def changed(self) -> None:
+        """A run is over: watchers look at the tables anew."""
+        for told in self._watchers.values():
+            told(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{TABLES[name].layer}/{name}"

@@ -487,6 +487,8 @@ select customer_unique_id, customer_city, customer_state, {day('first_order_date
 SQL["fct_order_items"] = f"{_item_columns('fi')}, batch_id from (select * replace ({big('order_item_id')} as order_item_id) from fi)"
 SQL["run_seed"] = SQL["fct_order_items"] + " where batch_id = 'seed'"
 SQL["run_next_batch"] = SQL["fct_order_items"] + " where batch_id in ('seed', 'batch_20010601')"
+# after a clean, a duplicate, a dirty and a mixed day
+RUN_DAYS = ("seed", "batch_20010601", "batch_20010602", "batch_20010603", "batch_20010604")
 SQL["fct_orders"] = f"""
 select order_id, customer_id, customer_unique_id, order_status, {when('order_purchase_timestamp')} as
   order_purchase_timestamp, {day('order_purchase_date')} as order_purchase_date,
@@ -507,9 +509,10 @@ select d.customer_unique_id,
   case when s.customer_unique_id is null then d.customer_state else s.customer_state end as customer_state,
   {day('first_order_date')} as first_order_date, total_orders, {money('spent')} as total_spent
 from dim_customer d left join seed_customer s using (customer_unique_id)"""
+ODD_DAY = "cast(right(batch_id, 1) as integer) % 2 = 1"
 SQL["insert_if_absent"] = f"""
-select order_id, customer_id, batch_id from stg_orders where batch_id <> 'seed'
-  and order_id not in (select order_id from stg_orders where batch_id = 'seed')"""
+select distinct order_id, customer_id, batch_id from raw_orders where batch_id <> 'seed' and not {ODD_DAY.replace("cast", "try_cast")}
+  and order_id not in (select order_id from stg_orders where batch_id <> 'seed' and {ODD_DAY.replace("cast", "try_cast")})"""
 
 # checks
 SQL["column_checks"] = """
@@ -644,7 +647,7 @@ select batch_id, {when('max(run_time)')} as run_time, {big('sum(rows_in)')} as r
   {rnd('100 * sum(rows_loaded)', 'sum(rows_in)')} as quality_score from load_audit group by batch_id"""
 SQL["vw_reject_summary"] = """
 select batch_id, source_table, reject_reason, count(*) as so_dong from rejects group by all"""
-SQL["vw_load_health"] = f"""
+SQL["vw_pipeline_health"] = f"""
 select count(distinct batch_id) as so_batch_da_chay, {big('sum(rows_loaded)')} as tong_dong_da_nap,
   {big('sum(rows_rejected)')} as tong_dong_bi_loai, {rnd('100 * sum(rows_rejected)', 'sum(rows_in)')} as reject_rate_tong,
   (select batch_id from load_audit order by run_time desc limit 1) as batch_gan_nhat,
@@ -753,6 +756,14 @@ SQL["profile_columns"] = " union all ".join((
 ))
 
 
+SQL["run_days_orders"] = SQL["fct_orders"]
+SQL["run_days_customers"] = SQL["dim_customer"]
+SQL["run_days_items"] = SQL["fct_order_items"]
+SQL["run_days_rejects"] = """
+select batch_id, source_table, reject_reason, order_id as payload_order_id, part as payload_value from rejects"""
+SQL["run_days_audit"] = "select batch_id, table_name, rows_in, rows_dup, rows_rejected, rows_loaded from load_audit"
+
+
 def _needed(text: str) -> list[str]:
     """Names of the common table expressions a text builds on, in order of definition."""
     found: set[str] = set()
@@ -783,7 +794,13 @@ def _needed(text: str) -> list[str]:
 
 def statement(name: str) -> str:
     body = SQL[name].strip()
-    parts = ",\n".join(f"{n} as ({CTES[n].strip()})" for n in _needed(body))
+    only = ""
+    if name.startswith("run_days_"):  # the same tables over the batches of these days
+        only = f" where batch_id in {RUN_DAYS}"
+    cut = ("raw_orders", "raw_items", "raw_payments", "raw_reviews", "batch_list")
+    parts = ",\n".join(
+        f"{n} as (select * from ({CTES[n].strip()}){only if n in cut else ''})" for n in _needed(body)
+    )
     return f"with {parts}\n{body}" if parts else body
 
 
