@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from mercata.plans import (
     seller,
 )
 from mercata.plans.workspace import Workspace
-from mercata.schemas import MALFORMED
+from mercata.schemas import DYNAMIC_INPUTS, MALFORMED
 from mercata.session import scratch_path
 from mercata.sources import batches
 from mercata.sources.warehouse import Warehouse
@@ -132,15 +133,33 @@ def _snapshot_delta(w: Workspace) -> DataFrame:
     return audit.snapshot_delta(before, after)
 
 
-def _stream_stage_orders(w: Workspace) -> DataFrame:
-    """Orders staged by a stream: first the seed, then, on a second start, the daily batches."""
-    root = scratch_path(w.spark, "stream")
-    raw, staged, checkpoint = f"{root}/raw", f"{root}/staged", f"{root}/checkpoint"
-    in_seed = F.col("batch_id") == generator.SEED
-    for arriving in (in_seed, ~in_seed):
-        w["raw_orders"].where(arriving).write.mode("append").parquet(raw)
-        ingest.stage_order_stream(w.spark, raw, staged, checkpoint).awaitTermination()
-    return ingest.read_staged(w.spark, staged).drop("epoch")
+def _streamed(w: Workspace) -> str:
+    """The folder that four streams staged the inputs to, orders first.
+
+    Each starts three times: on the seed, on the first month, and on the second month, which
+    sends orders of the first again; then once more on everything with a new checkpoint.
+    """
+    if w.streamed is None:
+        root = scratch_path(w.spark, "stream")
+        in_seed = F.col("batch_id") == generator.SEED
+        early = F.col("batch_id") < f"{batches.BATCH_PREFIX}{w.plan.first_day + dt.timedelta(days=30):%Y%m%d}"
+        for name in DYNAMIC_INPUTS:
+            raw = f"{root}/raw_{name}"
+            for arriving in (in_seed, ~in_seed & early, ~in_seed & ~early):
+                w[f"raw_{name}"].where(arriving).write.mode("append").parquet(raw)
+                ingest.stage_stream(w.spark, name, raw, root, f"{root}/checkpoint_{name}").awaitTermination()
+            ingest.stage_stream(w.spark, name, raw, root, f"{root}/again_{name}").awaitTermination()
+        w.streamed = root
+    return w.streamed
+
+
+def _stream_staged(name: str) -> Callable[[Workspace], DataFrame]:
+    return lambda w: ingest.read_staged(w.spark, _streamed(w), name).drop("stream", "epoch")
+
+
+def _stream_rejects(w: Workspace) -> DataFrame:
+    found = [ingest.read_rejects(w.spark, _streamed(w), n) for n in DYNAMIC_INPUTS]
+    return _payload_fields(reduce(DataFrame.unionByName, found))
 
 
 def _run_seed(w: Workspace) -> DataFrame:
@@ -251,7 +270,11 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "stage_category_translation": _table("stg_category_translation"),
     "rejected_rows": _rejected_rows,
     "load_audit": _table("load_audit", "duration_sec", "note"),
-    "stream_stage_orders": _stream_stage_orders,
+    "stream_stage_orders": _stream_staged("orders"),
+    "stream_stage_items": _stream_staged("order_items"),
+    "stream_stage_payments": _stream_staged("order_payments"),
+    "stream_stage_reviews": _stream_staged("order_reviews"),
+    "stream_rejects": _stream_rejects,
     # mart
     "dim_product": _table("dim_product"),
     "dim_seller": _table("dim_seller"),

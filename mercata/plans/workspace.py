@@ -58,6 +58,7 @@ class Workspace:
         self._batches: dict[str, DataFrame] | None = None
         self._seed: dict[str, DataFrame] | None = None
         self._seeded: tuple[str, Warehouse] | None = None
+        self.streamed: str | None = None  # folder of what streams staged
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Workspace":

@@ -449,7 +449,6 @@ select order_id, customer_id, order_status, {when('order_purchase_timestamp')} a
   {when('order_delivered_customer_date')} as order_delivered_customer_date,
   {when('order_estimated_delivery_date')} as order_estimated_delivery_date, batch_id,
   {when('ingested_at')} as ingested_at from stg_orders"""
-SQL["stream_stage_orders"] = SQL["stage_orders"]
 SQL["stage_order_items"] = f"""
 select order_id, {big('order_item_id')} as order_item_id, product_id, seller_id,
   {when('shipping_limit_date')} as shipping_limit_date, {money('pc')} as price, {money('fc')} as freight_value, batch_id,
@@ -756,6 +755,10 @@ SQL["profile_columns"] = " union all ".join((
 ))
 
 
+for _n in ("order_items", "order_payments", "order_reviews"):
+    SQL[f"stream_stage_{_n.removeprefix('order_')}"] = SQL[f"stage_{_n}"]
+SQL["stream_stage_orders"] = SQL["stage_orders"]
+SQL["stream_rejects"] = SQL["rejected_rows"]
 SQL["run_days_orders"] = SQL["fct_orders"]
 SQL["run_days_customers"] = SQL["dim_customer"]
 SQL["run_days_items"] = SQL["fct_order_items"]
