@@ -1,6 +1,7 @@
 """Seed and daily runs: equal to a replay of the whole history, repeatable, reversible."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -176,3 +177,74 @@ def test_versions_of_whole_tables(spark, tmp_path):
 
 def wh_ddl():
     return "seller_id string, seller_city string, seller_state string"
+
+
+def _files(folder):
+    return {str(p): p.read_bytes() for p in Path(folder).rglob("*.parquet")}
+
+
+@pytest.fixture(scope="module")
+def two_days(spark, folders, tmp_path_factory):
+    """A warehouse after the seed and the first day, with its views registered."""
+    root, ids = folders
+    wh = Warehouse(spark, str(tmp_path_factory.mktemp("two-days")))
+    wh.create()
+    jobs.run_seed(wh, f"{root}/seed")
+    jobs.run_batch(wh, f"{root}/{ids[0]}", ids[0])
+    catalog.register_views(wh, vw_category_growth={"start": small.FIRST.replace(year=2019), "min_orders": 2})
+    return wh
+
+
+def test_a_run_that_breaks_off_loses_nothing(spark, two_days, folders, monkeypatch):
+    root, ids = folders
+    wh, written = two_days, two_days.replace_batch
+    earlier = {n: _files(wh.path(n)) for n in ("fct_orders", "dim_customer", "fct_order_items")}
+    rows = wh.read("fct_orders").count()
+
+    def broken(name, df, batch_id):
+        if name == "fct_orders":
+            raise OSError("lost")
+        written(name, df, batch_id)
+
+    monkeypatch.setattr(wh, "replace_batch", broken)
+    with pytest.raises(OSError, match="lost"):
+        jobs.run_batch(wh, f"{root}/{ids[1]}", ids[1])
+    assert wh.read("fct_orders").count() == rows and ids[1] not in wh.batch_ids("load_audit")
+    monkeypatch.undo()
+    assert jobs.run_next_batch(wh, root) == ids[1]
+    assert wh.read("fct_orders").count() > rows
+    # Folders of earlier batches are as they were, byte for byte.
+    for name, files in earlier.items():
+        now = _files(wh.path(name))
+        assert all(now[path] == data for path, data in files.items()), name
+    assert wh.read("fct_orders").exceptAll(wh._stored("fct_orders")).count() > 0  # and yet some rows changed
+
+
+def test_registered_views_follow_the_warehouse(spark, two_days, folders):
+    root, ids = folders
+    for n in (2, 3):
+        jobs.run_batch(two_days, f"{root}/{ids[n]}", ids[n])
+        for name in ("vw_pipeline_health", "vw_category_perf", "vw_seller_detail", "vw_customer_summary"):
+            same(spark.sql(f"select * from {name}"), catalog.view(two_days.tables(*catalog.BASE_TABLES), name))
+    assert spark.sql("select so_batch_da_chay from vw_pipeline_health").first()[0] == 5
+
+
+def test_a_batch_loaded_again_keeps_its_first_time(spark, two_days, folders):
+    root, ids = folders
+    times = two_days.read("raw_orders").select("batch_id", "ingested_at").distinct()
+    before = sorted(times.collect())
+    customers = sorted(two_days.read("dim_customer").collect())
+    jobs.run_batch(two_days, f"{root}/{ids[1]}", ids[1])
+    after = two_days.read("raw_orders").select("batch_id", "ingested_at").distinct()
+    assert sorted(after.collect()) == before
+    assert sorted(two_days.read("dim_customer").collect()) == customers
+
+
+def test_views_without_order_do_no_work_when_built(spark, two_days):
+    tracker = spark.sparkContext.statusTracker()
+    tables = two_days.tables(*catalog.BASE_TABLES)
+    spark.sparkContext.setJobGroup("views", "building views")
+    for name in set(catalog.VIEWS) - {"vw_seller_concentration"}:
+        catalog.view(tables, name)
+    assert tracker.getJobIdsForGroup("views") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

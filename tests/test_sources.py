@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import small
-from mercata.plans import generator, profiler
+from mercata.plans import generator, profiler, staging
 from mercata.plans.generator import DAY
 from mercata.schemas import INPUT_COLUMNS
 from mercata.sources import batches
@@ -70,6 +70,8 @@ def test_the_same_day_is_the_same_again(spark, source, daily, tmp_path):
     assert batch_id == "batch_20200304"
     for name in ("orders", "order_items", "order_payments", "order_reviews"):
         written = batches.scan_csv(spark, f"{tmp_path}/{batch_id}", name)
+        assert all(r.malformed is None for r in written.collect())
+        written = written.drop("malformed")
         wanted = daily[name].where(F.col(DAY) == F.lit(day(3))).drop(DAY)
         assert written.exceptAll(wanted).isEmpty() and wanted.exceptAll(written).isEmpty(), name
 
@@ -123,3 +125,22 @@ def test_column_profile(spark):
     got = {r.column_name: r for r in profiler.column_profile(df, "t").collect()}
     assert [got[c].data_type for c in "abcd"] == ["int64", "float64", "str", "float64"]
     assert float(got["b"].null_pct) == 50 and got["c"].sample_value == "x" and got["d"].sample_value is None
+
+
+def test_lines_with_too_many_or_too_few_fields_are_quarantined(spark, tmp_path):
+    folder = tmp_path / "batch_20200101"
+    folder.mkdir()
+    (folder / "order_payments.csv").write_text(
+        "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+        "o1,1,boleto,1,5.00\no2,1,boleto,1,5.00,EXTRA\no3,1,boleto\n"
+    )
+    raw = batches.load_batch(spark, str(folder), "b", ["order_payments"])["raw_order_payments"]
+    assert raw.count() == 3
+    orders = spark.createDataFrame([("o1",), ("o2",), ("o3",)], "order_id string").withColumn(
+        "ingested_at", F.lit("2000-01-01").cast("timestamp")
+    )
+    staged = staging.stage_order_payments(raw, orders)
+    assert [r.order_id for r in staged.clean.collect()] == ["o1"]
+    rejects = {r.raw_payload: r.reject_reason for r in staged.rejects.collect()}
+    assert set(rejects.values()) == {"malformed_line"} and len(rejects) == 2
+    assert any("o2,1,boleto,1,5.00,EXTRA" in p for p in rejects)

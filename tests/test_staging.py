@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mercata.plans import staging
-from mercata.schemas import INPUT_COLUMNS, RAW, TABLES
+from mercata.schemas import INPUT_COLUMNS, MALFORMED, RAW, TABLES
 
 AT = dt.datetime(2020, 1, 2)
 GOOD_TIME = "2020-01-01 10:00:00"
@@ -29,7 +29,7 @@ def raw(spark, name, rows, batch="b1", at=AT):
     }[name]
     table = RAW[f"raw_{name}"]
     full = [{**valid, "batch_id": batch, "ingested_at": at, **r} for r in rows]
-    return spark.createDataFrame([tuple(r[c] for c in table.columns) for r in full], table.ddl)
+    return spark.createDataFrame([tuple(r.get(c) for c in table.columns) for r in full], table.ddl)
 
 
 @pytest.fixture(scope="module")
@@ -150,7 +150,7 @@ def test_the_payload_keeps_the_raw_row(spark, parents):
     row = staged.rejects.first()
     payload = json.loads(row.raw_payload)
     assert row.source_table == "raw.raw_order_items"
-    assert list(payload) == RAW["raw_order_items"].columns
+    assert list(payload) == [c for c in RAW["raw_order_items"].columns if c != MALFORMED]
     assert payload["price"] == "N/A" and payload["freight_value"] is None
 
 
@@ -185,7 +185,7 @@ def test_unknown_policy(spark):
 
 def stamped(spark, name, rows):
     spec = RAW[f"raw_{name}"]
-    return spark.createDataFrame([(*r, "seed", AT) for r in rows], spec.ddl)
+    return spark.createDataFrame([(*r, None, "seed", AT) for r in rows], spec.ddl)
 
 
 def test_static_tables(spark):
@@ -218,3 +218,42 @@ def test_static_tables(spark):
 
 def test_staged_types(spark, parents):
     assert [f.dataType for f in parents.schema] == [f.dataType for f in TABLES["stg_orders"].schema]
+
+
+def test_extreme_values_that_fit_a_column_do_not_break_the_mart(spark):
+    from mercata.plans import analyses, mart
+
+    at = "2020-01-01 00:00:00"
+    orders = spark.createDataFrame(
+        [("o1", "c1", "delivered", at, at, at, "9999-12-31 00:00:00", at, "b", at)],
+        "order_id string, customer_id string, order_status string, order_purchase_timestamp string, "
+        "order_approved_at string, order_delivered_carrier_date string, order_delivered_customer_date string, "
+        "order_estimated_delivery_date string, batch_id string, t string",
+    ).withColumn("ingested_at", F.col("t").cast("timestamp")).drop("t")
+    stg_orders = staging.stage_orders(orders).clean
+    most = "9999999999.99"
+    items = spark.createDataFrame(
+        [("o1", str(n), "p1", "s1", None, most, most, "b", at) for n in range(1, 4)],
+        "order_id string, order_item_id string, product_id string, seller_id string, shipping_limit_date string, "
+        "price string, freight_value string, batch_id string, t string",
+    ).withColumn("ingested_at", F.col("t").cast("timestamp")).drop("t")
+    stg_items = staging.stage_order_items(items, stg_orders).clean
+    people = spark.createDataFrame(
+        [("c1", "u1", "1", "x", "SP")],
+        "customer_id string, customer_unique_id string, customer_zip_code_prefix string, customer_city string, customer_state string",
+    )
+    product = spark.createDataFrame([("p1", "a", 1, 32000, 32000, 32000, 1)],
+        "product_id string, product_category_name string, product_weight_g int, product_length_cm smallint, "
+        "product_height_cm smallint, product_width_cm smallint, product_photos_qty smallint")
+    words = spark.createDataFrame([], "product_category_name string, product_category_name_english string")
+    dim_product = mart.build_dim_product(product, words)
+    assert dim_product.first().product_volume_cm3 == 32000**3
+    sellers = spark.createDataFrame([("s1", "x", "SP")], "seller_id string, seller_city string, seller_state string")
+    facts = mart.build_fct_order_items(stg_items, stg_orders, people, dim_product, sellers)
+    assert str(facts.first().item_revenue) == "19999999999.98"
+    customers = mart.build_dim_customer(stg_orders, stg_items, people)
+    none = {n: spark.createDataFrame([], TABLES[n].ddl.replace(" not null", "")) for n in ("stg_order_payments", "stg_order_reviews")}
+    fact = mart.build_fct_orders(stg_orders, people, stg_items, *none.values(), customers).first()
+    assert fact.delivery_days == 2914634 and str(fact.order_revenue) == "59999999999.94"
+    many = spark.range(1).select(F.lit(3_000_000_000 * 4).alias("review_score"))
+    assert analyses.review_weight_bias(many, many).first().bias_pct == 0

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import small
+from mercata.functions import labels
 from mercata.plans import analyses, catalog, checks, mart, overview
 from mercata.plans.workspace import Workspace
 from mercata.schemas import TABLES
@@ -70,6 +71,12 @@ def test_thresholds_are_arguments(tables):
     assert few.where("category_sorted = '99. Others'").count() == few.count() - 1
 
 
+def test_ranks_of_three_digits_sort_as_text(spark):
+    ranks = spark.range(1, 131).select(F.col("id").alias("r"), F.lit("x").alias("n"))
+    got = [r[0] for r in ranks.orderBy("r").select(labels.top_sort_label("r", "n", 120)).collect()]
+    assert got == sorted(got) and got[99] == "100. x" and got[-1] == "999. Others"
+
+
 def test_empty_tables(spark):
     empty = {n: spark.createDataFrame([], TABLES[n].ddl.replace(" not null", "")) for n in catalog.BASE_TABLES}
     for name in catalog.VIEWS:
@@ -137,5 +144,6 @@ def test_checks(spark, tables):
     with pytest.raises(checks.CheckFailed, match="prices_below_zero"):
         checks.require_clean(items.withColumn("price", F.lit(-1)))
     assert checks.repeated_keys(items, "fct_order_items").isEmpty()
-    assert checks.repeated_keys(items.unionAll(items), "fct_order_items").count() == 10
+    assert checks.repeated_keys(items.unionAll(items), "fct_order_items").count() == items.count()
+    assert checks.repeated_keys(items.unionAll(items), "fct_order_items", limit=10).count() == 10
     assert checks.orphan_count(items, tables["fct_orders"]).first().orphans == 0
