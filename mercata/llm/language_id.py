@@ -26,7 +26,7 @@ from mercata.session import cut_lineage
 BYTE_CLASSES = 128
 TABLE_BYTES = 32 << 20
 UNIT = 1024  # code lengths are whole numbers of 1/1024 bit, so sums do not depend on their order
-PART = 4 << 20  # bytes handled at a time
+PART = 1 << 20  # bytes handled at a time
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 

@@ -130,8 +130,12 @@ def judged(
     place = fresh(df, "quality_host")
     rows = measured(df, text, out).select(*[F.col(f"`{c}`") for c in columns], F.col(host).alias(place), out)
     rows = cut_lineage(rows, "quality")
-    hosts = host_rates(rows, place, F.col(out)["base_failed"]).select(
-        F.col("host").alias(place), F.col("rate").alias(f"{out}_rate")
+    # Written, so that Spark knows its size and moves no text where it is small.
+    hosts = cut_lineage(
+        host_rates(rows, place, F.col(out)["base_failed"]).select(
+            F.col("host").alias(place), F.col("rate").alias(f"{out}_rate")
+        ),
+        "hosts",
     )
     kept = ~F.col(out)["base_failed"] & F.coalesce(F.col(f"{out}_rate") <= host_limit, F.lit(True))
     return rows.join(hosts, place, "left").select(
