@@ -101,7 +101,7 @@ class Model:
                 own = (at >= first) & (at < first + len(part))
                 counts[at[own] - first, follower[own]] = n[own]
                 table[a * a + first : a * a + first + len(part), :, i] = coded_lengths(blended(counts, chance[part % (a * a)]))
-        self.table = table.reshape(-1, n_langs)
+        self.table = table.reshape(len(table) * a, n_langs)
         self.row = np.tile(np.arange(a * a, dtype=np.int32), a)
         self.row[contexts] = a * a + np.arange(len(contexts), dtype=np.int32)
 
@@ -177,7 +177,7 @@ def trained(texts: DataFrame) -> Model:
     contexts = coded.groupBy(F.floor(F.col("gram") / a).cast("long").alias("context")).agg(F.sum("n").alias("n"))
     room = max(0, TABLE_BYTES // (2 * a * n_langs) - a * a)
     power = F.floor(F.log2("n")).cast("int")
-    least, taken = 63, 0
+    least, taken = 62, 0
     for r in sorted(contexts.groupBy(power.alias("p")).count().collect(), key=lambda r: -r["p"]):
         if taken + r["count"] > room:
             break
