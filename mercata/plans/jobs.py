@@ -48,22 +48,20 @@ def stage_dynamic(wh: Warehouse, batch_id: str, policy: str = "reference") -> No
     def stage(name: str) -> staging.Staged:
         raw = wh.read_batch(f"raw_{name}", batch_id)
         existing = wh.read_others(f"stg_{name}", batch_id)
+        # Written once, read for the clean rows and again for the rejects; as large as the batch.
+        hold = partial(cut_lineage, label=f"judged-{name}")
         if name == "orders":
-            staged = staging.stage_orders(raw, existing, policy)
+            staged = staging.stage_orders(raw, existing, policy, hold)
         else:
             wanted = raw.select(F.trim("order_id").alias("order_id"))
             parents = narrow_to_keys(wh.read("stg_orders"), wanted, ["order_id"])
-            staged = staging.CHILD_STAGERS[name](raw, parents, existing, policy)
-        # Read for the clean rows and again for the rejects; as large as the batch.
-        staged.judged.persist()
+            staged = staging.CHILD_STAGERS[name](raw, parents, existing, policy, hold)
         wh.replace_batch(f"stg_{name}", staged.clean, batch_id)
         return staged
 
     first, *children = DYNAMIC_INPUTS
     done = [stage(first), *side_by_side(wh.spark, *[partial(stage, name) for name in children])]
     wh.replace_batch("rejected_rows", reduce(DataFrame.unionByName, [s.rejects for s in done]), batch_id)
-    for staged in done:
-        staged.judged.unpersist()
 
 
 def write_audit(wh: Warehouse, batch_id: str, started: float) -> None:

@@ -27,13 +27,15 @@ from mercata.schemas import MALFORMED, TABLES, conform
 POLICIES = ("reference", "complete")
 
 
+Hold = Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Staged:
-    """Outcome of staging one input; both results read the judged rows."""
+    """Outcome of staging one input."""
 
     clean: DataFrame
     rejects: DataFrame
-    judged: DataFrame
 
 
 class _Rules:
@@ -84,8 +86,14 @@ def _finish(
     table: str,
     source_table: str,
     existing: DataFrame | None,
+    hold: Hold | None,
 ) -> Staged:
-    """Split judged rows: rejects as they came, loadable ones made unique and then parsed."""
+    """Split judged rows: rejects as they came, loadable ones made unique and then parsed.
+
+    Both read the judged rows; ``hold`` may write these, so that they are judged once.
+    """
+    if hold is not None:
+        judged = hold(judged)
     spec = TABLES[table]
     sent = [c for c in raw.columns if c != MALFORMED]
     text = [c for c in sent if c not in ("batch_id", "ingested_at")]
@@ -107,7 +115,7 @@ def _finish(
         payload.alias("raw_payload"),
         F.current_timestamp().alias("rejected_at"),
     )
-    return Staged(unique, rejects, judged)
+    return Staged(unique, rejects)
 
 
 def _fits(column: str, kind: str) -> Column:
@@ -118,7 +126,7 @@ def _fits(column: str, kind: str) -> Column:
 MONEY = "decimal(12,2)"
 
 
-def stage_orders(raw: DataFrame, existing: DataFrame | None = None, policy: str = "reference") -> Staged:
+def stage_orders(raw: DataFrame, existing: DataFrame | None = None, policy: str = "reference", hold: Hold | None = None) -> Staged:
     bought = F.col("order_purchase_timestamp")
     dated = bought.rlike(p.ISO_TIMESTAMP)
     shaped = ~p.is_blank("order_id") & ~p.is_blank("customer_id") & F.coalesce(dated, F.lit(False))
@@ -144,7 +152,7 @@ def stage_orders(raw: DataFrame, existing: DataFrame | None = None, policy: str
         "order_purchase_timestamp": bought.try_cast("timestamp_ntz"),
         **{c: p.iso_timestamp(c) for c in optional},
     }
-    return _finish(rules.judge(raw), raw, parsed, "stg_orders", "raw_orders", existing)
+    return _finish(rules.judge(raw), raw, parsed, "stg_orders", "raw_orders", existing, hold)
 
 
 def _with_parent(raw: DataFrame, stg_orders: DataFrame) -> DataFrame:
@@ -158,7 +166,8 @@ def _with_parent(raw: DataFrame, stg_orders: DataFrame) -> DataFrame:
 
 
 def stage_order_items(
-    raw: DataFrame, stg_orders: DataFrame, existing: DataFrame | None = None, policy: str = "reference"
+    raw: DataFrame, stg_orders: DataFrame, existing: DataFrame | None = None, policy: str = "reference",
+    hold: Hold | None = None,
 ) -> Staged:
     has_parent = F.col("_has_parent")
     number, price, freight = F.col("order_item_id"), F.col("price"), F.col("freight_value")
@@ -197,11 +206,12 @@ def stage_order_items(
         "freight_value": _fits("freight_value", MONEY),
     }
     judged = rules.judge(_with_parent(raw, stg_orders))
-    return _finish(judged, raw, parsed, "stg_order_items", "raw_order_items", existing)
+    return _finish(judged, raw, parsed, "stg_order_items", "raw_order_items", existing, hold)
 
 
 def stage_order_payments(
-    raw: DataFrame, stg_orders: DataFrame, existing: DataFrame | None = None, policy: str = "reference"
+    raw: DataFrame, stg_orders: DataFrame, existing: DataFrame | None = None, policy: str = "reference",
+    hold: Hold | None = None,
 ) -> Staged:
     has_parent = F.col("_has_parent")
     value, number = F.col("payment_value"), F.col("payment_sequential")
@@ -233,11 +243,12 @@ def stage_order_payments(
         "payment_value": _fits("payment_value", MONEY),
     }
     judged = rules.judge(_with_parent(raw, stg_orders))
-    return _finish(judged, raw, parsed, "stg_order_payments", "raw_order_payments", existing)
+    return _finish(judged, raw, parsed, "stg_order_payments", "raw_order_payments", existing, hold)
 
 
 def stage_order_reviews(
-    raw: DataFrame, stg_orders: DataFrame, existing: DataFrame | None = None, policy: str = "reference"
+    raw: DataFrame, stg_orders: DataFrame, existing: DataFrame | None = None, policy: str = "reference",
+    hold: Hold | None = None,
 ) -> Staged:
     has_parent = F.col("_has_parent")
     score = F.col("review_score")
@@ -264,7 +275,7 @@ def stage_order_reviews(
         "review_answer_timestamp": p.iso_timestamp("review_answer_timestamp"),
     }
     judged = rules.judge(_with_parent(raw, stg_orders))
-    return _finish(judged, raw, parsed, "stg_order_reviews", "raw_order_reviews", existing)
+    return _finish(judged, raw, parsed, "stg_order_reviews", "raw_order_reviews", existing, hold)
 
 
 def _first_by_key(df: DataFrame, table: str) -> DataFrame:

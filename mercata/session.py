@@ -13,6 +13,7 @@ from pyspark.util import inheritable_thread_target
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
+_scratch: list[str] = []  # paths handed out by this process
 
 # Everything else is left to the cluster's own settings: executors, memory and
 # the number of shuffle partitions depend on where the job runs.
@@ -58,7 +59,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, unique to this application."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}")
+    return _scratch[-1]
+
+
+def scratch_since(count: int) -> list[str]:
+    """The paths handed out after the first ``count``; ``len(scratch_since(0))`` marks a moment."""
+    return _scratch[count:]
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch paths that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
