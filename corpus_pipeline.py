@@ -6,6 +6,9 @@ return the columns of documents. An empty table stays empty through all stages.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +16,10 @@ from pyspark.sql import functions as F
 from mercata.llm import language_id, packing, quality_rules, simhash, suffix_dedup
 from mercata.llm.common import fresh, read_table
 from mercata.llm.word_ids import VOCABULARY
-from mercata.session import cut_lineage
+from mercata.session import cut_lineage, remove, scratch_since
 
 LEAST_SCORE = 0.5  # of the predicted language
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,22 +66,50 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs, "doc_id", "text", path).withColumnRenamed("id", "doc_id")
 
 
-STAGES = [
-    ("quality rules", quality),
-    ("language ID", language),
-    ("near duplicates", near_duplicates),
-    ("repeated passages", repeated_passages),
-    ("packing", packed),
-]
+def tidy(stages: list[tuple[str, Stage]]) -> list[tuple[str, Stage]]:
+    """The stages; each starts by removing the tables that the one before it wrote for itself.
+
+    By then that one's result has been written. Tables that its input still reads stay.
+    """
+    left: dict[int, list[str]] = {}
+
+    def wrapped(k: int, stage: Stage) -> Stage:
+        @wraps(stage)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            used = [f.removeprefix("file:").lstrip("/") for f in docs.inputFiles()]
+            paths = {p: p.removeprefix("file:").lstrip("/") for p in left.pop(k - 1, [])}
+            remove(spark, [p for p, plain in paths.items() if not any(f.startswith(f"{plain}/") for f in used)])
+            before = len(scratch_since(0))
+            out = stage(spark, docs, sf_dir)
+            left[k] = scratch_since(before)
+            return out
+
+        return run_stage
+
+    return [(name, wrapped(k, stage)) for k, (name, stage) in enumerate(stages)]
+
+
+STAGES = tidy(
+    [
+        ("quality rules", quality),
+        ("language ID", language),
+        ("near duplicates", near_duplicates),
+        ("repeated passages", repeated_passages),
+        ("packing", packed),
+    ]
+)
 
 # Fingerprints, code lengths, suffixes and token ids are beyond SQL: see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, last = read_table(spark, sf_dir, "documents"), []
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
+            before = len(scratch_since(0))
             docs = cut_lineage(docs, f"stage-{i + 1}")
+            remove(spark, last)
+            last = scratch_since(before)
     return docs
