@@ -8,6 +8,7 @@ import __spark_entry__ as entry
 import oracles
 from compare import differences, open_oracle
 from mercata.plans.queries import all_queries
+from mercata.plans.workspace import Workspace
 
 QUERIES, SQL = all_queries(), oracles.all_statements()
 
@@ -38,3 +39,19 @@ def test_query(spark, sf_dir, oracle, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "pct_cumulative" in df.columns
+
+
+BUILT = (
+    "stg_orders", "stg_order_items", "stg_order_payments", "stg_order_reviews", "rejected_rows",
+    "dim_product", "dim_customer", "fct_order_items", "fct_orders",
+)
+
+
+@pytest.mark.parametrize("name", BUILT)
+def test_tables_are_built_without_one_task_stages(spark, sf_dir, name):
+    """The plan that builds a table, not the scan of its written form."""
+    plan = Workspace.of(spark, sf_dir)._derive(name)._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("SinglePartition", "CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+        assert unwanted not in plan
+    joins = {"stg_orders": 0, "dim_product": 1, "dim_customer": 2, "fct_order_items": 4, "fct_orders": 5}
+    assert len(re.findall(r"[a-zA-Z]+Join ", plan)) >= joins.get(name, 0)
