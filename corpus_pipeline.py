@@ -19,6 +19,8 @@ from mercata.llm.word_ids import VOCABULARY
 from mercata.session import cut_lineage, remove, scratch_since
 
 LEAST_SCORE = 0.5  # of the predicted language
+# Rows that go to Python at a time: texts are long, and a batch is held several times over, on both sides.
+BATCH_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1500"}
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -67,7 +69,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tidy(stages: list[tuple[str, Stage]]) -> list[tuple[str, Stage]]:
-    """The stages; each starts by removing the tables that the one before it wrote for itself.
+    """The stages, with small batches; each starts by removing the tables that the one before it wrote for itself.
 
     By then that one's result has been written. Tables that its input still reads stay.
     """
@@ -76,6 +78,8 @@ def tidy(stages: list[tuple[str, Stage]]) -> list[tuple[str, Stage]]:
     def wrapped(k: int, stage: Stage) -> Stage:
         @wraps(stage)
         def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            for key, value in BATCH_ROWS.items():
+                spark.conf.set(key, value)
             used = [f.removeprefix("file:").lstrip("/") for f in docs.inputFiles()]
             paths = {p: p.removeprefix("file:").lstrip("/") for p in left.pop(k - 1, [])}
             remove(spark, [p for p, plain in paths.items() if not any(f.startswith(f"{plain}/") for f in used)])
