@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mercata.session import scratch_path
 
+MOST_BUCKETS = 100_000  # Spark's own limit, unless it is set otherwise
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,5 +43,5 @@ def bucketed(df: DataFrame, column: str, label: str) -> DataFrame:
     """
     name = f"{label}_{uuid.uuid4().hex[:12]}"
     path = scratch_path(df.sparkSession, label)
-    df.write.bucketBy(partitions(df), column).option("path", path).saveAsTable(name)
+    df.write.bucketBy(min(partitions(df), MOST_BUCKETS), column).option("path", path).saveAsTable(name)
     return df.sparkSession.table(name)
