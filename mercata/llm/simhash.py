@@ -5,9 +5,11 @@ at most ``half``. Every distinct fingerprint therefore emits all its variants wi
 and equal variants meet. Variants are shuffled by their leading bits: one row stands for all the
 variants of a fingerprint that have these leading bits, and the task that gets it writes them out
 (with 64 bits and half = 2 there are 2,081 variants but only 37 rows at 8 leading bits). The
-number of leading bits grows with the number of fingerprints, so a bucket holds about
-``BUCKET_VARIANTS`` variants at any size. Fingerprints that share a variant differ in at most twice
-``half`` bits; this is checked for every tie that is kept.
+number of leading bits grows with the number of fingerprints, so an even spread gives buckets of at most
+``BUCKET_VARIANTS`` variants. Near copies share leading bits: buckets with over twice as many are counted
+and dealt out again by ``MORE_BITS`` more bits, until none is left or ``LAST_PREFIX`` bits are used,
+where a bucket is two variants and the fingerprints around them. Fingerprints that share a variant
+differ in at most twice ``half`` bits, so ties need no other check.
 
 Copies are one fingerprint. Inside a bucket equal variants tie their fingerprints to the smallest
 one they reach, so a group of g near copies costs g rows, not all its pairs, and no link between
@@ -17,6 +19,7 @@ groups is lost. The ties of all buckets are joined to components on Spark.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, repeat
 from math import comb
 
@@ -34,6 +37,7 @@ BITS = 64
 SEED = 42
 BUCKET_VARIANTS = 2_000_000
 LEAST_PREFIX, MOST_PREFIX = 8, 24
+MORE_BITS, LAST_PREFIX = 4, BITS - 1
 PART = 1 << 15
 
 
@@ -119,30 +123,67 @@ def bucket_ties(prefix: int, fps: np.ndarray, lead: int, half: int) -> tuple[np.
     return fps[by_value[label[member]]], fps[member]
 
 
+def _emitted(rows: DataFrame, lead: int, more: int, half: int) -> DataFrame:
+    """Rows (prefix, fp) by ``more`` bits beyond the ``lead`` bits of ``prefix``, within what ``half`` has left.
+
+    With ``lead`` 0 every fingerprint starts a row.
+    """
+    masks = [flips(more, k) for k in range(half + 1)]
+
+    def run(batches):
+        for batch in batches:
+            fps = batch.column(1).to_numpy().view(np.uint64)
+            old = batch.column(0).to_numpy().view(np.uint64)
+            for i in range(0, len(fps), PART):
+                part, prefix = fps[i : i + PART], old[i : i + PART]
+                spent = np.bitwise_count(part >> np.uint64(BITS - lead) ^ prefix) if lead else np.zeros(len(part), np.uint8)
+                tail = part >> np.uint64(BITS - lead - more) & np.uint64((1 << more) - 1)
+                for used in range(half + 1):
+                    own = np.flatnonzero(spent == used)
+                    mask = masks[half - used]
+                    prefixes = (prefix[own] << np.uint64(more) | tail[own])[:, None] ^ mask
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(prefixes.reshape(-1).view(np.int64)), pa.array(np.repeat(part[own].view(np.int64), len(mask)))],
+                        ["prefix", "fp"],
+                    )
+
+    return rows.select("prefix", "fp").mapInArrow(run, "prefix long, fp long")
+
+
+def buckets(distinct: DataFrame, half: int) -> Iterator[tuple[int, DataFrame]]:
+    """Leading bits and rows (prefix, fp): every bucket with all its fingerprints, heavy ones split."""
+    lead = prefix_bits(distinct.count(), half)
+    rows = _emitted(distinct.select(F.lit(0).cast("long").alias("prefix"), "fp"), 0, lead, half)
+    while True:
+        variants = F.element_at(
+            F.array(*[F.lit(sum(comb(BITS - lead, k) for k in range(half - used + 1))) for used in range(half + 1)]),
+            F.bit_count(F.shiftrightunsigned("fp", BITS - lead).bitwiseXOR(F.col("prefix"))) + 1,
+        )
+        sizes = rows.groupBy("prefix").agg(F.sum(variants.cast("long")).alias("n"))
+        heavy = cut_lineage(sizes.where(F.col("n") > 2 * BUCKET_VARIANTS).select("prefix"), "heavy-prefixes")
+        if lead == LAST_PREFIX or heavy.isEmpty():
+            yield lead, rows
+            return
+        yield lead, rows.join(heavy, "prefix", "left_anti")
+        more = min(MORE_BITS, LAST_PREFIX - lead)
+        rows = cut_lineage(_emitted(rows.join(heavy, "prefix", "left_semi"), lead, more, half), "split-prefixes")
+        lead += more
+
+
 def ties(distinct: DataFrame, half: int) -> DataFrame:
     """Rows (a, b), a < b: enough links between the values of ``fp`` to join all that differ in at
     most ``2 * half`` bits, directly or through others that do."""
-    lead = prefix_bits(distinct.count(), half)
-    masks = flips(lead, half)
 
-    def emit(batches):
-        for batch in batches:
-            fps = batch.column(0).to_numpy().view(np.uint64)
-            for i in range(0, len(fps), PART):
-                part = fps[i : i + PART]
-                prefixes = (part >> np.uint64(BITS - lead))[:, None] ^ masks
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(prefixes.reshape(-1).astype(np.int32)), pa.array(np.repeat(part.view(np.int64), len(masks)))], ["prefix", "fp"]
-                )
-
-    def meet(batches):
-        for prefix, fps in _buckets(batches):
-            a, b = (x.view(np.int64) for x in bucket_ties(prefix, fps, lead, half))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-    rows = distinct.select("fp").mapInArrow(emit, "prefix int, fp long")
-    rows = rows.repartition(partitions(distinct), "prefix").sortWithinPartitions("prefix")
-    return rows.mapInArrow(meet, "a long, b long")
+    def met(lead: int, rows: DataFrame) -> DataFrame:
+        def meet(batches):
+            for prefix, fps in _buckets(batches):
+                a, b = (x.view(np.int64) for x in bucket_ties(prefix, fps, lead, half))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        rows = rows.repartition(partitions(distinct), "prefix").sortWithinPartitions("prefix")
+        return rows.mapInArrow(meet, "a long, b long")
+
+    return reduce(DataFrame.union, [met(lead, rows) for lead, rows in buckets(distinct, half)])
 
 
 def _buckets(batches) -> Iterator[tuple[int, np.ndarray]]:

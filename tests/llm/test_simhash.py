@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -105,6 +106,35 @@ def test_long_chains_and_stars(spark):
     assert sorted((r["a"], r["b"]) for r in forest) == [(0, i) for i in range(1, 61)] + [(100, 100 + i) for i in range(1, 50)]
 
 
+def test_heavy_prefixes_are_split(spark, monkeypatch):
+    monkeypatch.setattr(s, "BUCKET_VARIANTS", 20_000)
+    rng = random.Random(5)
+    base = rng.getrandbits(64)
+    # One group of near copies that share their leading 20 bits, and fingerprints of no group.
+    fps = {base ^ sum(1 << b for b in rng.sample(range(44), rng.randrange(0, 4))) for _ in range(1500)}
+    fps = sorted(fps | {rng.getrandbits(64) for _ in range(300)})
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    distinct = spark.createDataFrame([(f,) for f in signed], "fp long")
+    levels, heaviest = [], 0
+    for lead, rows in s.buckets(distinct, 2):
+        levels.append(lead)
+        held = {}
+        for r in rows.collect():
+            spent = ((r["fp"] % 2**64) >> 64 - lead ^ r["prefix"]).bit_count()
+            n = sum(math.comb(64 - lead, k) for k in range(3 - spent))
+            held[r["prefix"]] = held.get(r["prefix"], 0) + n
+        heaviest = max([heaviest, *held.values()])
+    assert len(levels) > 1 and heaviest <= 2 * s.BUCKET_VARIANTS
+    forest = {r["b"]: r["a"] for r in c.star_forest(s.ties(distinct, 2)).collect()}
+    groups = {}
+    for f, label in zip(signed, brute_components(signed, fps), strict=True):
+        groups.setdefault(label, set()).add(f)
+    found = {}
+    for f in signed:
+        found.setdefault(forest.get(f, f), set()).add(f)
+    assert found == groups and max(map(len, groups.values())) > 700
+
+
 def test_no_rows(spark):
     assert s.components(empty(spark), "doc_id", "text").count() == 0
     assert s.prefix_bits(0, 2) == s.LEAST_PREFIX < s.prefix_bits(10**8, 2)
