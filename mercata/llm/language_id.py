@@ -7,9 +7,10 @@ equal chances. With the counts frozen a text's exact code length in each languag
 bytes; the shortest wins, and its score is its share of all languages' probabilities.
 
 Counting covers every training text: tasks send one row per language and four-byte string, summed by
-Spark. What reaches the driver and the workers is bounded: bytes beyond the ``BYTE_CLASSES`` - 1 most
-frequent share a class, and only contexts of three bytes that fit in ``TABLE_BYTES`` have code
-lengths of their own; the rest are coded by two bytes.
+Spark. The model holds all of them, as sorted arrays per language: it grows with the distinct strings
+of four bytes (twelve bytes for each, and less for the shorter ones), never with the rows. The code
+lengths of the most frequent contexts, as many as ``TABLE_BYTES`` has room for, are also laid out in a
+table; the strings of a text that it does not have are looked up in the arrays, with the same result.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercata.llm.common import read_table
+from mercata.llm.common import ragged, read_table
 from mercata.session import cut_lineage
 
-BYTE_CLASSES = 128
+ORDER = 3
 TABLE_BYTES = 32 << 20
 UNIT = 1024  # code lengths are whole numbers of 1/1024 bit, so sums do not depend on their order
 PART = 1 << 20  # bytes handled at a time
+CONTEXTS = 1 << 13  # laid out at a time
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -77,40 +79,102 @@ def counted(texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ``keys``, sums of ``n`` and how many there were of each; equal keys need not be neighbours."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return keys[firsts], np.add.reduceat(n, firsts) if len(keys) else n, np.diff(np.append(firsts, len(keys)))
+
+
+def _at(keys: np.ndarray, wanted: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """For each of ``values`` those of the wanted keys, as floats, 0 where a key is absent."""
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    known = keys[place] == wanted
+    return [np.where(known, v[place], 0).astype(float) for v in values]
+
+
+class Counts:
+    """What followed each context of up to ``ORDER`` bytes in one language, as sorted arrays."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray):
+        self.orders = []
+        for k in range(ORDER, -1, -1):
+            keys, n, _ = _summed(grams & np.uint32(256 ** (k + 1) - 1), n)
+            self.orders.insert(0, (keys, n, *_summed(keys >> np.uint32(8), n)))
+            grams = keys
+
+    def chances(self, grams: np.ndarray, base: float) -> np.ndarray:
+        """The chance of the last byte of each string after the bytes before it; ``base`` below all contexts."""
+        chance = np.full(len(grams), base)
+        for k, (keys, n, contexts, totals, seen) in enumerate(self.orders):
+            key = grams & np.uint32(256 ** (k + 1) - 1)
+            (count,) = _at(keys, key, n)
+            chance = mixed(count, *_at(contexts, key >> np.uint32(8), totals, seen), chance)
+        return chance
+
+    def rows(self, wanted: np.ndarray, order: int, classes: np.ndarray, size: int, base: float) -> np.ndarray:
+        """The same for all classes of bytes after each of the contexts ``wanted`` of ``order`` bytes."""
+        if order:
+            shorter, at = np.unique(wanted & np.uint32(256 ** (order - 1) - 1), return_inverse=True)
+            below = self.rows(shorter, order - 1, classes, size, base)[at]
+        else:
+            below = np.full((len(wanted), size), base)
+        keys, n, contexts, totals, seen = self.orders[order]
+        first = np.searchsorted(keys, wanted << np.uint32(8))
+        length = np.searchsorted(keys, wanted << np.uint32(8) | np.uint32(255), "right") - first
+        own = ragged(np.arange(len(keys)), first, length)
+        counts = np.zeros((len(wanted), size))
+        counts[np.repeat(np.arange(len(wanted)), length), classes[keys[own] & np.uint32(255)]] = n[own]
+        return mixed(counts, *(x[:, None] for x in _at(contexts, wanted, totals, seen)), below)
+
+
 class Model:
     """Code lengths per context, following byte and language; see ``trained``."""
 
-    def __init__(self, langs: list[str], classes: np.ndarray, shorter: np.ndarray, longer: dict):
-        """``shorter``: counts (language, class, class, class); ``longer``: contexts (sorted), and for
-        each language the rows, classes and counts of what followed them."""
-        self.langs, self.classes, self.size = langs, classes, shorter.shape[1]
-        a, n_langs = self.size, len(langs)
-        contexts, followers = longer["contexts"], longer["followers"]
-        table = np.empty((a * a + len(contexts), a, n_langs), np.uint16)
-        for i in range(n_langs):
-            chance = np.full(a, 1 / a)
-            for order in (shorter[i].sum((0, 1)), shorter[i].sum(0), shorter[i].reshape(a * a, a)):
-                if order.ndim == 2 and len(order) == a * a:
-                    chance = np.tile(chance, (a, 1))  # the context of one byte is the last byte
-                chance = blended(order.astype(float), chance)
-            table[: a * a, :, i] = coded_lengths(chance)
-            for first in range(0, len(contexts), a * a):  # as many contexts at a time as of two bytes
-                part = contexts[first : first + a * a]
-                counts = np.zeros((len(part), a))
-                at, follower, n = followers[i]
-                own = (at >= first) & (at < first + len(part))
-                counts[at[own] - first, follower[own]] = n[own]
-                table[a * a + first : a * a + first + len(part), :, i] = coded_lengths(blended(counts, chance[part % (a * a)]))
-        self.table = table.reshape(len(table) * a, n_langs)
-        self.row = np.tile(np.arange(a * a, dtype=np.int32), a)
-        self.row[contexts] = a * a + np.arange(len(contexts), dtype=np.int32)
+    def __init__(self, langs: list[str], counts: list[Counts]):
+        self.langs, self.counts = langs, counts
+        seen = np.unique(np.concatenate([np.empty(0, np.uint32), *(c.orders[0][0] for c in counts)])).astype(np.int64)
+        self.base = 1 / (len(seen) + 1)  # all bytes that were never seen are one symbol, class 0
+        known = np.union1d(seen, [0])  # texts begin after zero bytes
+        self.classes, self.size = np.zeros(256, np.int32), len(known) + 1
+        self.classes[known] = np.arange(1, self.size)
+        contexts, totals, _ = _summed(
+            np.concatenate([np.empty(0, np.uint32), *(c.orders[ORDER][2] for c in counts)]),
+            np.concatenate([np.empty(0, np.int64), *(c.orders[ORDER][3] for c in counts)]),
+        )
+        room = TABLE_BYTES // (2 * self.size * max(len(langs), 1))
+        chosen = np.sort(contexts[np.lexsort((contexts, -totals))[:room]])
+        table = np.empty((len(chosen), self.size, len(langs)), np.uint16)
+        for first in range(0, len(chosen), CONTEXTS):
+            part = chosen[first : first + CONTEXTS]
+            for i, c in enumerate(counts):
+                table[first : first + len(part), :, i] = coded_lengths(c.rows(part, ORDER, self.classes, self.size, self.base))
+        self.table = table.reshape(len(chosen) * self.size, len(langs))
+        self.row = np.full(self.size**ORDER if len(chosen) else 0, -1, np.int32)
+        place = [self.classes[chosen >> np.uint32(shift) & np.uint32(255)] for shift in (16, 8, 0)]
+        self.row[(place[0] * self.size + place[1]) * self.size + place[2]] = np.arange(len(chosen), dtype=np.int32)
+
+    def codes(self, data: np.ndarray) -> np.ndarray:
+        """Code lengths of each byte after the first three, in units, in each language."""
+        c = self.classes[data]
+        if len(self.row):
+            row = self.row[(c[:-3] * self.size + c[1:-2]) * self.size + c[2:-1]]
+            codes = self.table[np.maximum(row, 0) * np.int64(self.size) + c[3:]]
+            rest = np.flatnonzero(row < 0)
+        else:
+            codes, rest = np.empty((len(data) - 3, len(self.langs)), np.uint16), np.arange(len(data) - 3)
+        if len(rest):
+            wide = [data[rest + k].astype(np.uint32) << np.uint32(24 - 8 * k) for k in range(4)]
+            grams, at = np.unique(wide[0] | wide[1] | wide[2] | wide[3], return_inverse=True)
+            for i, counts in enumerate(self.counts):
+                codes[rest, i] = coded_lengths(counts.chances(grams, self.base))[at]
+        return codes
 
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code lengths in bits of each (non-empty) text in each language."""
         data, starts, lengths = _joined(texts)
-        c = self.classes[data].astype(np.int32)
-        context = (c[:-3] * self.size + c[1:-2]) * self.size + c[2:-1]
-        codes = self.table[self.row[context] * np.int64(self.size) + c[3:]]
+        codes = self.codes(data)
         bounds = np.stack([starts - 3, starts - 3 + lengths], 1).reshape(-1)
         sums = np.add.reduceat(np.concatenate([codes, np.zeros((1, len(self.langs)), np.uint16)]), bounds, 0, np.int64)[::2]
         return sums / UNIT
@@ -136,9 +200,8 @@ def coded_lengths(chances: np.ndarray) -> np.ndarray:
     return np.minimum(np.round(-np.log2(chances) * UNIT), 65535).astype(np.uint16)
 
 
-def blended(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
+def mixed(counts: np.ndarray, total: np.ndarray, seen: np.ndarray, below: np.ndarray) -> np.ndarray:
     """Chances of each follower: its share where it was seen, else the escape and the chance below."""
-    total, seen = counts.sum(-1, keepdims=True), (counts > 0).sum(-1, keepdims=True)
     whole = np.maximum(total + seen, 1)
     escaped = np.where(total > 0, seen / whole, 1.0) * below
     return np.where(counts > 0, counts / whole, escaped)
@@ -147,47 +210,13 @@ def blended(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
 def trained(texts: DataFrame) -> Model:
     """A model of the rows (text, lang) of ``texts``, none of them null."""
     grams = cut_lineage(counted(texts), "language-grams")
-    byte = grams.groupBy((F.col("gram") % 256).alias("byte")).agg(F.sum("n").alias("n")).collect()
     langs = sorted(r["lang"] for r in grams.select("lang").distinct().collect())
-    top = sorted(byte, key=lambda r: (-r["n"], r["byte"]))[: BYTE_CLASSES - 1]
-    classes = np.zeros(256, np.uint8)
-    for k, r in enumerate(top):
-        classes[r["byte"]] = k + 1
-    a, n_langs = len(top) + 1, len(langs)
-    if not langs:
-        return Model([], classes, np.zeros((0, 1, 1, 1)), {"contexts": np.empty(0, np.int64), "followers": []})
-    lookup = F.array(*[F.lit(int(c)) for c in classes])
-    place = [F.get(lookup, F.shiftright("gram", s).bitwiseAND(255).cast("int")).cast("long") for s in (24, 16, 8, 0)]
-    code = ((place[0] * a + place[1]) * a + place[2]) * a + place[3]
-    coded = grams.groupBy("lang", code.alias("gram")).agg(F.sum("n").alias("n"))
-
-    def numbers(rows: DataFrame, *columns: str) -> list[np.ndarray]:
-        got = rows.toArrow()
-        index = {lang: i for i, lang in enumerate(langs)}
-        coded = got.column("lang").combine_chunks().dictionary_encode()
-        names = np.array([index[x] for x in coded.dictionary.to_pylist()], np.int64)
-        lang = names[coded.indices.to_numpy()] if len(coded) else names
-        return [lang, *[got.column(c).to_numpy() for c in columns]]
-
-    shorter = np.zeros((n_langs, a, a, a), np.float32)
-    by_two = coded.groupBy("lang", (F.col("gram") % a**3).alias("gram")).agg(F.sum("n").alias("n"))
-    lang, gram, n = numbers(by_two, "gram", "n")
-    shorter.reshape(n_langs, -1)[lang, gram] = n
-    # The most frequent contexts, as many as the table has room for, by powers of two of their counts.
-    contexts = coded.groupBy(F.floor(F.col("gram") / a).cast("long").alias("context")).agg(F.sum("n").alias("n"))
-    room = max(0, TABLE_BYTES // (2 * a * n_langs) - a * a)
-    power = F.floor(F.log2("n")).cast("int")
-    least, taken = 62, 0
-    for r in sorted(contexts.groupBy(power.alias("p")).count().collect(), key=lambda r: -r["p"]):
-        if taken + r["count"] > room:
-            break
-        least, taken = r["p"], taken + r["count"]
-    chosen = contexts.where(F.col("n") >= F.lit(2**least)).select("context")
-    own = coded.withColumn("context", F.floor(F.col("gram") / a).cast("long")).join(chosen, "context", "left_semi")
-    lang, gram, n = numbers(own, "gram", "n")
-    known, at = np.unique(gram // a, return_inverse=True)
-    followers = [(at[lang == i], (gram % a)[lang == i], n[lang == i]) for i in range(n_langs)]
-    return Model(langs, classes, shorter, {"contexts": known, "followers": followers})
+
+    def counts(lang: str) -> Counts:
+        rows = grams.where(F.col("lang") == lang).select("gram", "n").toArrow()
+        return Counts(rows.column("gram").to_numpy().astype(np.uint32), rows.column("n").to_numpy())
+
+    return Model(langs, [counts(lang) for lang in langs])
 
 
 def training_rows(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:

@@ -62,6 +62,34 @@ def test_contexts_beyond_the_table_fall_back(spark, monkeypatch):
         assert score[2:5] == [0.0] * 3 and all(0 <= x <= 1 for x in score) and bits[0] > 0
 
 
+def brute_length_of(languages, lang, text):
+    """The same where bytes that only other languages have count as symbols."""
+    own = {b for t in languages[lang] for b in t.encode()}
+    symbols = {b for texts in languages.values() for t in texts for b in t.encode()}
+    extra = math.log2((len(symbols) + 1) / (len(own) + 1))
+    return brute_length(languages[lang], text) + extra * sum(b not in own for b in text.encode())
+
+
+def test_all_bytes_and_contexts_count(spark, monkeypatch):
+    letters = "".join(chr(c) for c in [*range(32, 127), *range(0xA0, 0x250), *range(0x370, 0x580), *range(0x3041, 0x3100), *range(0x4E00, 0x5200)])
+    training = {f"l{i}": [letters[i::9] * 2, f"the cat {i} and the dog {i} {letters[i * 7 : i * 7 + 300]}"] for i in range(9)}
+    pairs = [(t, lang) for lang, texts in training.items() for t in texts]
+    symbols = len({b for t, _ in pairs for b in t.encode()})
+    assert symbols > 128
+    texts = ["the cat 3 and", letters[2::9][:60], letters[100:160], letters[-40:], "\U0001f642 the"]
+    full = l.trained(rows(spark, pairs))
+    monkeypatch.setattr(l, "TABLE_BYTES", 1)
+    none = l.trained(rows(spark, pairs))
+    monkeypatch.setattr(l, "TABLE_BYTES", 1 << 18)
+    some = l.trained(rows(spark, pairs))
+    assert len(none.table) == 0 < len(some.table) < len(full.table)
+    for t in texts:
+        got = full.lengths([t.encode()])[0]
+        assert (none.lengths([t.encode()])[0] == got).all() and (some.lengths([t.encode()])[0] == got).all()
+        for i, lang in enumerate(full.langs):
+            assert got[i] == pytest.approx(brute_length_of(training, lang, t), abs=0.001 * len(t.encode()))
+
+
 def test_held_out_accuracy(spark, sf_dir):
     from mercata.llm.queries import QUERIES
 
