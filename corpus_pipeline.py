@@ -54,10 +54,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A character that is cut in two goes as a whole.
     """
-    rows = suffix_dedup.without_repeats(docs, "doc_id", "text")
+    rows = suffix_dedup.without_repeats(docs, "doc_id", "text", whole=True)
     cut = F.col(rows.columns[-1])
-    whole = F.expr(f"replace(make_valid_utf8(cast(`{rows.columns[-1]}`.kept AS string)), '\ufffd', '')")
-    rows = rows.withColumn("text", F.when(cut["n_removed"] == 0, F.col("text")).otherwise(whole))
+    rows = rows.withColumn("text", F.when(cut["n_removed"] == 0, F.col("text")).otherwise(cut["kept"].cast("string")))
     rows = rows.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"]))
     return rows.where(F.col("text").rlike(r"\S")).select(*docs.columns)
 

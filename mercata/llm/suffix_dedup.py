@@ -382,9 +382,15 @@ def covered(first: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
     return np.cumsum(steps[:size]) > 0
 
 
-def cut_texts(blocks: DataFrame) -> DataFrame:
+def whole_characters(text: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone`` with the other bytes of each UTF-8 character that it cuts in two."""
+    firsts = np.flatnonzero(np.concatenate([[True], (text[1:] & 0xC0) != 0x80]))
+    return np.repeat(np.logical_or.reduceat(gone, firsts), np.diff(np.append(firsts, len(text))))
+
+
+def cut_texts(blocks: DataFrame, whole: bool = False) -> DataFrame:
     """Blocks with their packed runs (``found``, null for none) to the columns row, n_bytes, n_removed,
-    n_spans and ``kept`` (the bytes that stay) of each text."""
+    n_spans and ``kept`` (the bytes that stay; with ``whole``, without what is left of characters cut in two) of each text."""
     row_kind = blocks.schema["rows"].dataType.elementType.simpleString()
 
     def run(batches):
@@ -401,6 +407,8 @@ def cut_texts(blocks: DataFrame) -> DataFrame:
                     gone = covered(first[own], end[own], size) if len(own) else np.zeros(size, bool)
                     removed.append(int(gone.sum()))
                     spans.append(int((gone[1:] & ~gone[:-1]).sum()) + int(gone[:1].sum()))
+                    if whole and removed[-1]:
+                        gone = whole_characters(text, gone)
                     kept.append((text[~gone] if removed[-1] else text).tobytes())
                 numbers = [pa.array(c, pa.int64()) for c in (sizes, removed, spans)]
                 columns = [rows.values, *numbers, pa.array(kept, pa.binary())]
@@ -410,10 +418,12 @@ def cut_texts(blocks: DataFrame) -> DataFrame:
     return blocks.select("rows", "lengths", "texts", "found").mapInArrow(run, schema)
 
 
-def without_repeats(df: DataFrame, id_col: str, text_col: str, keep: list[str] | None = None) -> DataFrame:
+def without_repeats(df: DataFrame, id_col: str, text_col: str, keep: list[str] | None = None, *, whole: bool = False) -> DataFrame:
     """The columns ``keep`` (all, unless given) and a last struct column with n_bytes, n_removed,
     n_spans and ``kept``, named ``deduplicated`` (with underscores after it, if need be).
 
+    With ``whole``, what is left of a character that was cut in two is not in ``kept`` either; the numbers stay.
+
     Texts are ordered by id, a missing id first, then by a hash of the text. A null text is empty.
     Rows equal in id and text are one text: none is earlier than the other, and both get one result.
     """
@@ -429,7 +439,7 @@ def without_repeats(df: DataFrame, id_col: str, text_col: str, keep: list[str] |
     repeats = repeats.groupBy("block").agg(F.collect_list("anchor").alias("anchors"))
     found = removed_runs(pieces(blocks.join(repeats, "block"), shards))
     found = found.groupBy("block").agg(F.collect_list("runs").alias("found"))
-    done = cut_texts(blocks.join(found, "block", "left"))
+    done = cut_texts(blocks.join(found, "block", "left"), whole)
     made = F.struct("n_bytes", "n_removed", "n_spans", "kept").alias(out)
     return done.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)], made)
 

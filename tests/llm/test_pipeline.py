@@ -65,6 +65,15 @@ def test_repeated_passages(stages):
             assert i not in after
 
 
+def test_only_broken_characters_beside_a_cut_go(spark, sf_dir):
+    passage = "".join(f"{i:03d} passage " for i in range(20))
+    # The two characters before the passage end in the same byte.
+    texts = [f"first \u00e9{passage}", f"second \ufffd text \u0129{passage}\u00e9 \ufffd last"]
+    got = {r["doc_id"]: r for r in p.repeated_passages(spark, documents(spark, texts, repeat=False), sf_dir).collect()}
+    want = "second \ufffd text \u00e9 \ufffd last"
+    assert (got[0]["text"], got[3]["text"], got[3]["n_chars"]) == (texts[0], want, len(want))
+
+
 def test_packing(stages):
     before, pieces = stages[0][4:]
     tokens = defaultdict(int)
