@@ -156,14 +156,15 @@ class Model:
         self.row[(place[0] * self.size + place[1]) * self.size + place[2]] = np.arange(len(chosen), dtype=np.int32)
 
     def codes(self, data: np.ndarray) -> np.ndarray:
-        """Code lengths of each byte after the first three, in units, in each language."""
+        """Code lengths of each byte after the first three, in units, in each language, and a last row of zeros."""
         c = self.classes[data]
+        codes = np.zeros((len(data) - 2, len(self.langs)), np.uint16)
         if len(self.row):
             row = self.row[(c[:-3] * self.size + c[1:-2]) * self.size + c[2:-1]]
-            codes = self.table[np.maximum(row, 0) * np.int64(self.size) + c[3:]]
+            np.take(self.table, np.maximum(row, 0) * np.int64(self.size) + c[3:], 0, codes[:-1], "clip")
             rest = np.flatnonzero(row < 0)
         else:
-            codes, rest = np.empty((len(data) - 3, len(self.langs)), np.uint16), np.arange(len(data) - 3)
+            rest = np.arange(len(data) - 3)
         if len(rest):
             wide = [data[rest + k].astype(np.uint32) << np.uint32(24 - 8 * k) for k in range(4)]
             grams, at = np.unique(wide[0] | wide[1] | wide[2] | wide[3], return_inverse=True)
@@ -176,7 +177,7 @@ class Model:
         data, starts, lengths = _joined(texts)
         codes = self.codes(data)
         bounds = np.stack([starts - 3, starts - 3 + lengths], 1).reshape(-1)
-        sums = np.add.reduceat(np.concatenate([codes, np.zeros((1, len(self.langs)), np.uint16)]), bounds, 0, np.int64)[::2]
+        sums = np.add.reduceat(codes, bounds, 0, np.int64)[::2]
         return sums / UNIT
 
     def predictions(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:

@@ -39,6 +39,7 @@ BUCKET_VARIANTS = 2_000_000
 LEAST_PREFIX, MOST_PREFIX = 8, 24
 MORE_BITS, LAST_PREFIX = 4, BITS - 1
 PART = 1 << 15
+EMITTED = 1 << 12  # fingerprints at a time: each has up to 300 rows
 
 
 def fingerprint(text: str | None, words: int) -> int:
@@ -134,12 +135,14 @@ def _emitted(rows: DataFrame, lead: int, more: int, half: int) -> DataFrame:
         for batch in batches:
             fps = batch.column(1).to_numpy().view(np.uint64)
             old = batch.column(0).to_numpy().view(np.uint64)
-            for i in range(0, len(fps), PART):
-                part, prefix = fps[i : i + PART], old[i : i + PART]
+            for i in range(0, len(fps), EMITTED):
+                part, prefix = fps[i : i + EMITTED], old[i : i + EMITTED]
                 spent = np.bitwise_count(part >> np.uint64(BITS - lead) ^ prefix) if lead else np.zeros(len(part), np.uint8)
                 tail = part >> np.uint64(BITS - lead - more) & np.uint64((1 << more) - 1)
                 for used in range(half + 1):
                     own = np.flatnonzero(spent == used)
+                    if not len(own):
+                        continue
                     mask = masks[half - used]
                     prefixes = (prefix[own] << np.uint64(more) | tail[own])[:, None] ^ mask
                     yield pa.RecordBatch.from_arrays(
