@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from mercata.llm import bpe, kneser_ney, language_id, neighbours, packing, quality_rules, simhash, suffix_dedup, token_files, warc
+from mercata.llm import (
+    bpe,
+    kneser_ney,
+    language_id,
+    neighbours,
+    packing,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_files,
+    vector_codes,
+    warc,
+)
 
 QUERIES = {
     "op1_bpe": bpe.query,
@@ -15,9 +27,11 @@ QUERIES = {
     "op8_language_id": language_id.query,
     "op9_kneser_ney": kneser_ney.query,
     "op10_packing": packing.query,
+    "op11_vector_codes": vector_codes.query,
 }
 
 ORACLE_SQL = {
     "op3_quality_rules": quality_rules.ORACLE,
     "op6_warc": warc.ORACLE,
+    "op11_vector_codes": vector_codes.ORACLE,
 }
