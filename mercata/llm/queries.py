@@ -10,6 +10,7 @@ from mercata.llm import (
     packing,
     quality_rules,
     simhash,
+    spelling,
     suffix_dedup,
     token_files,
     vector_codes,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_kneser_ney": kneser_ney.query,
     "op10_packing": packing.query,
     "op11_vector_codes": vector_codes.query,
+    "op12_spelling": spelling.query,
 }
 
 ORACLE_SQL = {
