@@ -6,6 +6,7 @@ from mercata.llm import (
     bpe,
     kneser_ney,
     language_id,
+    mixing,
     neighbours,
     packing,
     quality_rules,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_packing": packing.query,
     "op11_vector_codes": vector_codes.query,
     "op12_spelling": spelling.query,
+    "op13_mixing": mixing.query,
 }
 
 ORACLE_SQL = {
