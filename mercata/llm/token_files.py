@@ -20,7 +20,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,25 +34,24 @@ SYMBOLS = 1 << 16
 
 
 def tokenised(df: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
-    """id, n (tokens) and the ids (16 bits each, zstd) of every row; a null text has the end id alone.
+    """id, n (tokens) and the ids (16 bits each) of every row; a null text has the end id alone.
     The first row of each batch also has how often each id occurs in the batch (``counts``)."""
     kinds = pa.list_(pa.struct([("symbol", pa.int32()), ("n", pa.int64())]))
 
     def run(batches):
         words = word_ids(path)
-        pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             rows = list(words.with_end([t or "" for t in batch.column(1).to_pylist()]))
-            packed = [pack.compress(r.astype("<u2").tobytes()) for r in rows]
             if not rows:
                 continue
-            n = np.bincount(np.concatenate(rows), minlength=SYMBOLS)
+            flat, lengths = np.concatenate(rows), np.array([*map(len, rows)], np.int64)
+            n = np.bincount(flat, minlength=SYMBOLS)
             seen = np.flatnonzero(n)
             pairs = pa.StructArray.from_arrays([pa.array(seen, pa.int32()), pa.array(n[seen], pa.int64())], ["symbol", "n"])
             ends = pa.array([0, *[len(seen)] * len(rows)], pa.int32())
             counts = pa.ListArray.from_arrays(ends, pairs, mask=pa.array([i > 0 for i in range(len(rows))])).cast(kinds)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([*map(len, rows)], pa.int64()), pa.array(packed, pa.binary()), counts],
+                [batch.column(0), pa.array(lengths), _packed(flat, lengths), counts],
                 ["id", "n", "ids", "counts"],
             )
 
@@ -63,9 +61,19 @@ def tokenised(df: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame
     )
 
 
+def _packed(flat: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """A binary column of ids, two bytes each; the ids are not copied."""
+    ends = np.concatenate([[0], np.cumsum(2 * lengths)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(flat.astype("<u2"))])
+
+
 def _unpacked(column: pa.Array) -> list[np.ndarray]:
-    unpack = zstandard.ZstdDecompressor()
-    return [np.frombuffer(unpack.decompress(b), "<u2") for b in column.to_pylist()]
+    if not len(column):
+        return []
+    _, ends, data = column.cast(pa.large_binary()).buffers()
+    ends = np.frombuffer(ends, np.int64)[column.offset : column.offset + len(column) + 1]
+    flat = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view("<u2")
+    return np.split(flat, (ends[1:-1] - ends[0]) // 2)
 
 
 def frequencies(tokens: DataFrame) -> np.ndarray:
