@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +15,8 @@ from pyspark.util import inheritable_thread_target
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
-_scratch: list[str] = []  # paths handed out by this process
+_handed_out: ContextVar[list[str] | None] = ContextVar("scratch paths of the work at hand", default=None)
+_tables: dict[str, str] = {}  # names in the catalog of tables below the shared folder, by path
 
 # Everything else is left to the cluster's own settings: executors, memory and
 # the number of shuffle partitions depend on where the job runs.
@@ -59,21 +62,39 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, unique to this application."""
-    _scratch.append(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}")
-    return _scratch[-1]
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    if (paths := _handed_out.get()) is not None:
+        paths.append(path)
+    return path
 
 
-def scratch_since(count: int) -> list[str]:
-    """The paths handed out after the first ``count``; ``len(scratch_since(0))`` marks a moment."""
-    return _scratch[count:]
+@contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """A list of the scratch paths that the work inside asks for; other threads' paths are not in it."""
+    paths: list[str] = []
+    token = _handed_out.set(paths)
+    try:
+        yield paths
+    finally:
+        _handed_out.reset(token)
+
+
+def name_table(path: str, name: str) -> None:
+    """Tell that the files at ``path`` are table ``name`` of the catalog, so that it goes when they go."""
+    _tables[path] = name
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    for own in [p for p in _tables if p == path or p.startswith(f"{path}/")]:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop(own)}")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def remove(spark: SparkSession, paths: list[str]) -> None:
-    """Delete scratch paths that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
+    """Delete scratch paths that nothing reads any more, and the catalog's entries for them."""
     for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(spark, path)
 
 
 def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
@@ -90,9 +111,7 @@ def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote below the shared folder."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _delete(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
 
 
 def side_by_side(spark: SparkSession, *work: Callable[[], Any]) -> list[Any]:
