@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from mercata.session import scratch_path
+from mercata.session import name_table, scratch_path
 
 MOST_BUCKETS = 100_000  # Spark's own limit, unless it is set otherwise
 
@@ -29,6 +32,13 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Return memory that this Python worker holds but no longer uses: workers go from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The slices ``flat[start : start + length]`` one after another."""
     ends = np.cumsum(lengths)
@@ -44,4 +54,5 @@ def bucketed(df: DataFrame, column: str, label: str) -> DataFrame:
     name = f"{label}_{uuid.uuid4().hex[:12]}"
     path = scratch_path(df.sparkSession, label)
     df.write.bucketBy(min(partitions(df), MOST_BUCKETS), column).option("path", path).saveAsTable(name)
+    name_table(path, name)
     return df.sparkSession.table(name)

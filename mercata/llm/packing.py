@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from mercata.llm.common import read_table
-from mercata.llm.word_ids import VOCABULARY, word_ids
+from mercata.llm.common import give_back, read_table
+from mercata.llm.word_ids import KNOWN_PIECES, VOCABULARY, word_ids
 
 BLOCK_ROWS, BLOCK_TOKENS = 2048, 1 << 22
 
@@ -158,16 +158,18 @@ class _Cutter(_Packer):
 
 
 def packed_documents(
-    df: DataFrame, id_col: str, text_col: str, path: str, limits: Limits = Limits()
+    df: DataFrame, id_col: str, text_col: str, path: str, limits: Limits = Limits(), *, known: int = KNOWN_PIECES
 ) -> DataFrame:
     """One row per piece of a text: every token bears loss and texts may be cut.
 
     Columns: id, start, length, ids_crc32, doc_tokens, sequence_id, offset. A null text is empty and
     has the end id alone. Repeated rows are packed as many times as they come; a null id stays null.
+    A Python worker keeps the ids of about ``known`` pieces of texts.
     """
 
     def run(batches):
-        words = word_ids(path)
+        give_back()
+        words = word_ids(path, known)
         first = TaskContext.get().partitionId() << 32
         for ids, rows in _blocks(batches, words):
             lengths = np.array([len(r) for r in rows], np.int64)

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercata.llm.common import bucketed, fresh, partitions, ragged, read_table
+from mercata.llm.common import bucketed, fresh, give_back, partitions, ragged, read_table
 from mercata.session import cut_lineage
 
 LENGTH = 100
@@ -346,6 +346,7 @@ def removed_runs(rows: DataFrame) -> DataFrame:
     """Packed pieces by shard to packed runs (block, runs)."""
 
     def run(batches):
+        give_back()
         for block, blobs, told in _whole_shards(batches):
             blocks, runs = settled(block, blobs) if blobs else ([], [])
             blocks, runs = blocks + [b for b, _ in told], runs + [r for _, r in told]
@@ -394,6 +395,7 @@ def cut_texts(blocks: DataFrame, whole: bool = False) -> DataFrame:
     row_kind = blocks.schema["rows"].dataType.elementType.simpleString()
 
     def run(batches):
+        give_back()
         for batch in batches:
             for rows, lengths, blob, found in zip(*batch.columns, strict=True):
                 data, starts, sizes = _texts(lengths, blob)

@@ -24,10 +24,10 @@ POINTS = ".,;:!?"
 
 
 class WordIds(PieceTable):
-    def __init__(self, path: str):
+    def __init__(self, path: str, known: int = KNOWN_PIECES):
         from tokenizers import Tokenizer
 
-        super().__init__(np.uint16, KNOWN_PIECES)
+        super().__init__(np.uint16, known)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -103,7 +103,7 @@ class WordIds(PieceTable):
             yield np.concatenate([ids, end])
 
 
-@lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    """One for each vocabulary and Python worker."""
-    return WordIds(path)
+@lru_cache(maxsize=1)
+def word_ids(path: str, known: int = KNOWN_PIECES) -> WordIds:
+    """One for each Python worker."""
+    return WordIds(path, known)
