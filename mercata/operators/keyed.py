@@ -58,32 +58,6 @@ def upsert_columns(
     return merged.select([pick(name) for name in current.columns])
 
 
-def with_changes(
-    current: DataFrame, changes: DataFrame, keys: Sequence[str], update: Sequence[str], written: str | None = None
-) -> DataFrame:
-    """``current`` as the latest of its ``changes`` (by ``changed_at``, ``batch_id``) leave it.
-
-    For known keys the ``update`` columns are taken over; keys that are only in the changes
-    are added whole. Changes older than the row's own time in column ``written`` are past.
-    The changes are the small side of both joins, so the table itself need not be shuffled.
-    """
-    keys = list(keys)
-    latest = keep_first(changes, keys, [F.desc("changed_at"), F.desc("batch_id")])
-    changed = latest.select(*keys, "changed_at", F.struct(*update).alias("_new"))
-    joined = current.join(changed, keys, "left")
-    valid = F.col("changed_at").isNotNull()
-    if written is not None:
-        valid = valid & (F.col("changed_at") > F.col(written))
-    picked = [
-        F.when(valid, F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
-        for c in current.columns
-    ]
-    if not set(current.columns) <= set(changes.columns):
-        return joined.select(*picked)
-    added = insert_if_absent(latest.select(*current.columns), current, keys)
-    return joined.select(*picked).unionByName(added)
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from mercata.operators.keyed import narrow_to_keys, upsert_columns
 from mercata.plans import audit, checks, mart, staging
 from mercata.plans.generator import SEED
-from mercata.schemas import DYNAMIC_INPUTS, STATIC_INPUTS
+from mercata.schemas import DYNAMIC_INPUTS, STATE, STATIC_INPUTS
 from mercata.session import cut_lineage, side_by_side
 from mercata.sources import batches
 from mercata.sources.warehouse import RAW_DYNAMIC, STAGING_DYNAMIC, Warehouse
@@ -32,7 +32,7 @@ def load_raw(wh: Warehouse, folder: str, batch_id: str, names: Iterable[str], in
 
 
 def _first_loaded(wh: Warehouse, batch_id: str) -> dt.datetime | None:
-    known = [n for n in RAW_DYNAMIC if batch_id in wh.batch_ids(n)]
+    known = [n for n in RAW_DYNAMIC if wh.has_batch(n, batch_id)]
     times = [wh.read_batch(n, batch_id).agg(F.unix_micros(F.min("ingested_at"))).first()[0] for n in known]
     times = [t for t in times if t is not None]
     return dt.datetime.fromtimestamp(min(times) / 1e6, dt.timezone.utc) if times else None
@@ -43,19 +43,25 @@ def stage_static(wh: Warehouse) -> None:
     side_by_side(wh.spark, *[partial(wh.replace, f"stg_{n}", df) for n, df in staged.items()])
 
 
+def _orders_of(wh: Warehouse, batch_id: str, ids: DataFrame) -> DataFrame:
+    """Staged orders by id: those of the batch from its folder, earlier ones from the buckets of their keys."""
+    earlier = wh.keyed("order_keys").lookup(ids).where(F.col("batch_id") != batch_id)
+    return earlier.unionByName(narrow_to_keys(wh.read_batch("stg_orders", batch_id), ids, ["order_id"]))
+
+
 def stage_dynamic(wh: Warehouse, batch_id: str, policy: str = "reference") -> None:
     """Stage the four inputs of one batch against all other batches, orders first."""
     def stage(name: str) -> staging.Staged:
         raw = wh.read_batch(f"raw_{name}", batch_id)
-        existing = wh.read_others(f"stg_{name}", batch_id)
+        wanted = raw.select(F.trim("order_id").alias("order_id")).distinct()
+        keys = "order_keys" if name == "orders" else f"{name}_keys"
+        existing = wh.keyed(keys).lookup(wanted).where(F.col("batch_id") != batch_id)
         # Written once, read for the clean rows and again for the rejects; as large as the batch.
         hold = partial(cut_lineage, label=f"judged-{name}")
         if name == "orders":
             staged = staging.stage_orders(raw, existing, policy, hold)
         else:
-            wanted = raw.select(F.trim("order_id").alias("order_id"))
-            parents = narrow_to_keys(wh.read("stg_orders"), wanted, ["order_id"])
-            staged = staging.CHILD_STAGERS[name](raw, parents, existing, policy, hold)
+            staged = staging.CHILD_STAGERS[name](raw, _orders_of(wh, batch_id, wanted), existing, policy, hold)
         wh.replace_batch(f"stg_{name}", staged.clean, batch_id)
         return staged
 
@@ -94,94 +100,78 @@ def build_static_dimensions(wh: Warehouse) -> None:
 
 
 def rebuild_mart(wh: Warehouse) -> None:
-    """Build customers and facts from all of staging."""
+    """Build customers, both facts and all that batches look up from all of staging."""
     stg = wh.tables(*STAGING_DYNAMIC, "stg_customers")
     orders, items, payments, reviews, people = stg.values()
-    customers = mart.build_dim_customer(orders, items, people)
     facts = mart.build_fct_order_items(items, orders, people, wh.read("dim_product"), wh.read("dim_seller"))
     side_by_side(
         wh.spark,
-        partial(wh.replace, "dim_customer", customers),
+        partial(wh.keyed("person_batches").rebuild, mart.person_batches(orders, items, orders, people)),
         partial(wh.replace_all_batches, "fct_order_items", facts),
+        *[partial(wh.keyed(f"{n}_keys").rebuild, wh.read(f"stg_{n}")) for n in DYNAMIC_INPUTS[1:]],
+        partial(wh.keyed("order_keys").rebuild, orders),
+        partial(wh.keyed("customer_keys").rebuild, people),
     )
-    wh.clear("customer_changes")  # the whole history is in the table now
-    wh.replace_all_batches(
-        "fct_orders",
-        mart.build_fct_orders(orders, people, items, payments, reviews, wh.read("dim_customer")),
-    )
-    wh.clear("order_changes")
-
-
-def _touched_people(wh: Warehouse, batch_id: str) -> DataFrame:
-    """People whose totals a batch may change: behind its orders, or behind the orders of its items."""
-    ids = (
-        wh.read_batch("stg_orders", batch_id)
-        .select("order_id")
-        .unionByName(wh.read_batch("stg_order_items", batch_id).select("order_id"))
-        .distinct()
-    )
-    orders = narrow_to_keys(wh.read("stg_orders"), ids, ["order_id"])
-    people = narrow_to_keys(wh.read("stg_customers"), orders, ["customer_id"])
-    return people.select("customer_unique_id").distinct()
+    wh.keyed("dim_customer").rebuild(mart.dim_customer_of(wh.read("person_batches")))
+    wh.keyed("fct_orders").rebuild(mart.build_fct_orders(orders, people, items, payments, reviews, wh.read("dim_customer")))
 
 
-def update_customers(wh: Warehouse, batch_id: str) -> None:
-    """Recount the people of one batch over their whole history."""
-    touched = _touched_people(wh, batch_id)
-    people = narrow_to_keys(wh.read("stg_customers"), touched, ["customer_unique_id"])
-    orders = narrow_to_keys(wh.read("stg_orders"), people, ["customer_id"])
-    items = narrow_to_keys(wh.read("stg_order_items"), orders, ["order_id"])
-    fresh = mart.build_dim_customer(orders, items, people)
-    wh.replace_batch("customer_changes", _stamped(fresh, batch_id), batch_id)
-
-
-def _stamped(changes: DataFrame, batch_id: str) -> DataFrame:
-    return changes.withColumns({"batch_id": F.lit(batch_id), "changed_at": F.current_timestamp()})
-
+def update_mart(wh: Warehouse, batch_id: str) -> None:
+    """Bring the mart up to date with one staged batch. Only the batch and the buckets of its keys are read.
 
-def update_items(wh: Warehouse, batch_id: str) -> None:
-    """The item fact of a batch are the items of that batch; earlier ones stay as they are."""
-    items = wh.read_batch("stg_order_items", batch_id)
-    orders = narrow_to_keys(wh.read("stg_orders"), items, ["order_id"])
-    people = narrow_to_keys(wh.read("stg_customers"), orders, ["customer_id"])
-    facts = mart.build_fct_order_items(items, orders, people, wh.read("dim_product"), wh.read("dim_seller"))
-    wh.replace_batch("fct_order_items", facts, batch_id)
+    What the batch adds to each person is kept with the batch's name, so a person's totals are sums over few
+    rows, and a batch that is run again takes the place of what it added before. What batches look up changes last:
+    until then a run that broke off can be repeated, also with other rows.
+    """
+    own = {n: wh.read_batch(f"stg_{n}", batch_id) for n in DYNAMIC_INPUTS}
+    persons, customers = wh.keyed("person_batches"), wh.keyed("dim_customer")
+    parents = cut_lineage(
+        _orders_of(wh, batch_id, own["orders"].select("order_id").union(own["order_items"].select("order_id")).distinct()), "parents"
+    )
+    people = cut_lineage(wh.keyed("customer_keys").lookup(parents.select("customer_id").distinct()), "people")
+    added = cut_lineage(mart.person_batches(own["orders"], own["order_items"], parents, people), "person-batch")
+    # People of this batch, now or when it was last run.
+    touched = added.select("customer_unique_id").union(persons.rows_of_batch(batch_id).select("customer_unique_id")).distinct()
+    others = persons.lookup(touched).where(F.col("batch_id") != batch_id)
+    histories = cut_lineage(others.unionByName(added), "person-histories")
+    known = cut_lineage(mart.dim_customer_of(histories), "person-totals")
+
+    facts = mart.build_fct_order_items(own["order_items"], parents, people, wh.read("dim_product"), wh.read("dim_seller"))
+    changed = cut_lineage(_order_facts(wh, batch_id, own, parents, people, histories, known), "order-facts")
+    former = wh.keyed("order_keys").rows_of_batch(batch_id).select("order_id")
+    side_by_side(
+        wh.spark,
+        partial(wh.replace_batch, "fct_order_items", facts, batch_id),
+        partial(wh.keyed("fct_orders").fold, changed, batch_id, former),
+        partial(customers.fold, known, batch_id, touched),
+    )
+    side_by_side(
+        wh.spark,
+        partial(persons.fold, added, batch_id, touched, replace=False),
+        partial(wh.keyed("order_keys").fold, own["orders"], batch_id, replace=False),
+        *[partial(wh.keyed(f"{n}_keys").fold, own[n], batch_id, replace=False) for n in DYNAMIC_INPUTS[1:]],
+    )
 
 
-def update_orders(wh: Warehouse, batch_id: str) -> None:
-    """Add the orders of a batch, and note what it changes in earlier ones.
+def _order_facts(wh: Warehouse, batch_id: str, own: dict[str, DataFrame], parents, people, histories, known) -> DataFrame:
+    """The order facts of a batch, and those of earlier orders that it changes.
 
-    An earlier order changes when the batch brings a review for it, or when its buyer
-    has just become a repeat customer. Its new values go to the batch's own folder of
-    changes, so no earlier folder is written, and a run that breaks off loses nothing.
+    An earlier order changes when the batch brings (or brought) a review for it, or when it is the only other order of a
+    person of the batch: whether that person is a repeat customer depends on the batch.
     """
-    people_of = narrow_to_keys(
-        mart.repeat_people(wh.read("dim_customer")), _touched_people(wh, batch_id), ["customer_unique_id"]
+    reviews, facts = wh.keyed("order_reviews_keys"), wh.keyed("fct_orders")
+    reviewed = own["order_reviews"].select("order_id").union(reviews.rows_of_batch(batch_id).select("order_id"))
+    flagged = cut_lineage(mart.only_other_orders(histories, known, batch_id), "repeat-flags")
+    ids = own["orders"].select("order_id")
+    all_ids = cut_lineage(ids.union(reviewed).union(flagged.select("order_id")).distinct(), "changed-orders")
+    scores = reviews.lookup(all_ids).where(F.col("batch_id") != batch_id)
+    scores = scores.unionByName(own["order_reviews"].select(*scores.columns))
+
+    fresh = mart.build_fct_orders(
+        own["orders"], people, own["order_items"], own["order_payments"], narrow_to_keys(scores, ids, ["order_id"]), known
     )
-    # What an earlier run of this batch changed is found anew.
-    earlier = wh.read("fct_orders", without=batch_id).where(F.col("batch_id") != batch_id)
-    keys = ["order_id", "batch_id"]
-    reviewed = narrow_to_keys(earlier, wh.read_batch("stg_order_reviews", batch_id), ["order_id"])
-    repeated = narrow_to_keys(earlier.where("not is_repeat_customer"), people_of, ["customer_unique_id"])
-    changed = reviewed.select(*keys).unionByName(repeated.select(*keys)).distinct()
-    own = wh.read_batch("stg_orders", batch_id).select(*keys)
-
-    orders = narrow_to_keys(wh.read("stg_orders"), changed.unionByName(own), ["order_id"])
-    people = narrow_to_keys(wh.read("stg_customers"), orders, ["customer_id"])
-    children = [
-        narrow_to_keys(wh.read(f"stg_{n}"), orders, ["order_id"])
-        for n in ("order_items", "order_payments", "order_reviews")
-    ]
-    known = narrow_to_keys(wh.read("dim_customer"), people, ["customer_unique_id"])
-    fresh = cut_lineage(mart.build_fct_orders(orders, people, *children, known), "fresh-orders")
-    own = F.col("batch_id") == batch_id
-    wh.replace_batch("order_changes", _stamped(fresh.where(~own), batch_id), batch_id)
-    wh.replace_batch("fct_orders", fresh.where(own), batch_id)
-
-
-def update_mart(wh: Warehouse, batch_id: str) -> None:
-    side_by_side(wh.spark, partial(update_customers, wh, batch_id), partial(update_items, wh, batch_id))
-    update_orders(wh, batch_id)
+    earlier = facts.lookup(all_ids).where(F.col("batch_id") != batch_id)
+    return fresh.unionByName(mart.refreshed_orders(earlier, mart.reviews_per_order(scores), flagged))
 
 
 # -- runs --------------------------------------------------------------------------
@@ -235,7 +225,8 @@ def reset_dynamic(wh: Warehouse, orders_too: bool = False, audit_too: bool = Fal
     drop both to load them again.
     """
     names = [*RAW_DYNAMIC, *STAGING_DYNAMIC, "fct_order_items", "rejected_rows"]
-    names += ["fct_orders", "order_changes"] * orders_too + ["load_audit"] * audit_too
+    names += [n for n in STATE if n != "customer_keys"]
+    names += ["fct_orders"] * orders_too + ["load_audit"] * audit_too
     for name in names:
         wh.clear(name)
     wh.changed()

@@ -68,6 +68,65 @@ def build_dim_customer(stg_orders: DataFrame, stg_items: DataFrame, stg_customer
     )
 
 
+def person_batches(
+    stg_orders: DataFrame, stg_items: DataFrame, parents: DataFrame, stg_customers: DataFrame
+) -> DataFrame:
+    """What each batch brought of each person: orders, spending and firsts. Sums of these rows are the person's totals.
+
+    ``parents`` has the orders of all items; spending counts for the batch that brought the item.
+    """
+    people = stg_customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state")
+    bought = stg_orders.select("order_id", "customer_id", "order_purchase_timestamp", "ingested_at", "batch_id").join(people, "customer_id")
+    orders = bought.groupBy("customer_unique_id", "batch_id").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.min("order_purchase_timestamp").alias("first_bought"),
+        F.min("ingested_at").alias("first_seen"),
+        _smallest_of_first_batch("customer_city").alias("city"),
+        _smallest_of_first_batch("customer_state").alias("state"),
+        F.min("order_id").alias("an_order"),
+    )
+    # One row per order and batch before people are looked up.
+    spent = stg_items.groupBy("order_id", "batch_id").agg(F.sum(cents(labels.item_revenue())).alias("cents"))
+    owners = parents.select("order_id", "customer_id").join(people.select("customer_id", "customer_unique_id"), "customer_id")
+    spent = spent.join(owners, "order_id").groupBy("customer_unique_id", "batch_id").agg(F.sum("cents").alias("cents"))
+    joined = orders.join(spent, ["customer_unique_id", "batch_id"], "full_outer")
+    return conform(joined.withColumn("orders", F.coalesce("orders", F.lit(0))), "person_batches")
+
+
+def dim_customer_of(histories: DataFrame) -> DataFrame:
+    """One row per person with an order, from all rows of ``person_batches`` that the person has."""
+    ordered = F.col("orders") > 0
+
+    def first(column: str) -> Column:
+        row = F.struct("first_seen", F.col(column).isNull(), column)
+        return F.min(F.when(ordered, row))[column]
+
+    totals = histories.groupBy("customer_unique_id").agg(
+        first("city").alias("customer_city"),
+        first("state").alias("customer_state"),
+        F.to_date(F.min("first_bought")).alias("first_order_date"),
+        F.sum("orders").alias("total_orders"),
+        F.coalesce(from_cents(F.sum("cents")), F.lit(0)).alias("total_spent"),
+    )
+    return conform(totals.where("total_orders > 0"), "dim_customer")
+
+
+def only_other_orders(histories: DataFrame, known: DataFrame, batch_id: str) -> DataFrame:
+    """order_id and is_repeat of people who have exactly one order outside the batch."""
+    outside = histories.where(F.col("batch_id") != batch_id).groupBy("customer_unique_id").agg(
+        F.sum("orders").alias("n"), F.min("an_order").alias("order_id")
+    )
+    single = outside.where("n = 1").join(known.select("customer_unique_id", "total_orders"), "customer_unique_id")
+    return single.select("order_id", (F.col("total_orders") > 1).alias("is_repeat"))
+
+
+def refreshed_orders(facts: DataFrame, scores: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Order facts with the review scores and repeat flags of the moment; all else stays as first loaded."""
+    told = facts.drop("review_score").join(scores, "order_id", "left").join(flagged, "order_id", "left")
+    flag = F.coalesce("is_repeat", "is_repeat_customer")
+    return conform(told.withColumn("is_repeat_customer", flag), "fct_orders")
+
+
 def _sold_orders(stg_orders: DataFrame, people: DataFrame, *columns: str) -> DataFrame:
     """Orders that count as sales, with what ``people`` tells of the customer_id behind them."""
     sold = stg_orders.where(labels.is_kept_status())

@@ -178,36 +178,38 @@ MART = {
         "batch_id string, loaded_at timestamp",
         key=("order_id",),
         not_null=("order_id", "customer_id", "customer_unique_id", "order_status", "is_repeat_customer"),
-        by_batch=True,
-    ),
-    # What later batches changed, one folder per batch; read together with the table above it.
-    "order_changes": Table(
-        "mart",
-        "order_id string, order_status string, order_delivered_customer_date timestamp_ntz, "
-        "delivery_days int, delay_days int, is_late boolean, review_score smallint, "
-        "is_repeat_customer boolean, batch_id string, changed_at timestamp",
-        key=("order_id",),
-        by_batch=True,
-    ),
-    "customer_changes": Table(
-        "mart",
-        "customer_unique_id string, customer_city string, customer_state string, first_order_date date, "
-        "total_orders bigint, total_spent decimal(18,2), batch_id string, changed_at timestamp",
-        key=("customer_unique_id",),
-        by_batch=True,
     ),
 }
 
-# Table: the table of its changes and the columns that these take over.
-CHANGES = {
-    "fct_orders": (
-        "order_changes",
-        (
-            "order_status", "order_delivered_customer_date", "delivery_days", "delay_days", "is_late",
-            "review_score", "is_repeat_customer",
-        ),
+# What a batch looks up in history, laid out by key; derived from staging, and rebuilt with the mart.
+STATE = {
+    "order_keys": Table("state", STAGING["stg_orders"].ddl, key=("order_id",)),
+    "order_items_keys": Table("state", "order_id string, order_item_id smallint, batch_id string"),
+    "order_payments_keys": Table("state", "order_id string, payment_sequential smallint, batch_id string"),
+    "order_reviews_keys": Table(
+        "state",
+        "order_id string, review_id string, review_score smallint, review_creation_date timestamp_ntz, batch_id string",
+    ),
+    "customer_keys": Table("state", STAGING["stg_customers"].ddl, key=("customer_id",)),
+    # What each batch adds to a person: sums and firsts, so that no history is counted again.
+    "person_batches": Table(
+        "state",
+        "customer_unique_id string, batch_id string, orders bigint, cents decimal(38,0), first_bought timestamp_ntz, "
+        "first_seen timestamp, city string, state string, an_order string",
+        key=("customer_unique_id", "batch_id"),
     ),
-    "dim_customer": ("customer_changes", ("first_order_date", "total_orders", "total_spent")),
+}
+
+# Tables in buckets of a key: the column that is hashed.
+KEYED = {
+    "fct_orders": "order_id",
+    "dim_customer": "customer_unique_id",
+    "order_keys": "order_id",
+    "order_items_keys": "order_id",
+    "order_payments_keys": "order_id",
+    "order_reviews_keys": "order_id",
+    "customer_keys": "customer_id",
+    "person_batches": "customer_unique_id",
 }
 
 OPS = {
@@ -225,7 +227,7 @@ OPS = {
     ),
 }
 
-TABLES: dict[str, Table] = {**RAW, **STAGING, **MART, **OPS}
+TABLES: dict[str, Table] = {**RAW, **STAGING, **MART, **STATE, **OPS}
 
 
 def conform(df, table: str):

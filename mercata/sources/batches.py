@@ -42,6 +42,44 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(target) if s.isDirectory())
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below ``path``, sorted."""
+    system, target = _hadoop(spark, path)
+    if not system.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(target) if s.isFile())
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    system, target = _hadoop(spark, path)
+    system.delete(target, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    system, target = _hadoop(spark, path)
+    stream = system.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: it is written under another name and then given its own."""
+    system, target = _hadoop(spark, path)
+    _, part = _hadoop(spark, f"{path}.part")
+    stream = system.create(part, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if system.exists(target):
+        system.delete(target, False)
+    if not system.rename(part, target):
+        raise OSError(f"could not write {path}")
+
+
 def scan_csv(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One input of a batch as text columns; an absent file gives no rows.
 

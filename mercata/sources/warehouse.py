@@ -4,9 +4,9 @@ Tables split by batch keep each batch in its own folder; loading a batch again r
 that folder, so a retry leaves no second copy. Other tables are written whole to a new
 version folder, and the highest version that was finished is the current one.
 
-Later batches change some rows of the order fact and of the customers. What they change lies
-in tables of its own, one folder per batch, and is put over the rows on reading; a batch
-therefore writes as much as it brings, and never what earlier batches wrote.
+Later batches change some rows of the order fact and of the customers. These two, and what a batch looks up in
+history, lie in buckets of their keys (see ``keyed_table``): a batch reads and rewrites the buckets of its
+own keys, and no others.
 """
 
 from __future__ import annotations
@@ -14,19 +14,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from mercata.operators.keyed import with_changes
-from mercata.schemas import CHANGES, DYNAMIC_INPUTS, TABLES, conform
-from mercata.sources.batches import list_folders, path_exists
+from mercata.schemas import DYNAMIC_INPUTS, KEYED, TABLES, conform
+from mercata.sources.batches import list_folders, path_exists, remove_path
+from mercata.sources.keyed_table import KeyedTable
 
 VERSION = "v="
 KEPT_VERSIONS = 2
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+        """``buckets`` of each keyed table when it is next built: choose it so that a task can rewrite one."""
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self._watchers: dict[str, Callable[[Warehouse], None]] = {}
 
     def watch(self, name: str, told: Callable[[Warehouse], None]) -> None:
@@ -42,9 +42,11 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{TABLES[name].layer}/{name}"
 
+    def keyed(self, name: str) -> KeyedTable:
+        return KeyedTable(self.spark, self.path(name), TABLES[name].ddl, KEYED[name], self.buckets)
+
     def _delete(self, path: str) -> None:
-        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        remove_path(self.spark, path)
 
     # -- reading --------------------------------------------------------------
 
@@ -53,24 +55,11 @@ class Warehouse:
         found = [f"{folder}/{v}" for v in list_folders(self.spark, folder) if v.startswith(VERSION)]
         return [v for v in found if path_exists(self.spark, f"{v}/_SUCCESS")]
 
-    def read(self, name: str, without: str | None = None) -> DataFrame:
-        """The current rows of a table; a table never written has none.
-
-        ``without`` leaves out what one batch changed in rows of others.
-        """
-        rows = self._stored(name)
-        changes, update = CHANGES.get(name, (None, ()))
-        if changes is None or not self.batch_ids(changes):
-            return rows
-        written = "loaded_at" if "loaded_at" in rows.columns else None
-        changed = self._stored(changes)
-        if without is not None:
-            changed = changed.where(F.col("batch_id") != without)
-        merged = with_changes(rows, changed, TABLES[name].key, update, written)
-        return merged.select(*TABLES[name].columns)
-
-    def _stored(self, name: str) -> DataFrame:
+    def read(self, name: str) -> DataFrame:
+        """The current rows of a table; a table never written has none."""
         spec = TABLES[name]
+        if name in KEYED:
+            return self.keyed(name).read().select(*spec.columns)
         if spec.by_batch:
             source = self.path(name) if self.batch_ids(name) else None
         else:
@@ -80,15 +69,22 @@ class Warehouse:
         return self.spark.read.schema(spec.ddl).parquet(source).select(*spec.columns)
 
     def batch_ids(self, name: str) -> list[str]:
-        """Batches of a table, by folder; one entry per batch."""
+        """Batches of a table; one entry per batch."""
+        if name in KEYED:
+            return [r["batch_id"] for r in self.read(name).select("batch_id").distinct().orderBy("batch_id").collect()]
         prefix = "batch_id="
         return [n.removeprefix(prefix) for n in list_folders(self.spark, self.path(name)) if n.startswith(prefix)]
 
-    def read_batch(self, name: str, batch_id: str) -> DataFrame:
-        return self.read(name).where(F.col("batch_id") == batch_id)
+    def has_batch(self, name: str, batch_id: str) -> bool:
+        return path_exists(self.spark, f"{self.path(name)}/batch_id={batch_id}")
 
-    def read_others(self, name: str, batch_id: str) -> DataFrame:
-        return self.read(name).where(F.col("batch_id") != batch_id)
+    def read_batch(self, name: str, batch_id: str) -> DataFrame:
+        """One batch of a table split by batch; no other folder is looked at."""
+        spec = TABLES[name]
+        if not self.has_batch(name, batch_id):
+            return self.spark.createDataFrame([], spec.ddl.replace(" not null", ""))
+        rows = self.spark.read.schema(spec.ddl).option("basePath", self.path(name))
+        return rows.parquet(f"{self.path(name)}/batch_id={batch_id}").select(*spec.columns)
 
     # -- writing --------------------------------------------------------------
 
@@ -127,7 +123,7 @@ class Warehouse:
         """(Re)create tables without rows; what they held is dropped."""
         for name in names:
             self.clear(name)
-            if not TABLES[name].by_batch:
+            if not TABLES[name].by_batch and name not in KEYED:
                 self.replace(name, self.read(name))
 
     def tables(self, *names: str) -> dict[str, DataFrame]:
