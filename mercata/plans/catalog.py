@@ -68,3 +68,21 @@ def _register(tables: Mapping[str, DataFrame], options: Mapping[str, dict]) -> N
     for name, (_, needs) in VIEWS.items():
         if all(t in tables for t in needs):
             view(tables, name, **options.get(name, {})).createOrReplaceTempView(name)
+
+
+class Session:
+    """SQL over a warehouse that other sessions load as well.
+
+    Before each statement the warehouse is asked what it holds; if that has changed since the last one, by whatever
+    session, tables and views are registered anew. So a statement always sees what a fresh read would see.
+    """
+
+    def __init__(self, warehouse: Warehouse, **options: dict):
+        self.warehouse, self.options, self._seen = warehouse, options, None
+
+    def sql(self, statement: str) -> DataFrame:
+        held = self.warehouse.state()
+        if held != self._seen:
+            _register(self.warehouse.tables(*BASE_TABLES), self.options)
+            self._seen = held
+        return self.warehouse.spark.sql(statement)

@@ -16,9 +16,15 @@ class CheckFailed(RuntimeError):
     """A check on the data did not hold."""
 
 
+def seed_status(dims: dict[str, DataFrame]) -> DataFrame:
+    """One row per dimension: whether it has rows. One job for all; of each a single row is read."""
+    found = [df.limit(1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in dims.items()]
+    return reduce(DataFrame.unionByName, found).select("table_name", (F.col("n") > 0).alias("has_rows"))
+
+
 def require_seed(dims: dict[str, DataFrame]) -> None:
     """Refuse to go on while a dimension is empty; facts would join to nothing."""
-    empty = sorted(name for name, df in dims.items() if df.isEmpty())
+    empty = sorted(r.table_name for r in seed_status(dims).where("not has_rows").collect())  # a row per dimension
     if empty:
         raise CheckFailed(f"load the seed first, no rows in: {', '.join(empty)}")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,6 +14,7 @@ from mercata.operators.keyed import insert_if_absent, upsert_columns
 from mercata.plans import (
     analyses,
     audit,
+    catalog,
     checks,
     delivery,
     generator,
@@ -26,7 +28,7 @@ from mercata.plans import (
 )
 from mercata.plans.workspace import Workspace
 from mercata.schemas import DYNAMIC_INPUTS, MALFORMED
-from mercata.session import scratch_path
+from mercata.session import cut_lineage, scratch_path
 from mercata.sources import batches
 from mercata.sources.warehouse import Warehouse
 from mercata.streaming import ingest
@@ -195,6 +197,81 @@ def _days_table(name: str, *without: str) -> Callable[[Workspace], DataFrame]:
     return lambda w: _after_days(w).read(name).drop(*without)
 
 
+def _again_audited(w: Workspace) -> DataFrame:
+    """The audit after one batch has been audited a second time: its rows are replaced."""
+    warehouse = _after_days(w)
+    jobs.write_audit(warehouse, f"{batches.BATCH_PREFIX}{w.plan.first_day:%Y%m%d}", time.time())
+    return warehouse.read("load_audit").drop("run_time", "duration_sec", "note")
+
+
+def _audit_export(w: Workspace) -> DataFrame:
+    """The audit as exported to CSV and read back."""
+    folder = scratch_path(w.spark, "audit-export")
+    jobs.export_audit(_after_days(w), folder)
+    rows = w.spark.read.options(header="true", inferSchema="true").csv(folder)
+    return rows.drop("run_time", "duration_sec", "note")
+
+
+def _rollback_batch(w: Workspace) -> DataFrame:
+    """The order fact after the last day has been taken out again. The day is then loaded once more."""
+    warehouse, (root, _) = _after_days(w), w.seeded()
+    last = max(b for b in warehouse.batch_ids("load_audit") if b != generator.SEED)
+    jobs.rollback(warehouse, [last])
+    kept = cut_lineage(warehouse.read("fct_orders").drop("loaded_at"), "after-rollback")
+    jobs.run_batch(warehouse, f"{root}/{last}", last)
+    return kept
+
+
+def _stream_batches(w: Workspace) -> DataFrame:
+    """The items of one more day, which a stream of batch folders has loaded. The day is then taken out again."""
+    warehouse, (root, _) = _after_days(w), w.seeded()
+    day = generator.write_day(w.source, root, w.plan.first_day + dt.timedelta(days=RUN_DAYS), w.plan)
+    ingest.ingest_batches(warehouse, root, scratch_path(w.spark, "batch-stream")).awaitTermination()
+    loaded = cut_lineage(warehouse.read_batch("fct_order_items", day).drop("loaded_at"), "streamed-items")
+    jobs.rollback(warehouse, [day])
+    return loaded
+
+
+def _registered_view(w: Workspace) -> DataFrame:
+    """A view by SQL over a warehouse that was loaded elsewhere."""
+    loaded = _after_days(w)
+    return catalog.Session(Warehouse(w.spark, loaded.root)).sql("SELECT * FROM vw_customer_summary")
+
+
+def _csv_folder(w: Workspace) -> str:
+    """A folder with some of the inputs as CSV, none of payments or items."""
+    if w.listed is None:
+        w.listed = scratch_path(w.spark, "listed")
+        for name in ("order_reviews", "customers", "products", "category_translation"):
+            batches.write_csv(w.source[name], w.listed, name)
+    return w.listed
+
+
+def _absent_input(w: Workspace) -> DataFrame:
+    """Rows per input of a folder that lacks three of the four dynamic ones."""
+    return checks.layer_counts(batches.load_batch(w.spark, _csv_folder(w), generator.SEED, DYNAMIC_INPUTS))
+
+
+def _keyword_scan(w: Workspace) -> DataFrame:
+    """The file whose name holds a keyword, types inferred."""
+    rows = batches.find_csv(w.spark, _csv_folder(w), "review")
+    return rows.groupBy("review_score").agg(F.count(F.lit(1)).alias("reviews"), F.sum("review_score").alias("score_sum"))
+
+
+def _reject_payloads(w: Workspace) -> DataFrame:
+    """Every field of every quarantined row, as it came."""
+    fields = F.explode(F.from_json("raw_payload", "map<string,string>"))
+    return w["rejected_rows"].select("batch_id", "source_table", "reject_reason", fields.alias("field", "value"))
+
+
+def _capped_view(w: Workspace) -> DataFrame:
+    """Rows that a report with a cap shows."""
+    shown = catalog.view({ITEMS: w[ITEMS], ORDERS: w[ORDERS]}, "vw_detail_items", limit=REPORT_CAP)
+    return shown.agg(F.count(F.lit(1)).alias("shown"), F.count("order_id").alias("with_order"))
+
+
+REPORT_CAP = 50_000
+
 LAYERS = (
     "raw_orders",
     "raw_order_items",
@@ -259,6 +336,9 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "generated_products": _table("raw_products", "batch_id", "ingested_at"),
     "csv_batch_scan": _csv_batch_scan,
     "batch_status": _batch_status,
+    "file_listing": lambda w: batches.profile_files(w.spark, _csv_folder(w)),
+    "keyword_scan": _keyword_scan,
+    "absent_input": _absent_input,
     # cleaning, quarantine, duplicates, audit
     "stage_orders": _table("stg_orders"),
     "stage_order_items": _table("stg_order_items"),
@@ -269,6 +349,7 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "stage_sellers": _table("stg_sellers"),
     "stage_category_translation": _table("stg_category_translation"),
     "rejected_rows": _rejected_rows,
+    "reject_payloads": _reject_payloads,
     "load_audit": _table("load_audit", "duration_sec", "note"),
     "stream_stage_orders": _stream_staged("orders"),
     "stream_stage_items": _stream_staged("order_items"),
@@ -290,10 +371,19 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "run_days_customers": _days_table("dim_customer"),
     "run_days_items": _days_table("fct_order_items", "loaded_at"),
     "run_days_rejects": lambda w: _payload_fields(_after_days(w).read("rejected_rows")),
+    "rerun_audit": _again_audited,
+    "audit_export": _audit_export,
+    "registered_view": _registered_view,
+    "rollback_batch": _rollback_batch,
+    "stream_batches": _stream_batches,
     "run_days_audit": _days_table("load_audit", "run_time", "duration_sec", "note"),
     # checks
     "column_checks": _on(checks.column_checks, ITEMS),
     "repeated_item_keys": _source(lambda i: checks.repeated_keys(i, "stg_order_items", limit=None), "order_items"),
+    "first_repeated_keys": _source(lambda i: checks.repeated_keys(i, "stg_order_items", limit=10), "order_items"),
+    "seed_status": lambda w: checks.seed_status({n: w[n] for n in jobs.DIMENSIONS}),
+    "audit_history": lambda w: audit.load_history(w["load_audit"]).drop("duration_sec", "note"),
+    "capped_view": _capped_view,
     "orphan_items": _on(checks.orphan_count, "raw_order_items", "stg_orders"),
     "layer_counts": _layer_counts,
     "snapshot_delta": _snapshot_delta,

@@ -59,6 +59,7 @@ class Workspace:
         self._seed: dict[str, DataFrame] | None = None
         self._seeded: tuple[str, Warehouse] | None = None
         self.streamed: str | None = None  # folder of what streams staged
+        self.listed: str | None = None  # folder of some inputs as CSV
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Workspace":

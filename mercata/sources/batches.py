@@ -146,19 +146,27 @@ def next_batch(available: DataFrame, audit: DataFrame) -> str | None:
 
 
 def profile_files(spark: SparkSession, folder: str) -> DataFrame:
-    """File name, row count and column count of every CSV found in a folder, header inferred."""
-    system, target = _hadoop(spark, folder)
-    names = sorted(s.getPath().getName() for s in system.listStatus(target))
-    counts = None
-    for name in (n for n in names if n.endswith(".csv")):
-        table = spark.read.options(**CSV_OPTIONS, multiLine="true").csv(f"{folder}/{name}")
-        row = table.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("file_name"), "rows", F.lit(len(table.columns)).alias("columns")
-        )
-        counts = row if counts is None else counts.unionByName(row)
-    if counts is None:
-        return spark.createDataFrame([], "file_name string, rows bigint, columns int")
-    return counts
+    """File name, row count and column count of every CSV in a folder, each with a header of its own.
+
+    One scan for any number of files. A file may be a folder of part files; it has as many columns as its widest header.
+    """
+    empty = "file_name string, rows bigint, columns int"
+    names = [n for n in (*list_files(spark, folder), *list_folders(spark, folder)) if n.endswith(".csv")]
+    if not names:
+        return spark.createDataFrame([], empty)
+    # A record of more or fewer than one field comes whole in the second column.
+    told = {**CSV_OPTIONS, "header": "false", "multiLine": "true", "columnNameOfCorruptRecord": "record"}
+    records = spark.read.schema("field string, record string").options(**told).csv(f"{folder}/*.csv")
+    record = F.coalesce("record", F.coalesce("field", F.lit("")))
+    part = F.col("_metadata.file_path").alias("part")
+    parts = (
+        records.select(part, record.alias("record"), F.monotonically_increasing_id().alias("place"))
+        .groupBy("part")
+        .agg(F.count(F.lit(1)).alias("n"), F.min_by("record", "place").alias("header"))
+    )
+    commas = F.regexp_count(F.regexp_replace("header", '"([^"]|"")*"', ""), F.lit(","))
+    name = F.regexp_extract("part", r"/([^/]+\.csv)(/[^/]*)?$", 1).alias("file_name")
+    return parts.groupBy(name).agg(F.sum(F.col("n") - 1).alias("rows"), (F.max(commas) + 1).cast("int").alias("columns"))
 
 
 def find_csv(spark: SparkSession, folder: str, keyword: str) -> DataFrame | None:

@@ -30,13 +30,14 @@ class KeyedTable:
 
     # -- manifests ------------------------------------------------------------
 
-    def _generations(self) -> list[int]:
+    def generations(self) -> list[int]:
+        """Commits that can still be read, oldest first."""
         return [int(n.removesuffix(".json")) for n in list_files(self.spark, f"{self.root}/manifest") if n.endswith(".json")]
 
     def _manifest(self, generation: int | None = None) -> dict:
         """The state a reader sees: the number of buckets, and the generation of each that has rows."""
         if generation is None:
-            generation = max(self._generations(), default=None)
+            generation = max(self.generations(), default=None)
         if generation is None:
             return {"generation": 0, "buckets": self._buckets, "of": {}}
         told = json.loads(read_text(self.spark, f"{self.root}/manifest/{generation:09d}.json"))
@@ -45,7 +46,7 @@ class KeyedTable:
     def _commit(self, state: dict) -> None:
         told = {"buckets": state["buckets"], "of": state["of"]}
         write_text(self.spark, f"{self.root}/manifest/{state['generation']:09d}.json", json.dumps(told))
-        known = sorted(self._generations())
+        known = sorted(self.generations())
         kept = {pair for k in known[-KEPT_GENERATIONS:] for pair in self._manifest(k)["of"].items()}
         for k in known[:-KEPT_GENERATIONS]:
             for b, g in set(self._manifest(k)["of"].items()) - kept:
@@ -69,7 +70,7 @@ class KeyedTable:
         return self._rows(self._manifest())
 
     def exists(self) -> bool:
-        return bool(self._generations())
+        return bool(self.generations())
 
     def _touched(self, keys: DataFrame, state: dict) -> set[int]:
         found = keys.select(self.bucket_of(self.key, state["buckets"]).alias("b")).distinct().collect()  # bucket numbers
@@ -91,7 +92,7 @@ class KeyedTable:
         """
         if self._manifest()["buckets"] != self._buckets:
             remove_path(self.spark, f"{self.root}/batches")
-        generation = max(self._generations(), default=0) + 1
+        generation = max(self.generations(), default=0) + 1
         state = {"generation": generation, "buckets": self._buckets}
         self._commit(state | {"of": dict.fromkeys(self._write(rows, state), generation)})
 
@@ -121,7 +122,7 @@ class KeyedTable:
             stay = stay.where(F.col("batch_id") != batch_id)
         if replace:
             stay = stay.join(gone, self.key, "left_anti")
-        fresh = state | {"generation": max(self._generations(), default=0) + 1}
+        fresh = state | {"generation": max(self.generations(), default=0) + 1}
         written = self._write(stay.select(*self.columns).unionByName(changed.select(*self.columns)), fresh)
         of = {b: g for b, g in state["of"].items() if b not in touched}
         self._commit(fresh | {"of": of | dict.fromkeys(written, fresh["generation"])})

@@ -126,6 +126,16 @@ class Warehouse:
             if not TABLES[name].by_batch and name not in KEYED:
                 self.replace(name, self.read(name))
 
+    def state(self) -> dict[str, list]:
+        """What a reader would see at this moment, by table: batches, versions or generations."""
+        found = {}
+        for name, spec in TABLES.items():
+            if name in KEYED:
+                found[name] = self.keyed(name).generations()[-1:]
+            else:
+                found[name] = self.batch_ids(name) if spec.by_batch else self._versions(name)[-1:]
+        return found
+
     def tables(self, *names: str) -> dict[str, DataFrame]:
         return {n: self.read(n) for n in names}
 

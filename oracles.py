@@ -488,6 +488,11 @@ SQL["run_seed"] = SQL["fct_order_items"] + " where batch_id = 'seed'"
 SQL["run_next_batch"] = SQL["fct_order_items"] + " where batch_id in ('seed', 'batch_20010601')"
 # after a clean, a duplicate, a dirty and a mixed day
 RUN_DAYS = ("seed", "batch_20010601", "batch_20010602", "batch_20010603", "batch_20010604")
+DAYS_OF = {
+    **dict.fromkeys(("rerun_audit", "audit_export", "registered_view"), RUN_DAYS),
+    "rollback_batch": RUN_DAYS[:-1],
+    "stream_batches": (*RUN_DAYS, "batch_20010605"),
+}
 SQL["fct_orders"] = f"""
 select order_id, customer_id, customer_unique_id, order_status, {when('order_purchase_timestamp')} as
   order_purchase_timestamp, {day('order_purchase_date')} as order_purchase_date,
@@ -767,6 +772,48 @@ select batch_id, source_table, reject_reason, order_id as payload_order_id, part
 SQL["run_days_audit"] = "select batch_id, table_name, rows_in, rows_dup, rows_rejected, rows_loaded from load_audit"
 
 
+SQL["rerun_audit"] = SQL["audit_export"] = SQL["run_days_audit"]
+SQL["rollback_batch"] = SQL["fct_orders"]
+SQL["stream_batches"] = SQL["fct_order_items"] + " where batch_id = 'batch_20010605'"
+SQL["registered_view"] = SQL["vw_customer_summary"]
+SQL["audit_history"] = SQL["load_audit"]
+SQL["seed_status"] = " union all ".join(
+    f"select '{n}' as table_name, cast(count(*) > 0 as varchar) as has_rows from {n}" for n in ("dim_product", "dim_customer", "dim_seller")
+)
+SQL["first_repeated_keys"] = f"{SQL['repeated_item_keys']} order by n desc, order_id, order_item_id limit 10"
+SQL["capped_view"] = "select least(count(*), 50000) as shown, least(count(*), 50000) as with_order from det"
+SQL["absent_input"] = """
+select 'raw_order_reviews' as table_name, count(*) as row_count from src_reviews
+union all select unnest(['raw_orders', 'raw_order_items', 'raw_order_payments']), 0"""
+SQL["keyword_scan"] = """
+select cast(review_score as bigint) as review_score, count(*) as reviews, cast(sum(cast(review_score as bigint)) as bigint) as score_sum
+from src_reviews group by 1"""
+SQL["file_listing"] = " union all ".join(
+    f"select '{name}.csv' as file_name, count(*) as rows, cast({columns} as bigint) as columns from {source}"
+    for name, source, columns in (
+        ("order_reviews", "src_reviews", 7), ("customers", "src_customers", 5), ("products", "src_products", 9),
+        ("category_translation", "src_translation", 2),
+    )
+)
+
+
+def _payload(table: str, judged: str, columns: str) -> str:
+    names = [*columns.split(), "batch_id", "ingested_at"]
+    values = [*names[:-1], "strftime(ingested_at, '%Y-%m-%dT%H:%M:%S.000Z')"]
+    return f"""select batch_id, 'raw.raw_{table}' as source_table, reason as reject_reason,
+  unnest([{', '.join(f"'{n}'" for n in names)}]) as field, unnest([{', '.join(values)}]) as value from {judged} where reason is not null"""
+
+
+SQL["reject_payloads"] = " union all ".join((
+    _payload("orders", "orders_judged", "order_id customer_id order_status order_purchase_timestamp order_approved_at "
+      "order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date"),
+    _payload("order_items", "items_judged", "order_id order_item_id product_id seller_id shipping_limit_date price freight_value"),
+    _payload("order_payments", "payments_judged", "order_id payment_sequential payment_type payment_installments payment_value"),
+    _payload("order_reviews", "reviews_judged", "review_id order_id review_score review_comment_title review_comment_message "
+      "review_creation_date review_answer_timestamp"),
+))
+
+
 def _needed(text: str) -> list[str]:
     """Names of the common table expressions a text builds on, in order of definition."""
     found: set[str] = set()
@@ -798,8 +845,8 @@ def _needed(text: str) -> list[str]:
 def statement(name: str) -> str:
     body = SQL[name].strip()
     only = ""
-    if name.startswith("run_days_"):  # the same tables over the batches of these days
-        only = f" where batch_id in {RUN_DAYS}"
+    if name in DAYS_OF or name.startswith("run_days_"):  # the same tables over the batches of these days
+        only = f" where batch_id in {DAYS_OF.get(name, RUN_DAYS)}"
     cut = ("raw_orders", "raw_items", "raw_payments", "raw_reviews", "batch_list")
     parts = ",\n".join(
         f"{n} as (select * from ({CTES[n].strip()}){only if n in cut else ''})" for n in _needed(body)

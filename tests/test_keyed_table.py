@@ -92,7 +92,7 @@ def test_old_buckets_go(spark, tmp_path):
     t = seeded(spark, tmp_path)
     for n in range(5):
         t.fold(rows(spark, ("k7", n, f"b{n}")), f"b{n}")
-    assert len(t._generations()) == 2 and len(files(t.root)) == 65
+    assert len(t.generations()) == 2 and len(files(t.root)) == 65
     assert content(t.lookup(rows(spark, ("k7", 0, "")).select("k"))) == [("k7", 4, "b4")]
 
 
