@@ -83,6 +83,14 @@ def _csv_batch_scan(w: Workspace) -> DataFrame:
     )
 
 
+def _csv_split_scan(w: Workspace) -> DataFrame:
+    """The same texts as one file, read by as many tasks as it has ranges."""
+    folder = scratch_path(w.spark, "csv-split")
+    batches.write_csv(w.source["order_reviews"].coalesce(1), folder, "order_reviews")
+    rows = batches.load_batch(w.spark, folder, generator.SEED, ["order_reviews"], split=True)["raw_order_reviews"]
+    return rows.drop("ingested_at", MALFORMED)
+
+
 def _batch_status(w: Workspace) -> DataFrame:
     folders = w.batches().where(F.col("batch_id").startswith(batches.BATCH_PREFIX))
     return batches.batch_status(folders, w["load_audit"])
@@ -266,8 +274,9 @@ def _reject_payloads(w: Workspace) -> DataFrame:
 
 def _capped_view(w: Workspace) -> DataFrame:
     """Rows that a report with a cap shows."""
-    shown = catalog.view({ITEMS: w[ITEMS], ORDERS: w[ORDERS]}, "vw_detail_items", limit=REPORT_CAP)
-    return shown.agg(F.count(F.lit(1)).alias("shown"), F.count("order_id").alias("with_order"))
+    tables = {n: w[n] for n in (ITEMS, ORDERS, "dim_seller")}
+    shown = catalog.view(tables, "vw_seller_detail", limit=REPORT_CAP)
+    return shown.agg(F.count(F.lit(1)).alias("shown"), F.count("seller_id").alias("with_seller"))
 
 
 REPORT_CAP = 50_000
@@ -335,6 +344,7 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "generated_order_reviews": _table("raw_order_reviews"),
     "generated_products": _table("raw_products", "batch_id", "ingested_at"),
     "csv_batch_scan": _csv_batch_scan,
+    "csv_split_scan": _csv_split_scan,
     "batch_status": _batch_status,
     "file_listing": lambda w: batches.profile_files(w.spark, _csv_folder(w)),
     "keyword_scan": _keyword_scan,

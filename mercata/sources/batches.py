@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata import schemas
+from mercata.sources.records import split_csv
 
 # CSV dialect of the input files.
 CSV_OPTIONS = {
@@ -80,19 +81,21 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not write {path}")
 
 
-def scan_csv(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def scan_csv(spark: SparkSession, folder: str, name: str, split: bool = False) -> DataFrame:
     """One input of a batch as text columns; an absent file gives no rows.
 
     A line with more or fewer fields than columns comes whole in the last column as well.
-    Quoted fields may hold commas and line breaks. Such files cannot be split, so the
-    writer below keeps one part file per task and parallelism comes from their number.
+    Quoted fields may hold commas and line breaks. Spark reads such a file in one task: the writer below keeps one
+    part file per task, and a large file from elsewhere is read by many tasks with ``split`` (see ``records``).
     """
     schema = f"{schemas.INPUT_DDL[name]}, {schemas.MALFORMED} string"
     path = f"{folder}/{name}.csv"
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    told = {"columnNameOfCorruptRecord": schemas.MALFORMED}
-    return spark.read.schema(schema).options(**CSV_OPTIONS, **told, multiLine="true", nullValue="").csv(path)
+    options = {**CSV_OPTIONS, "columnNameOfCorruptRecord": schemas.MALFORMED, "nullValue": ""}
+    if split:
+        return split_csv(spark, path, schema, options)
+    return spark.read.schema(schema).options(**options, multiLine="true").csv(path)
 
 
 def stamp(df: DataFrame, batch_id: str, ingested_at: dt.datetime) -> DataFrame:
@@ -108,13 +111,14 @@ def load_batch(
     batch_id: str,
     names: Iterable[str] = tuple(schemas.INPUT_DDL),
     ingested_at: dt.datetime | None = None,
+    split: bool = False,
 ) -> dict[str, DataFrame]:
-    """All inputs of a batch as raw tables, keyed ``raw_<input>``.
+    """All inputs of a batch as raw tables, keyed ``raw_<input>``; ``split`` reads large files by many tasks.
 
     They share one load time: a child counts as an orphan if its order came later.
     """
     ingested_at = ingested_at or dt.datetime.now(dt.timezone.utc)
-    return {f"raw_{n}": stamp(scan_csv(spark, folder, n), batch_id, ingested_at) for n in names}
+    return {f"raw_{n}": stamp(scan_csv(spark, folder, n, split), batch_id, ingested_at) for n in names}
 
 
 def write_csv(df: DataFrame, folder: str, name: str) -> None:

@@ -781,7 +781,9 @@ SQL["seed_status"] = " union all ".join(
     f"select '{n}' as table_name, cast(count(*) > 0 as varchar) as has_rows from {n}" for n in ("dim_product", "dim_customer", "dim_seller")
 )
 SQL["first_repeated_keys"] = f"{SQL['repeated_item_keys']} order by n desc, order_id, order_item_id limit 10"
-SQL["capped_view"] = "select least(count(*), 50000) as shown, least(count(*), 50000) as with_order from det"
+SQL["capped_view"] = f"""
+select least(count(*), 50000) as shown, least(count(*), 50000) as with_seller from ({SQL['vw_seller_detail']})"""
+SQL["csv_split_scan"] = SQL["csv_batch_scan"]
 SQL["absent_input"] = """
 select 'raw_order_reviews' as table_name, count(*) as row_count from src_reviews
 union all select unnest(['raw_orders', 'raw_order_items', 'raw_order_payments']), 0"""
