@@ -52,8 +52,7 @@ def register_views(source: Warehouse | Mapping[str, DataFrame], **options: dict)
     """Make tables and views available to ``spark.sql``; ``options`` are per view.
 
     Views of a warehouse follow it: after each run in this session they show what was loaded.
-    Views of single tables stay plans over these tables. The concentration curve puts all
-    sellers in order when views are registered or follow a run; the others do no work then.
+    Views of single tables stay plans over these tables. No view does any work until it is read.
     """
     if isinstance(source, Warehouse):
         source.watch("views", lambda wh: _register(wh.tables(*BASE_TABLES), options))

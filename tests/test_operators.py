@@ -14,7 +14,7 @@ from mercata.operators.keyed import (
     keep_first,
     upsert_columns,
 )
-from mercata.operators.ordering import exact_percentile, with_global_order
+from mercata.operators.ordering import exact_percentile, with_global_order, with_value_order
 from mercata.operators.sampling import with_sample_flags
 
 
@@ -45,8 +45,8 @@ def many_partitions(spark):
     spark.conf.set(key, "true")
 
 
-def check_global_order(sellers):
-    got = with_global_order(sellers, "v", ["id"])
+def check_global_order(sellers, got=None):
+    got = with_global_order(sellers, "v", ["id"]) if got is None else got
     by_value = Window.orderBy(F.col("v").desc())
     full = Window.orderBy(F.col("v").desc(), "id")
     total = sellers.agg(F.sum("v")).first()[0]
@@ -80,6 +80,30 @@ def test_global_order_of_one_row_and_of_none(spark):
     assert with_global_order(one.where("false"), "v", ["id"]).count() == 0
 
 
+def test_value_order_equals_the_global_order(spark, sellers):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("order", "building an order")
+    got = with_value_order(sellers, "v", "id")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tracker.getJobIdsForGroup("order") == []
+    assert got.columns == with_global_order(sellers, "v", ["id"]).columns
+    check_global_order(sellers, got)
+    assert with_value_order(sellers.where("false"), "v", "id").count() == 0
+
+
+def test_value_order_of_negative_and_far_apart_values(spark):
+    values = ["-7.00", "-7.00", "-0.01", "0.00", "0.01", "5.00", "5.00", "99999999.99"]
+    df = spark.createDataFrame([(f"é{i}", Decimal(v)) for i, v in enumerate(values)], "id string, v decimal(12,2)")
+    got = {r["id"]: r for r in with_value_order(df, "v", "id").collect()}
+    order = sorted(range(8), key=lambda i: (-Decimal(values[i]), i))
+    assert [got[f"é{i}"]["row_number"] for i in order] == [*range(1, 9)]
+    assert [got[f"é{i}"]["rank"] for i in order] == [1, 2, 2, 4, 5, 6, 7, 7]
+    run = Decimal(0)
+    for i in order:
+        run += Decimal(values[i])
+        assert got[f"é{i}"]["running_sum"] == run
+
+
 @pytest.mark.parametrize("p", [0.0, 0.1, 0.25, 0.5, 0.9, 1.0])
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 11, 1200])
 def test_exact_percentile(sellers, p, n):
