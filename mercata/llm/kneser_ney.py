@@ -12,9 +12,9 @@ for the probabilities of its distinct strings; requests are joined with the prob
 answers go back to the blocks. The buckets let both joins with blocks read them in place, so text is
 never shuffled. A string that is in a third of all blocks is one row for each of them, and Spark
 splits such a join. One trusted document in ``HELD_OUT``, by a hash of its id, is not counted: these set
-the limits. A document is kept if its perplexity is at most ``SLACK`` times the ``QUANTILE`` quantile of
-its language's held-out documents (of all of them, where its language has none); the slack spares clean
-texts where few documents set the limit, and noise is many times above it.
+the limits. A document is kept if its perplexity is at most the ``QUANTILE`` quantile, exactly, of its
+language's held-out documents (of all of them, where its language has none), times ``slack``: ``SLACK`` unless
+given, which spares clean texts where few documents set the limit; with 1 the quantile itself is the limit.
 
 A text without words has no perplexity and is not kept. If nothing is trusted, all others are kept.
 """
@@ -37,6 +37,7 @@ BYTES = 256  # equally likely below the shortest strings
 BLOCK = 4 << 20
 QUANTILE = 0.98
 SLACK = 1.25
+DENSE = 4 << 20  # cells of a table of contexts by bytes; with more, strings are sorted
 HELD_OUT = 5
 PAD = b"\n\n\n"  # before each text; texts have no line ends
 
@@ -92,8 +93,11 @@ class Strings:
         own[:] = np.cumsum(steps[:-1]) > 0
         return own[3:]
 
-    def cells(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each position's cell in a table of contexts by bytes; the contexts (as numbers) and the bytes."""
+    def cells(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each position's place among the distinct strings, and these as numbers in ascending order.
+
+        What it holds grows with the block and not with contexts times bytes.
+        """
         used = np.flatnonzero(np.bincount(self.data, minlength=256))
         classes = np.zeros(256, np.int32)
         classes[used] = np.arange(len(used))
@@ -102,17 +106,26 @@ class Strings:
         row = np.full(a**3, -1, np.int32)
         row[context] = 0
         contexts = np.flatnonzero(row == 0)
-        row[contexts] = np.arange(len(contexts), dtype=np.int32)
-        numbers = used[contexts // (a * a)] << 16 | used[contexts // a % a] << 8 | used[contexts % a]
-        return row[context].astype(np.int64) * a + c[3:], numbers, used
+        if len(contexts) * a > DENSE:
+            found, place = np.unique(context * np.int64(a) + c[3:], return_inverse=True)
+            contexts, last = found // a, found % a
+        else:
+            row[contexts] = np.arange(len(contexts), dtype=np.int32)
+            cell = row[context] * a + c[3:]
+            seen = np.flatnonzero(np.bincount(cell, minlength=len(contexts) * a))
+            at = np.zeros(len(contexts) * a, np.int32)
+            at[seen] = np.arange(len(seen), dtype=np.int32)
+            contexts, last, place = contexts[seen // a], seen % a, at[cell]
+        numbers = used[contexts // (a * a)] << 24 | used[contexts // a % a] << 16 | used[contexts % a] << 8 | used[last]
+        return place, numbers
 
 
 def _counted(strings: Strings, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct strings that end in these rows, as numbers in ascending order, and their counts."""
-    cell, contexts, used = strings.cells()
-    counts = np.bincount(cell[strings.select(rows)], minlength=len(contexts) * len(used))
+    place, grams = strings.cells()
+    counts = np.bincount(place[strings.select(rows)], minlength=len(grams))
     seen = np.flatnonzero(counts)
-    return contexts[seen // len(used)] << 8 | used[seen % len(used)], counts[seen]
+    return grams[seen], counts[seen]
 
 
 def _gram_batches(grams, counts) -> pa.RecordBatch:
@@ -214,14 +227,14 @@ def scored(blocks: DataFrame, bits: DataFrame) -> DataFrame:
         for batch in batches:
             for ids, langs, blob, answers in zip(*batch.columns, strict=True):
                 strings = Strings(blob.as_py())
-                cell, contexts, used = strings.cells()
-                table = np.zeros(len(contexts) * len(used))
+                place, grams = strings.cells()
+                table = np.zeros(len(grams))
                 own = strings.select(np.ones(len(strings.starts), bool))
                 seen = np.zeros(len(table), bool)
-                seen[cell[own]] = True
-                if answers.is_valid:  # in ascending order of strings, as the cells are
+                seen[place[own]] = True
+                if answers.is_valid:  # in ascending order of strings, as the places are
                     table[seen] = answers.values.field(1).to_numpy()
-                sums = np.concatenate([[0.0], np.cumsum(table[cell] * own)])
+                sums = np.concatenate([[0.0], np.cumsum(table[place] * own)])
                 first = strings.starts - 3
                 total = sums[first + strings.lengths] - sums[first]
                 mean = total / np.maximum(strings.lengths, 1)
@@ -236,7 +249,7 @@ def scored(blocks: DataFrame, bits: DataFrame) -> DataFrame:
 
 
 def judged(
-    df: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang_col: str, quantile: float = QUANTILE
+    df: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang_col: str, quantile: float = QUANTILE, slack: float = SLACK
 ) -> DataFrame:
     """id, lang, n, perplexity, limit and kept of every row of ``df``; ``trusted`` has the ids (id) of
     trusted texts. Repeated rows stay repeated; a null id is never trusted."""
@@ -249,7 +262,7 @@ def judged(
     bits = looked_up(asked.select("gram").distinct(), model)
     rows = cut_lineage(scored(blocks, asked.join(bits, "gram")), "perplexities")
     known = rows.join(trusted.where(measure), "id", "left_semi").where("perplexity IS NOT NULL")
-    cut = SLACK * F.percentile_approx("perplexity", quantile, 10_000)
+    cut = slack * F.percentile("perplexity", quantile)  # one number a trusted document that is held out
     by_lang = known.where("lang IS NOT NULL").groupBy("lang").agg(cut.alias("limit"))
     overall = known.agg(cut.alias("limit")).first()["limit"]
     limit = F.coalesce("limit", F.lit(overall).cast("double"))

@@ -65,6 +65,28 @@ def test_perplexity_equals_the_definition(spark, monkeypatch):
         assert r["kept"] == (want is not None and want <= r["limit"] + 1e-9)
 
 
+def test_many_contexts_are_sorted_and_give_the_same(monkeypatch):
+    texts = [k.normal(t) for t in [*odd_texts(), prose(1, 300)]] + [bytes(range(33, 256)) * 3]
+    strings = k.Strings(k.zstandard.compress(k.PAD + k.PAD.join(texts)))
+    dense, rows = strings.cells(), k.np.arange(len(texts)) % 2 == 0
+    counts = k._counted(strings, rows)
+    monkeypatch.setattr(k, "DENSE", 0)
+    for a, b in zip((*dense, *counts), (*strings.cells(), *k._counted(strings, rows)), strict=True):
+        assert (a == b).all()
+    assert (k.np.diff(dense[1]) > 0).all()
+
+
+def test_the_limit_is_the_exact_quantile(spark):
+    df = documents(spark, [prose(s, 40 + s) for s in range(60)], repeat=False)
+    trusted = [3 * i for i in range(60)]
+    rows = judged(spark, df, trusted, quantile=0.7, slack=1.0).collect()
+    held = {r[0] for r in spark.createDataFrame([(i,) for i in trusted], "id long").where(f"pmod(xxhash64(id), {k.HELD_OUT}) = 0").collect()}
+    for lang in {r["lang"] for r in rows}:
+        own = [r["perplexity"] for r in rows if r["id"] in held and r["lang"] == lang]
+        want = k.np.quantile(own or [r["perplexity"] for r in rows if r["id"] in held], 0.7)
+        assert [r["limit"] for r in rows if r["lang"] == lang] == pytest.approx([want] * sum(r["lang"] == lang for r in rows), rel=1e-12)
+
+
 def test_noise_goes_and_prose_stays(spark):
     clean = [prose(s, 150) for s in range(60)]
     noise = [" | ".join(f"%%{w}&&" for w in prose(s, 60, 50).split()) for s in range(5)]
