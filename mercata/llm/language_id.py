@@ -27,6 +27,7 @@ from mercata.session import cut_lineage
 ORDER = 3
 TABLE_BYTES = 32 << 20
 UNIT = 1024  # code lengths are whole numbers of 1/1024 bit, so sums do not depend on their order
+LONG = (1 << 16) - 1  # in the table: as long as this or longer, to be worked out
 PART = 1 << 20  # bytes handled at a time
 CONTEXTS = 1 << 13  # laid out at a time
 UNKNOWN = "und"
@@ -149,8 +150,10 @@ class Model:
         for first in range(0, len(chosen), CONTEXTS):
             part = chosen[first : first + CONTEXTS]
             for i, c in enumerate(counts):
-                table[first : first + len(part), :, i] = coded_lengths(c.rows(part, ORDER, self.classes, self.size, self.base))
+                found = coded_lengths(c.rows(part, ORDER, self.classes, self.size, self.base))
+                table[first : first + len(part), :, i] = np.minimum(found, LONG)
         self.table = table.reshape(len(chosen) * self.size, len(langs))
+        self.has_long = bool((self.table == LONG).any())
         self.row = np.full(self.size**ORDER if len(chosen) else 0, -1, np.int32)
         place = [self.classes[chosen >> np.uint32(shift) & np.uint32(255)] for shift in (16, 8, 0)]
         self.row[(place[0] * self.size + place[1]) * self.size + place[2]] = np.arange(len(chosen), dtype=np.int32)
@@ -158,11 +161,14 @@ class Model:
     def codes(self, data: np.ndarray) -> np.ndarray:
         """Code lengths of each byte after the first three, in units, in each language, and a last row of zeros."""
         c = self.classes[data]
-        codes = np.zeros((len(data) - 2, len(self.langs)), np.uint16)
+        codes = np.zeros((len(data) - 2, len(self.langs)), np.uint32)
         if len(self.row):
             row = self.row[(c[:-3] * self.size + c[1:-2]) * self.size + c[2:-1]]
-            np.take(self.table, np.maximum(row, 0) * np.int64(self.size) + c[3:], 0, codes[:-1], "clip")
-            rest = np.flatnonzero(row < 0)
+            codes[:-1] = np.take(self.table, np.maximum(row, 0) * np.int64(self.size) + c[3:], 0, mode="clip")
+            rest = row < 0
+            if self.has_long:
+                rest |= (codes[:-1] == LONG).any(1)
+            rest = np.flatnonzero(rest)
         else:
             rest = np.arange(len(data) - 3)
         if len(rest):
@@ -198,7 +204,7 @@ class Model:
 
 
 def coded_lengths(chances: np.ndarray) -> np.ndarray:
-    return np.minimum(np.round(-np.log2(chances) * UNIT), 65535).astype(np.uint16)
+    return np.round(-np.log2(chances) * UNIT).astype(np.uint32)
 
 
 def mixed(counts: np.ndarray, total: np.ndarray, seen: np.ndarray, below: np.ndarray) -> np.ndarray:

@@ -90,6 +90,14 @@ def test_all_bytes_and_contexts_count(spark, monkeypatch):
             assert got[i] == pytest.approx(brute_length_of(training, lang, t), abs=0.001 * len(t.encode()))
 
 
+def test_long_codes_are_exact():
+    gram = lambda text: int.from_bytes(text, "big")
+    model = l.Model(["x"], [l.Counts(l.np.array([gram(b"aaaa"), gram(b"bbbb")], l.np.uint32), l.np.array([10**12, 1]))])
+    data = l.np.frombuffer(b"aaab", l.np.uint8)
+    chance = float(model.counts[0].chances(l.np.array([gram(b"aaab")], l.np.uint32), model.base)[0])
+    assert model.has_long and int(model.codes(data)[0, 0]) == round(-math.log2(chance) * l.UNIT) > l.LONG
+
+
 def test_held_out_accuracy(spark, sf_dir):
     from mercata.llm.queries import QUERIES
 
