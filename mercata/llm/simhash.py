@@ -107,6 +107,10 @@ def bucket_ties(prefix: int, fps: np.ndarray, lead: int, half: int) -> tuple[np.
     owners, firsts = owners[met], np.flatnonzero(~same[:-1][met])
     if not len(owners):
         return fps[:0], fps[:0]
+    # Colliding pairs, each of them with the first of its variant, are verified.
+    lead_of = np.repeat(owners[firsts], np.diff(np.append(firsts, len(owners))))
+    near = np.bitwise_count(fps[owners] ^ fps[lead_of]) <= 2 * half
+    owners, firsts = owners[near], (np.cumsum(near) - 1)[firsts]
     # Spread the smallest fingerprint over groups that overlap, until nothing changes.
     sizes = np.diff(np.append(firsts, len(owners)))
     rank = np.empty(len(fps), np.int64)
