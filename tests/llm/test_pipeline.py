@@ -7,9 +7,8 @@ import pytest
 
 import corpus_pipeline as p
 from cases import documents, empty
-from mercata.llm.quality_rules import HOST_LIMIT, beta_prior
 from mercata.session import cut_lineage
-from test_quality_rules import brute as quality_brute
+from test_quality_rules import brute_hosts, brute_rules
 from test_simhash import brute_components, brute_fingerprint
 from test_suffix_dedup import brute as repeats_brute
 
@@ -32,14 +31,9 @@ def test_columns(stages):
 
 def test_quality(stages):
     before, after = stages[0][:2]
-    base = {i: quality_brute(r["text"])[-1] for i, r in before.items()}
-    hosts = defaultdict(list)
-    for i, r in before.items():
-        hosts[r["source"]].append(base[i])
-    rates = [np.mean(f) for f in hosts.values()]
-    mean, weight = beta_prior(float(np.mean(rates)), float(np.var(rates)))
-    good = {h for h, f in hosts.items() if (sum(f) + mean * weight) / (len(f) + weight) <= HOST_LIMIT}
-    assert set(after) == {i for i, r in before.items() if not base[i] and r["source"] in good}
+    rules = {i: brute_rules(r["text"]) for i, r in before.items()}
+    bad = brute_hosts(rules.values(), [r["source"] for r in before.values()])
+    assert set(after) == {i for i, r in before.items() if not rules[i] and r["source"] not in bad}
 
 
 def test_language_keeps_what_has_letters(stages):
