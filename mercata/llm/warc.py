@@ -7,7 +7,9 @@ a block above ``SEGMENT_BYTES`` is continued in further records. Spark's text wr
 archives, with the blank lines that end a WARC record as its line end: tasks that are run again leave
 no broken archive, and any store that Spark knows will do. Pages are cut at character ends.
 
-Reading: each archive is parsed by one task. Continuation records are grouped by the id of their
+Reading: each archive is inflated and parsed in pieces by one task, which hands records on as it finds
+them: it holds the compressed file (at most 2 GB, Spark's limit for a value), a few megabytes of what is inflated,
+and one record. An archive written here has at most ``RECORDS_PER_FILE`` records of about ``SEGMENT_BYTES``. Continuation records are grouped by the id of their
 first record, ordered by segment number, checked against the total length, and decoded; a group is
 one record, so its size is that of a page. A payload that differs from its digest stops the job.
 
@@ -34,6 +36,10 @@ REVISIT_BYTES = 100
 SEGMENT_BYTES = 16_384
 CHUNK_BYTES = 4_096
 RECORDS_PER_FILE = 20_000
+READ_BYTES = 65_536  # of a compressed archive that are inflated at a time
+PIECE_BYTES = 1 << 20  # inflated bytes at a time
+BATCH_BYTES = 4 << 20  # of blocks that a task hands on at a time, or one block
+BATCH_RECORDS = 5_000
 END = b"\r\n\r\n"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -135,33 +141,58 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     writer.option("maxRecordsPerFile", RECORDS_PER_FILE).option("compression", "gzip").text(path)
 
 
-def parsed(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """The records of an archive, plain or compressed: headers in lower case, and the block."""
-    if archive[:2] == b"\x1f\x8b":
-        archive = gunzipped(archive)
-    at = 0
-    while at < len(archive):
-        end = archive.find(END, at)
-        lines = archive[at:end].decode().split("\r\n")
-        if end < 0 or not lines[0].startswith("WARC/1."):
-            raise ValueError(f"no WARC record at byte {at}")
+def parsed(archive: bytes | memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
+    """The records of an archive, plain or compressed: headers in lower case, and the block. One piece and one
+    record are held at a time."""
+    pieces = inflated(memoryview(archive))
+    held, gone = bytearray(), 0  # bytes not handed on yet, and how many were
+
+    def holds(n: int) -> bool:
+        while len(held) < n and (piece := next(pieces, None)) is not None:
+            held.extend(piece)
+        return len(held) >= n
+
+    while holds(1):
+        end = held.find(END)
+        while end < 0 and holds(len(held) + 1):
+            end = held.find(END)
+        lines = held[: max(end, 0)].decode().split("\r\n")
+        if not lines[0].startswith("WARC/1."):
+            raise ValueError(f"no WARC record at byte {gone}")
         headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
         start = end + len(END)
         stop = start + int(headers["content-length"])
-        if archive[stop : stop + len(END)] != END:
-            raise ValueError(f"record at byte {at} is cut short")
-        yield headers, archive[start:stop]
-        at = stop + len(END)
-
-
-def gunzipped(data: bytes) -> bytes:
-    """All members of a gzip file, as archives have one for each record or one in all."""
-    parts = []
-    while data:
+        if not holds(stop + len(END)) or held[stop : stop + len(END)] != END:
+            raise ValueError(f"record at byte {gone} is cut short")
+        with memoryview(held) as view:
+            block = bytes(view[start:stop])
+        del held[: stop + len(END)]
+        gone += stop + len(END)
+        yield headers, block
+
+
+def inflated(data: memoryview) -> Iterator[bytes | memoryview]:
+    """The bytes of a plain file, or of all members of a gzip file, in pieces of at most ``PIECE_BYTES``.
+
+    Archives have a member for each record or one in all. A member that is cut short raises ValueError.
+    """
+    if bytes(data[:2]) != b"\x1f\x8b":
+        for at in range(0, len(data), PIECE_BYTES):
+            yield data[at : at + PIECE_BYTES]
+        return
+    at = 0
+    while at < len(data):
         member = zlib.decompressobj(31)
-        parts.append(member.decompress(data) + member.flush())
-        data = member.unused_data
-    return b"".join(parts)
+        rest: bytes | memoryview = b""
+        while not member.eof:
+            if not rest:
+                rest = data[at : at + READ_BYTES]
+                at += len(rest)
+                if not rest:
+                    raise ValueError("archive is cut short")
+            yield member.decompress(rest, PIECE_BYTES)
+            rest = member.unconsumed_tail
+        at -= len(member.unused_data)
 
 
 def payload_of(block: bytes, digest: str) -> bytes:
@@ -180,10 +211,13 @@ def raw_records(spark: SparkSession, path: str, *, settle: bool = False) -> Data
     def run(batches):
         names = ["origin", "number", "total", "id", "type", "refers_to", "digest", "bytes", "block"]
         kinds = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+        def handed_on(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+        rows, weight = [], 0
         for batch in batches:
             for archive in batch.column(0):
-                out: list[list] = [[] for _ in names]
-                for h, block in parsed(archive.as_py()):
+                for h, block in parsed(archive.as_buffer()):
                     number, total, size = (h.get(k) for k in ("warc-segment-number", "warc-segment-total-length", "x-payload-length"))
                     if settle and number is None and h["warc-type"] == "response":
                         size, block = len(payload_of(block, h["warc-payload-digest"].removeprefix("sha256:"))), None
@@ -198,9 +232,13 @@ def raw_records(spark: SparkSession, path: str, *, settle: bool = False) -> Data
                         size if size is None else int(size),
                         block,
                     )
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
+                    rows.append(row)
+                    weight += len(block or b"")
+                    if weight >= BATCH_BYTES or len(rows) >= BATCH_RECORDS:
+                        yield handed_on(rows)
+                        rows, weight = [], 0
+        if rows:
+            yield handed_on(rows)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("content").mapInArrow(run, RAW)

@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import tracemalloc
 
 import pytest
 
@@ -99,5 +100,38 @@ def test_archives_with_a_member_for_each_record():
     assert [b for _, b in warc.parsed(archive)] == [b"block 0", b"block 1", b"block 2"]
 
 
+@pytest.mark.parametrize("sizes", [(1, 1), (7, 5), (65_536, 1 << 20)])
+def test_records_do_not_depend_on_pieces(monkeypatch, sizes):
+    monkeypatch.setattr(warc, "READ_BYTES", sizes[0])
+    monkeypatch.setattr(warc, "PIECE_BYTES", sizes[1])
+    blocks = [b"", b"x", warc.END * 3, b"\x1f\x8b", bytes(range(256)) * 4]
+    records = [warc.record([("WARC-Type", "resource"), ("WARC-Target-URI", "http://\u00e9")], b) + warc.END for b in blocks]
+    whole = b"".join(records)
+    for archive in (whole, gzip.compress(whole), b"".join(map(gzip.compress, records)), gzip.compress(whole[:99]) + gzip.compress(whole[99:])):
+        assert [b for _, b in warc.parsed(archive)] == blocks
+        for broken in (archive[:-1], archive[: len(archive) * 2 // 3], archive[:1]):
+            with pytest.raises(ValueError):
+                list(warc.parsed(broken))
+    assert list(warc.parsed(b"")) == []
+
+
+def test_memory_is_that_of_pieces_not_of_archives():
+    part = warc.record([("WARC-Type", "resource")], bytes(100_000)) + warc.END
+    for archive in (gzip.compress(part * 1_000), b"".join([gzip.compress(part)] * 1_000)):
+        tracemalloc.start()
+        assert sum(len(b) for _, b in warc.parsed(archive)) == 100_000_000
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 8_000_000
+
+
+def test_large_archive_is_handed_on_in_batches(spark):
+    rows = [(i, f"http://a/{i}", "z" * 3_000 + str(i)) for i in range(6_000)] + [(6_000, "http://a/", "y" * 6_000_000)]
+    path = written(spark, rows)
+    got = {int(r["page_id"]): r for r in warc.read_archives(spark, path, with_payload=False).collect()}
+    assert {i: r["payload_bytes"] for i, r in got.items()} == {i: len(h) for i, _, h in rows}
+    assert got[6_000]["payload_digest"] == hashlib.sha256(b"y" * 6_000_000).hexdigest()
+
+
 def test_no_rows(spark):
     assert warc.read_archives(spark, written(spark, [])).count() == 0
