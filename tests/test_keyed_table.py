@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from mercata.sources import batches
+from mercata.sources import batches, keyed_table
 from mercata.sources.keyed_table import KeyedTable
 
 DDL = "k string not null, v int, batch_id string"
@@ -112,3 +112,53 @@ def test_small_files_appear_whole(spark, tmp_path):
         batches.write_text(spark, path, text)
         assert batches.read_text(spark, path) == text
     assert batches.list_files(spark, str(tmp_path / "x")) == ["a.json"] or all(n.startswith(".") or n == "a.json" for n in batches.list_files(spark, str(tmp_path / "x")))
+
+
+def test_rows_that_replace_none_are_added_without_a_rewrite(spark, tmp_path):
+    t = seeded(spark, tmp_path)
+    before = files(t.root)
+    t.fold(rows(spark, ("k7", -7, "b1"), ("new", 1, "b1")), "b1", replace=False)
+    now = files(t.root)
+    added = sum(spark.read.parquet(f).count() for f in set(now) - set(before))
+    assert now.items() >= before.items() and added == 2  # the rows of the batch, no row of its buckets
+    assert content(t.lookup(rows(spark, ("k7", 0, "")).select("k"))) == [("k7", -7, "b1"), ("k7", 7, "seed")]
+    t.fold(rows(spark, ("k7", 70, "b1")), "b1", replace=False)
+    assert content(t.rows_of_batch("b1")) == [("k7", 70, "b1")] and t.read().count() == 2001
+
+
+def test_a_batch_of_unknown_buckets_is_not_added_twice(spark, tmp_path):
+    t = table(spark, tmp_path, 2)
+    t.rebuild(rows(spark, ("a", 1, "b1"), ("b", 2, "seed")))  # no note tells where b1 is
+    t.fold(rows(spark, ("a", 1, "b1")), "b1", replace=False)
+    assert content(t.read()) == [("a", 1, "b1"), ("b", 2, "seed")]
+
+
+def test_added_generations_are_merged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_table, "MERGED_PARTS", 3)
+    t = table(spark, tmp_path, 1)
+    for n in range(8):
+        t.fold(rows(spark, ("k", n, f"b{n}")), f"b{n}", replace=False)
+        assert content(t.read()) == [("k", i, f"b{i}") for i in range(n + 1)]
+        assert len(t.read().inputFiles()) <= 3
+
+
+def test_large_buckets_are_rewritten_without_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_table, "LARGE_BUCKET", 0)
+    t = seeded(spark, tmp_path)
+    gone = rows(spark, ("k1", 0, ""), ("k2", 0, "")).select("k")
+    t.fold(rows(spark, ("k7", -7, "b1"), ("new", 1, "b1")), "b1", gone)
+    assert t.read().count() == 1999 and t.lookup(gone).isEmpty()
+    assert content(t.lookup(rows(spark, ("k7", 0, "")).select("k"))) == [("k7", -7, "b1")]
+
+
+def test_few_keys_leave_the_table_in_place(spark, tmp_path, monkeypatch):
+    t = seeded(spark, tmp_path)
+    keys = t.read().select("k").where("v < 9")  # by its files as large as the table
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100b")
+    try:
+        found = t.lookup(keys)
+        assert found.count() == 9 and "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(keyed_table, "FEW_KEYS", 8)
+        assert t.lookup(keys).count() == 9 and "SortMergeJoin" in t.lookup(keys)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
