@@ -162,3 +162,40 @@ def test_few_keys_leave_the_table_in_place(spark, tmp_path, monkeypatch):
         assert t.lookup(keys).count() == 9 and "SortMergeJoin" in t.lookup(keys)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_large_buckets_are_added_to_when_rows_are_replaced(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_table, "LARGE_BUCKET", 0)
+    t = seeded(spark, tmp_path)
+    before, old = files(t.root), t.read()
+    gone = rows(spark, ("k1", 0, ""), ("k2", 0, ""), ("k2", 0, "")).select("k")
+    t.fold(rows(spark, ("k7", -7, "b1"), ("new", 1, "b1")), "b1", gone)
+    now = files(f"{t.root}")
+    fresh = [f for f in set(now) - set(before) if "/gone/" not in f]
+    assert now.items() >= before.items() and sum(spark.read.parquet(f).count() for f in fresh) == 2
+    want = {(f"k{n}", n, "seed") for n in range(2000) if n not in (1, 2, 7)} | {("k7", -7, "b1"), ("new", 1, "b1")}
+    assert content(t.read()) == sorted(want) and old.count() == 2000
+    # A key that went comes back, and one that came goes; the batch that is run again takes the place of its rows.
+    t.fold(rows(spark, ("k1", 11, "b2"), ("new", 12, "b2")), "b2", rows(spark, ("k7", 0, "")).select("k"))
+    want = {r for r in want if r[0] not in ("k7", "new")} | {("k1", 11, "b2"), ("new", 12, "b2")}
+    assert content(t.read()) == sorted(want) and content(t.rows_of_batch("b2")) == [("k1", 11, "b2"), ("new", 12, "b2")]
+    t.fold(rows(spark, ("k1", 21, "b2")), "b2")
+    want = {r for r in want if r[2] != "b2"} | {("k1", 21, "b2")}
+    assert content(t.read()) == sorted(want) and content(t.lookup(gone)) == [("k1", 21, "b2")]
+    t.rebuild(t.read().where("v < 9").persist())
+    assert content(t.read()) == sorted(r for r in want if r[1] < 9)
+
+
+def test_keys_that_went_are_merged_away(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_table, "LARGE_BUCKET", 0)
+    monkeypatch.setattr(keyed_table, "MERGED_PARTS", 3)
+    t = table(spark, tmp_path, 1)
+    for n in range(9):
+        t.fold(rows(spark, ("k", n, f"b{n}"), (None, n, f"b{n}")), f"b{n}")
+        # A null is no key: its rows stay, as they do when buckets are rewritten.
+        assert content(t.read().where("k is not null")) == [("k", n, f"b{n}")] and t.read().count() == n + 2
+        assert len(t._manifest()["of"][0]) <= 3
+    assert len(list((tmp_path / "t" / "gone").glob("g=*"))) <= 4
+    monkeypatch.setattr(keyed_table, "FEW_KEYS", 0)  # too many to be sent to all tasks: rewritten
+    t.fold(rows(spark, ("k", 100, "b100")), "b100")
+    assert content(t.read().where("k is not null")) == [("k", 100, "b100")] and not t._manifest()["gone"]
