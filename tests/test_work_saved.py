@@ -1,12 +1,14 @@
 """Steps that work out, shuffle or write rows once where they did so twice; the rows are the same."""
 
 import datetime as dt
+from contextlib import nullcontext
 from pathlib import Path
 
 import pytest
 import small
 from pyspark.sql import functions as F
 
+from mercata import session
 from mercata.operators.keyed import insert_if_absent
 from mercata.plans import generator, jobs, queries, staging
 from mercata.plans.workspace import Workspace
@@ -100,3 +102,31 @@ def test_rejects_meet_the_orders_as_rows_in_doubt_alone(spark, policy):
     assert listed(spared.rejects.drop("rejected_at")) == listed(plain.rejects.drop("rejected_at"))
     # Ids without an order, then the rows in doubt: not the 34 that are sound and have one.
     assert max(held) <= 10 and spared.rejects.count() == plain.rejects.count() >= 7
+
+
+def test_shuffles_are_cut_by_the_size_of_the_input(spark):
+    names = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(n, None) for n in names]
+    rows = spark.range(50_000).select(F.md5(F.col("id").cast("string")).alias("k"))
+    with pytest.raises(OSError), session.fine_shuffles(spark, 100 * session.INPUT_PER_PARTITION):
+        found = rows.groupBy("k").count()
+        found.collect()
+        assert "hashpartitioning(k" in found._jdf.queryExecution().executedPlan().toString()
+        assert ", 100)" in found._jdf.queryExecution().executedPlan().toString()
+        raise OSError
+    assert [spark.conf.get(n, None) for n in names] == before
+    spark.conf.set(names[1], "1m")
+    try:
+        with session.fine_shuffles(spark, 1):
+            assert [spark.conf.get(n, None) for n in names] == ["4", "1m"]  # no coarser than the caller asked for
+        assert [spark.conf.get(n, None) for n in names] == [before[0], "1m"]
+    finally:
+        spark.conf.unset(names[1]) if before[1] is None else spark.conf.set(names[1], before[1])
+
+
+def test_queries_cut_their_shuffles(spark, sf_dir, monkeypatch):
+    asked = []
+    monkeypatch.setattr(queries, "fine_shuffles", lambda s, size: asked.append(size) or nullcontext())
+    queries.all_queries()["profile_status"](spark, sf_dir)
+    want = sum(Path(f"{sf_dir}/{n}.parquet").stat().st_size for n in ("orders", "lineitem", "customer", "part", "supplier"))
+    assert asked == [want]
