@@ -9,12 +9,14 @@ import small
 from pyspark.sql import functions as F
 
 from mercata import session
+from mercata.functions import labels
 from mercata.operators.keyed import insert_if_absent
-from mercata.plans import generator, jobs, queries, staging
-from mercata.plans.workspace import Workspace
+from mercata.plans import generator, jobs, mart, queries, staging
+from mercata.plans.workspace import StoredSource, Workspace
 from mercata.schemas import MALFORMED, RAW
 from mercata.sources import batches
 from mercata.sources.warehouse import Warehouse
+from mercata.streaming import ingest
 
 
 def plan(df):
@@ -130,3 +132,81 @@ def test_queries_cut_their_shuffles(spark, sf_dir, monkeypatch):
     queries.all_queries()["profile_status"](spark, sf_dir)
     want = sum(Path(f"{sf_dir}/{n}.parquet").stat().st_size for n in ("orders", "lineitem", "customer", "part", "supplier"))
     assert asked == [want]
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_job(spark, tmp_path):
+    names = [*session.BUILD_CONF]
+    before, kept = [spark.conf.get(n, None) for n in names], shuffle_files(spark)
+    with session.fine_shuffles(spark, 1):
+        rows = spark.range(5_000).select(F.md5(F.col("id").cast("string")).alias("k")).groupBy("k").count()
+        rows.write.parquet(str(tmp_path / "out"))
+        assert not shuffle_files(spark) - kept
+        assert rows.count() == 5_000 and len(rows.collect()) == len(rows.collect()) == 5_000
+    assert [spark.conf.get(n, None) for n in names] == before
+
+
+@pytest.mark.parametrize("few", [10, 0])
+def test_seed_children_are_not_shuffled_for_their_orders(spark, monkeypatch, few):
+    monkeypatch.setattr(session, "SENT_KEYS", few)
+    monkeypatch.setattr(generator, "SENT_KEYS", few)
+    source = small.source(spark)
+    odd = [(None, "1", "p1", "v1", None, "1.00", "1.00"), ("nobody", "1", "p1", "v1", None, "1.00", "1.00")]
+    items = source["order_items"].union(spark.createDataFrame(odd * 2, source["order_items"].schema))
+    source["order_items"] = items.where("order_id is null or order_id in ('nobody', 'o1', 'o2', 'o90', 'o91')")
+    found = generator.seed_batch(source, small.PLAN, ["order_items"])["order_items"]
+    assert ("rightHint=(strategy=broadcast)" in plan(found)) == ("LeftSemi" not in plan(found)) == bool(few)
+    want = source["order_items"].where("order_id in ('o1', 'o2')")
+    assert listed(found) == listed(want) and want.count() > 2
+
+
+def test_runs_map_the_tables_where_they_are_read(spark, sf_dir, tmp_path):
+    w = Workspace(spark, StoredSource(spark, sf_dir))
+    generator.write_day(w.inputs(), str(tmp_path), w.plan.first_day, w.plan)
+    assert w.seed("order_payments").count() > 0 and not w.source._stored
+
+
+def test_streams_write_their_raw_rows_once(spark):
+    w = Workspace(spark, small.source(spark), small.PLAN)
+    assert queries.BUILDERS["stream_stage_reviews"](w).count() > 0
+    assert not [n for n in w._tables if n.startswith("raw_order")]
+
+
+def test_a_file_is_named_by_a_path_that_is_no_pattern(spark, tmp_path):
+    for n in (1, 2):
+        spark.range(n).write.parquet(str(tmp_path / f"raw 50% [{n}]"))
+    uri = f"file:{tmp_path}/raw%2050%25%20[2]"
+    assert spark.read.parquet(ingest._literal(uri)).count() == 2
+
+
+def test_a_later_micro_batch_leaves_history_in_place(spark, tmp_path, monkeypatch):
+    raw, staged, seen = str(tmp_path / "raw 50%"), str(tmp_path / "staged"), []
+    w = Workspace(spark, small.source(spark), small.PLAN)
+    stage = staging.stage_orders
+    monkeypatch.setattr(staging, "stage_orders", lambda rows, existing, policy: seen.append(plan(existing)) or stage(rows, existing, policy))
+    for part in (F.col("batch_id") == "seed", F.col("batch_id") != "seed"):
+        w.raw("orders").where(part).write.mode("append").parquet(raw)
+        ingest.stage_stream(spark, "orders", raw, staged, str(tmp_path / "checkpoint")).awaitTermination()
+    got = ingest.read_staged(spark, staged, "orders").drop("stream", "epoch")
+    assert "LeftSemi" in seen[1] and "broadcast" in seen[1]
+    monkeypatch.undo()
+    assert listed(got) == listed(w["stg_orders"].select(*got.columns))
+
+
+def test_people_are_looked_up_once(spark):
+    w = Workspace(spark, small.source(spark), small.PLAN)
+    orders, items, payments, reviews, people = w.some(*(f"stg_{n}" for n in generator.DYNAMIC_INPUTS), "stg_customers")
+    bought = mart.bought_orders(orders, people).localCheckpoint()
+    persons = mart.person_batches_of(bought, items, bought)
+    assert plan(persons).count("Join") == 2
+    assert listed(persons) == listed(mart.person_batches(orders, items, orders, people))
+    sold = bought.where(labels.is_kept_status())
+    flagged = mart.with_repeat_flag(sold, w["dim_customer"])
+    found = mart.order_facts(flagged, items, payments, reviews).drop("loaded_at")
+    assert listed(found) == listed(w["fct_orders"].drop("loaded_at"))
+    found = mart.item_facts(mart.with_dimensions(items, w["dim_product"], w["dim_seller"]), sold).drop("loaded_at")
+    assert listed(found) == listed(w["fct_order_items"].drop("loaded_at"))
